@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import digit_split
 from cinemetrics.operators.broadcast import broadcast_if_bounded
+from cinemetrics.session import ensure_checkpoint_dir
 
 # Fixed values of the grid search.
 RANKS = (8, 10)
@@ -123,9 +125,17 @@ def grid_search(
     max_iters=MAX_ITERS,
     seed: int = SEED,
     blocks: int | None = None,
+    parallelism: int = 1,
 ) -> GridResult:
-    """Fit every (rank, reg_param, max_iter); keep the strictly smallest ``mse_ref`` (first wins ties)."""
+    """Fit every (rank, reg_param, max_iter); keep the strictly smallest ``mse_ref`` (first wins ties).
+
+    Each fit is a distributed job; ``parallelism`` fits are submitted at once from driver
+    threads (as ``pyspark.ml.tuning`` does), which keeps the cores busy when one fit is
+    too small to fill them. The choice is made in grid order, so it does not depend on
+    which fit finishes first.
+    """
     spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
     blocks = blocks or spark.sparkContext.defaultParallelism
     split = split_ratings(ratings)
     train = _als_input(training_set(ratings, personal)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -133,11 +143,18 @@ def grid_search(
     test = _als_input(split.where(F.col("split") == "test")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = {"training": train.count(), "validation": valid.count(), "test": test.count()}
+        grid = list(itertools.product(ranks, reg_params, max_iters))
+
+        def fit(params: tuple) -> tuple[ALSModel, ModelError]:
+            rank, reg, iters = params
+            model = make_als(rank, reg, iters, blocks, seed).fit(train)
+            return model, model_error(model, valid, counts["validation"])
+
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
+            fitted = list(pool.map(fit, grid))
         rows: list[tuple] = []
         best: tuple[float, ALSModel, tuple] | None = None
-        for rank, reg, iters in itertools.product(ranks, reg_params, max_iters):
-            model = make_als(rank, reg, iters, blocks, seed).fit(train)
-            err = model_error(model, valid, counts["validation"])
+        for (rank, reg, iters), (model, err) in zip(grid, fitted):
             rows.append((rank, float(reg), iters, err.mse, err.rmse, err.mse_ref, err.n_predicted))
             if best is None or err.mse_ref < best[0]:
                 best = (err.mse_ref, model, (rank, float(reg), iters))

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import sorted_entries_by_value
-from cinemetrics.operators.broadcast import broadcast_if_bounded, broadcast_limit, row_count_at_most
+from cinemetrics.operators.broadcast import broadcast_if_bounded
 from cinemetrics.operators.genres import genre_ratings, movie_genres
 from cinemetrics.operators.stats import genre_user_stats, movie_rating_count, user_profile
 from cinemetrics.operators.topk import top_k
+from cinemetrics.session import ensure_checkpoint_dir
 
 TOP_K = 5
 
@@ -42,27 +43,20 @@ def genre_top_users(ratings: DataFrame, movies: DataFrame, k: int = TOP_K) -> Da
     return ranked.select("genre", "rank", "user_id", "rating_count", "avg_rating")
 
 
-def _bounded_top_users(top: DataFrame, movies: DataFrame, k: int) -> DataFrame:
-    """The distinct users of a top-k table, broadcast when k x #genres is proven small.
-
-    The bound comes from the movies dimension (cheap), not from evaluating ``top``.
-    """
-    users = top.select("user_id").distinct()
-    limit = broadcast_limit(top)
-    genres = movie_genres(movies).select("genre").distinct()
-    return F.broadcast(users) if row_count_at_most(genres, max(limit // k, 1)) else users
-
-
 def genre_top_users_profile(ratings: DataFrame, movies: DataFrame, k: int = TOP_K) -> DataFrame:
     """(genre, rank, user_id, genre_ratings, genre_avg_rating, total_ratings, dataset_avg_rating).
 
-    Dataset-wide statistics are aggregated only over the ratings of the top users: the
-    ratings are semi-joined with the (small, broadcast) user list before the aggregate.
+    The top-k table (at most k rows per genre) is computed once and checkpointed into the
+    shared checkpoint folder, so the genre aggregation is not run a second time for the
+    user filter. Dataset-wide statistics are then aggregated only over the ratings of the
+    top users: the ratings are semi-joined with the user list (broadcast after its row
+    count is checked), and Catalyst pushes that filter below the rating derivation.
     """
-    top = genre_top_users(ratings, movies, k)
-    users = _bounded_top_users(top, movies, k)
+    ensure_checkpoint_dir(ratings.sparkSession)
+    top = genre_top_users(ratings, movies, k).checkpoint(eager=True)
+    users = broadcast_if_bounded(top.select("user_id").distinct())
     profile = user_profile(ratings.join(users, "user_id", "left_semi"))
-    return top.join(profile, "user_id").select(
+    return broadcast_if_bounded(top).join(profile, "user_id").select(
         "genre",
         "rank",
         "user_id",

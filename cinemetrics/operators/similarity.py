@@ -36,19 +36,23 @@ def centred_ratings(ratings: DataFrame, my_movies: DataFrame) -> DataFrame:
 
 
 def co_rated_pairs(ratings: DataFrame, my_movies: DataFrame) -> DataFrame:
-    """(user_id, own_id, pred_id, own_rating, pred_rating, user_avg)."""
-    c = centred_ratings(ratings, my_movies)
-    x = c.where("is_own").select(
-        F.col("user_id").alias("x_user"),
-        F.col("movie_id").alias("own_id"),
-        F.col("rating").alias("own_rating"),
-        "user_avg",
+    """(user_id, own_id, pred_id, own_rating, pred_rating, user_avg).
+
+    Only the all-ratings side carries the user-average window, so the full ratings are
+    shuffled once (by user); the own side is filtered by a broadcast semi join first and
+    shuffles just the own ratings. The window's partitioning and sort on user_id already
+    satisfy the sort-merge join.
+    """
+    mine = broadcast_if_bounded(my_movies.select("movie_id"))
+    x = ratings.join(mine, "movie_id", "left_semi").select(
+        F.col("user_id").alias("x_user"), F.col("movie_id").alias("own_id"), F.col("rating").alias("own_rating")
     )
-    y = c.select(
+    y = centred_ratings(ratings, my_movies).select(
         F.col("user_id").alias("y_user"),
         F.col("movie_id").alias("pred_id"),
         F.col("rating").alias("pred_rating"),
         F.col("is_own").alias("pred_is_own"),
+        "user_avg",
     )
     cond = (F.col("x_user") == F.col("y_user")) & (~F.col("pred_is_own") | (F.col("own_id") < F.col("pred_id")))
     return x.join(y, cond).select(

@@ -23,6 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Threshold of ``popular_movies`` for the driver's tables (the library default is 300,
 # which selects every movie at sf0.01 and none at sf0.001).
 POPULAR_THRESHOLD = 480
+# Grid fits submitted at once (each fit is itself distributed).
+GRID_PARALLELISM = 4
 
 
 def _csv_copy(spark: SparkSession, df: DataFrame, name: str) -> str:
@@ -215,7 +217,7 @@ def _grid(spark: SparkSession, sf_dir: str) -> als.GridResult:
     key = (id(spark.sparkContext), sf_dir.rstrip("/"))
     if key not in _GRID_CACHE:
         t = fixtures.load(spark, sf_dir)
-        _GRID_CACHE[key] = als.grid_search(t.ratings, t.personal)
+        _GRID_CACHE[key] = als.grid_search(t.ratings, t.personal, parallelism=GRID_PARALLELISM)
     return _GRID_CACHE[key]
 
 

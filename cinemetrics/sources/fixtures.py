@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import parse_genres
+from cinemetrics.session import scratch_path
 
 # Fixed values of the fixture mapping.
 SECONDS_PER_DAY = 86400
@@ -35,8 +36,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Session option: write the derived ratings once per session into the shared checkpoint
+# folder and read them back as parquet (the way ratings.csv sits on shared storage).
+MATERIALIZE_CONF = "cinemetrics.fixtures.materialize"
+_MATERIALIZED: dict[tuple, str] = {}
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id long, movie_id long, rating double, ts long), one row per cell."""
+    if spark.conf.get(MATERIALIZE_CONF, "false").lower() != "true":
+        return derive_ratings(spark, sf_dir)
+    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, "ratings")
+        derive_ratings(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
+def derive_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings computed from ``lineitem JOIN orders`` (no materialisation)."""
     li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_shipdate")
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
