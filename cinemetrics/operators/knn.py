@@ -40,11 +40,12 @@ def _own_head(my_movies: DataFrame, size: int):
 
 def knn_scores(similarity: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     """(movie_id, prediction) for every movie that has a pair with an own movie."""
-    n_own = my_movies.count()
-    if n_own == 0:
+    # One bounded read gives both the head and the slot count: fewer than 2k - 1 rows
+    # means the head is the whole own list.
+    head = _own_head(my_movies, 2 * k - 1)
+    if not head:
         return similarity.sparkSession.createDataFrame([], "movie_id long, prediction double")
-    slots = min(k, n_own)
-    head = _own_head(my_movies, 2 * slots - 1)
+    slots = min(k, len(head))
 
     undefined = F.col("similarity").isNull()
     strong = undefined | (F.col("similarity") > MISSING_SIMILARITY)

@@ -23,8 +23,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Threshold of ``popular_movies`` for the driver's tables (the library default is 300,
 # which selects every movie at sf0.01 and none at sf0.001).
 POPULAR_THRESHOLD = 480
-# Grid fits submitted at once (each fit is itself distributed).
-GRID_PARALLELISM = 4
+# Grid fits submitted at once (each fit is itself distributed). On a cluster where one fit
+# already fills every executor, set the session option to 1 to bound factor memory.
+GRID_PARALLELISM_CONF = "cinemetrics.als.parallelism"
+GRID_PARALLELISM = 8
 
 
 def _csv_copy(spark: SparkSession, df: DataFrame, name: str) -> str:
@@ -217,7 +219,8 @@ def _grid(spark: SparkSession, sf_dir: str) -> als.GridResult:
     key = (id(spark.sparkContext), sf_dir.rstrip("/"))
     if key not in _GRID_CACHE:
         t = fixtures.load(spark, sf_dir)
-        _GRID_CACHE[key] = als.grid_search(t.ratings, t.personal, parallelism=GRID_PARALLELISM)
+        parallelism = int(spark.conf.get(GRID_PARALLELISM_CONF, str(GRID_PARALLELISM)))
+        _GRID_CACHE[key] = als.grid_search(t.ratings, t.personal, parallelism=parallelism)
     return _GRID_CACHE[key]
 
 

@@ -1,0 +1,90 @@
+"""Plan shape: the properties that matter at scale, checked on the physical plan."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from cinemetrics.operators import genre_top, similarity
+from cinemetrics.operators.broadcast import broadcast_if_bounded
+from cinemetrics.operators.genres import genre_ratings
+from cinemetrics.sources import fixtures
+
+from conftest import SF_SMALL, movies_df, my_movies_df, ratings_df
+
+
+def plan(df, capsys, mode="formatted"):
+    capsys.readouterr()
+    df.explain(mode)
+    return capsys.readouterr().out
+
+
+def test_top_k_has_partial_group_limit_before_exchange(spark, capsys):
+    t = fixtures.load(spark, SF_SMALL)
+    p = plan(genre_top.genre_top_users(t.ratings, t.movies), capsys)
+    assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
+
+
+def test_genre_join_broadcasts_dimension(spark, capsys):
+    t = fixtures.load(spark, SF_SMALL)
+    p = plan(genre_ratings(t.ratings, t.movies), capsys)
+    assert "BroadcastHashJoin" in p
+    assert "hashpartitioning(movie_id" not in p  # ratings are not shuffled for the genre join
+
+
+def test_scans_are_pruned(spark, capsys):
+    p = plan(fixtures.derive_ratings(spark, SF_SMALL), capsys)
+    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in p
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in p
+
+
+def test_pair_join_shuffles_all_ratings_once(spark, capsys):
+    t = fixtures.load(spark, SF_SMALL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(similarity.item_similarity(t.ratings, t.my_movies), capsys, "simple")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # exchanges by user: all ratings (window side) and own ratings only; none after the window
+    assert p.count("hashpartitioning(user_id") == 1
+    assert p.count("hashpartitioning(x_user") == 1
+    assert p.count("hashpartitioning(o_custkey") == 2  # both sides derive ratings once each
+
+
+def test_broadcast_only_behind_bound(spark, capsys):
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_bounded(small, 100), "k"), capsys)
+        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_bounded(small, 5), "k"), capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_hot_genre_top_k_exact(spark):
+    # one genre holds well over a third of all ratings
+    rnd = random.Random(11)
+    rows = [(u, m, rnd.randint(1, 10) * 0.5) for u in range(120) for m in range(30) if rnd.random() < 0.3]
+    movies = [(m, f"M{m}", ["Hot"] if m < 20 else ["Cold"]) for m in range(30)]
+    r = ratings_df(spark, rows).repartition(6)
+    got = {(x.genre, x["rank"]): (x.user_id, x.rating_count) for x in genre_top.genre_top_users(r, movies_df(spark, movies)).collect()}
+    counts = {}
+    for u, m, _ in rows:
+        g = "Hot" if m < 20 else "Cold"
+        counts[(g, u)] = counts.get((g, u), 0) + 1
+    for g in ("Hot", "Cold"):
+        ranked = sorted(((n, u) for (gg, u), n in counts.items() if gg == g), key=lambda t: (-t[0], t[1]))[:5]
+        assert [got[(g, i + 1)] for i in range(5)] == [(u, n) for n, u in ranked]
+
+
+def test_hot_user_pairs_complete(spark):
+    # a user who rated every movie sits in one partition key; all pairs must survive
+    rows = [(0, m, 1.0 + (m % 9) * 0.5) for m in range(60)] + [(u, m, 3.0) for u in range(1, 5) for m in range(0, 60, 7)]
+    mine = my_movies_df(spark, [(3, 4.0), (10, 2.0)])
+    pairs = similarity.co_rated_pairs(ratings_df(spark, rows).repartition(4), mine)
+    n_hot = pairs.where(F.col("user_id") == 0).count()
+    assert n_hot == 59 + 58  # own 3 with every other movie, own 10 with every other movie except 3
