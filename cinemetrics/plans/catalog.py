@@ -17,6 +17,7 @@ from cinemetrics.session import scratch_path
 from cinemetrics.sources import csv as csv_src
 from cinemetrics.sources import fixtures
 from cinemetrics.sources.sinks import read_result, write_result
+from cinemetrics.streaming import genre_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,24 @@ def dataset_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.dataset_counts(fixtures.ratings(spark, sf_dir))
 
 
+def genre_avg_rating_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """genre_avg_rating maintained by a streaming query over the ratings written as files."""
+    folder = _csv_copy(spark, fixtures.ratings(spark, sf_dir), "ratings-arrivals")
+    result = scratch_path(spark, "genre_avg_stream")
+    query = genre_stats.start_genre_avg(
+        spark,
+        folder,
+        fixtures.movies(spark, sf_dir),
+        result,
+        scratch_path(spark, "genre_avg_stream-state"),
+        max_files_per_trigger=2,
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"streaming query failed: {query.exception()}")
+    return spark.read.parquet(result)
+
+
 # --- 3. top-k per genre ---------------------------------------------------------------
 
 
@@ -250,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "user_avg_rating": user_avg_rating,
     "genre_avg_rating": genre_avg_rating,
     "genre_user_count": genre_user_count,
+    "genre_avg_rating_stream": genre_avg_rating_stream,
     "dataset_counts": dataset_counts,
     "genre_top5_movies": genre_top5_movies,
     "genre_movie_list": genre_movie_list,

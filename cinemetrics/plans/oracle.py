@@ -127,6 +127,7 @@ _BODIES: dict[str, str] = {
     "user_avg_rating": "SELECT user_id, avg(rating) AS avg_rating FROM ratings GROUP BY user_id",
     "genre_avg_rating": "SELECT genre, avg_rating, rating_count FROM genre_avg",
     "genre_user_count": "SELECT genre, user_id, rating_count FROM genre_user",
+    "genre_avg_rating_stream": "SELECT genre, avg_rating, rating_count FROM genre_avg",
     "dataset_counts": """
         SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT movie_id) AS n_movies
         FROM ratings""",
