@@ -150,3 +150,21 @@ def test_top_predicted_ties_lower_id(spark):
     mv = movies_df(spark, [(m, f"M{m}", ["X"]) for m in range(1, 16)])
     top = [x.movie_id for x in knn.top_predicted(sims, mv, mm, n=3).collect()]
     assert top == [10, 11, 12]
+
+
+def test_tie_at_neighbour_ten(spark):
+    # 12 own movies, each with similarity +1 to movie 100 from its own co-rater: the
+    # 10 lowest own ids are the neighbours
+    mine = {m: float(m % 4 + 1) for m in range(1, 13)}
+    ratings = []
+    for m in range(1, 13):
+        u = 1000 + m
+        ratings += [(u, m, 4.0), (u, 100, 4.0), (u, 200, 1.0)]
+    r = ratings_df(spark, ratings)
+    mm = my_movies_df(spark, list(mine.items()))
+    sims = similarity.item_similarity(r, mm)
+    assert {x.similarity for x in sims.where("pred_id = 100").collect()} == {1.0}
+    preds = {x.movie_id: x.prediction for x in knn.knn_scores(sims, mm).collect()}
+    assert preds[100] == round(sum(mine[m] for m in range(1, 11)) / 10, 6)
+    _, _, want = brute_force(ratings, mine)
+    assert preds == pytest.approx(want)

@@ -117,3 +117,11 @@ def test_matrix_stats(spark):
     mv = movies_df(spark, [(10, "Ten", ["X"]), (11, "Eleven", ["X"])])
     pop = [tuple(x) for x in matrix.popular_movies(r, mv, threshold=2).collect()]
     assert pop == [(10, "Ten", 2, 3.75)]
+
+
+def test_unknown_movie_and_unrated_movie_leave_joins(spark):
+    r = ratings_df(spark, [(1, 10, 3.0), (2, 99, 4.5)])  # movie 99 is not in movies
+    mv = movies_df(spark, [(10, "Ten", ["X"]), (11, "Unrated", ["X"])])
+    gr = [tuple(x) for x in genre_ratings(r, mv).collect()]
+    assert gr == [("X", 1, 10, 3.0)]
+    assert [x.movie_id for x in genre_top.genre_movie_counts(r, mv).collect()] == [10]
