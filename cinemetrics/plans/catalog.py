@@ -235,7 +235,7 @@ _GRID_CACHE: dict[tuple, als.GridResult] = {}
 
 def _grid(spark: SparkSession, sf_dir: str) -> als.GridResult:
     """One grid search per (session, input) in this process; the three ALS keys share it."""
-    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _GRID_CACHE:
         t = fixtures.load(spark, sf_dir)
         parallelism = int(spark.conf.get(GRID_PARALLELISM_CONF, str(GRID_PARALLELISM)))

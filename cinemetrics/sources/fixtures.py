@@ -46,7 +46,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id long, movie_id long, rating double, ts long), one row per cell."""
     if spark.conf.get(MATERIALIZE_CONF, "false").lower() != "true":
         return derive_ratings(spark, sf_dir)
-    key = (id(spark.sparkContext), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _MATERIALIZED.get(key)
     if path is None:
         path = scratch_path(spark, "ratings")
