@@ -64,17 +64,18 @@ def movie_prediction(
     return top
 
 
-def als_recommendation(spark: SparkSession, input_dir: str, personal_path: str, **grid) -> dict[str, DataFrame]:
-    """Split, grid search, test error and 50 recommendations for the person (user 0 in the file)."""
+def als_recommendation(
+    spark: SparkSession, input_dir: str, personal_path: str, user_id: int = 0, **grid
+) -> dict[str, DataFrame]:
+    """Split, grid search, test error and 50 recommendations for ``user_id`` (the person of the file)."""
     ratings, movies = _inputs(spark, input_dir)
     personal = csv_src.read_personal_ratings_csv(spark, personal_path)
-    person = personal.select(F.min("user_id")).first()[0]
     result = als.grid_search(ratings, personal, **grid)
     return {
         "split_counts": spark.createDataFrame(list(result.counts.items()), "split string, n long"),
         "validation": als.grid_table(result),
         "test": als.test_error_table(result),
-        "recommendations": als.recommend_for_user(result.best_model, movies, user_id=int(person)),
+        "recommendations": als.recommend_for_user(result.best_model, movies, user_id=user_id),
     }
 
 
