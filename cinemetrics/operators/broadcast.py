@@ -7,6 +7,8 @@ from runtime statistics, and splits skewed partitions).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,3 +30,17 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFram
     """``F.broadcast(df)`` when its row count is proven small, else ``df`` unchanged."""
     bound = broadcast_limit(df) if max_rows is None else max_rows
     return F.broadcast(df) if row_count_at_most(df, bound) else df
+
+
+def broadcast_hint_for(df: DataFrame, max_rows: int | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Check ``df`` once; return ``F.broadcast`` when it is proven small, else the identity.
+
+    Apply the returned hint only to projections and filters of ``df`` (never larger than
+    ``df``), so one bounded count serves every join side cut from the same input.
+    """
+    bound = broadcast_limit(df) if max_rows is None else max_rows
+    return F.broadcast if row_count_at_most(df, bound) else _identity
+
+
+def _identity(df: DataFrame) -> DataFrame:
+    return df

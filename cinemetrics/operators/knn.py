@@ -16,13 +16,17 @@ higher-order ``filter``/``slice``/``aggregate`` on that array.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinemetrics.operators.broadcast import broadcast_if_bounded
+from cinemetrics.operators.broadcast import broadcast_hint_for
 from cinemetrics.operators.topk import top_k, top_n
 
+Hint = Callable[[DataFrame], DataFrame]
+
 NEIGHBOURS = 10
 TOP_PREDICTED = 50
 PRED_DIGITS = 6
@@ -38,7 +42,7 @@ def _own_head(my_movies: DataFrame, size: int):
     return [(int(r["movie_id"]), float(r["my_rating"])) for r in rows]
 
 
-def knn_scores(similarity: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+def knn_scores(similarity: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS, own_hint: Hint | None = None) -> DataFrame:
     """(movie_id, prediction) for every movie that has a pair with an own movie."""
     # One bounded read gives both the head and the slot count: fewer than 2k - 1 rows
     # means the head is the whole own list.
@@ -55,7 +59,7 @@ def knn_scores(similarity: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS)
         [F.col("strong").desc(), F.col("undefined").desc(), F.col("similarity").desc(), F.col("own_id").asc()],
         slots,
     )
-    mine = broadcast_if_bounded(my_movies.select(F.col("movie_id").alias("own_id"), "my_rating"))
+    mine = (own_hint or broadcast_hint_for(my_movies))(my_movies.select(F.col("movie_id").alias("own_id"), "my_rating"))
     on_strong = lambda c: F.when(F.col("strong"), c)
     per_movie = ranked.join(mine, "own_id").groupBy("pred_id").agg(
         F.max("undefined").alias("has_undefined"),
@@ -84,20 +88,26 @@ def knn_scores(similarity: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS)
     return per_movie.select(F.col("pred_id").alias("movie_id"), pred.alias("prediction"))
 
 
-def unrated_movies(movies: DataFrame, my_movies: DataFrame) -> DataFrame:
+def unrated_movies(movies: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None) -> DataFrame:
     """(movie_id, title) of movies without an own rating."""
-    mine = broadcast_if_bounded(my_movies.select("movie_id"))
-    return movies.select("movie_id", "title").join(mine, "movie_id", "left_anti")
+    hint = own_hint or broadcast_hint_for(my_movies)
+    return movies.select("movie_id", "title").join(hint(my_movies.select("movie_id")), "movie_id", "left_anti")
 
 
-def knn_predictions(similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """(movie_id, title, prediction); own movies keep a NULL title (the title map omits them)."""
-    titles = broadcast_if_bounded(unrated_movies(movies, my_movies))
-    return knn_scores(similarity, my_movies, k).join(titles, "movie_id", "left").select(
+def _scored_with_titles(similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int, how: str) -> DataFrame:
+    own_hint = broadcast_hint_for(my_movies)
+    title_hint = broadcast_hint_for(movies)  # unrated movies are a filter of movies
+    titles = title_hint(unrated_movies(movies, my_movies, own_hint))
+    return knn_scores(similarity, my_movies, k, own_hint).join(titles, "movie_id", how).select(
         "movie_id", "title", "prediction"
     )
 
 
+def knn_predictions(similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+    """(movie_id, title, prediction); own movies keep a NULL title (the title map omits them)."""
+    return _scored_with_titles(similarity, movies, my_movies, k, "left")
+
+
 def top_predicted(
     similarity: DataFrame,
     movies: DataFrame,
@@ -110,8 +120,5 @@ def top_predicted(
 
     Own movies are left out unless ``include_own``.
     """
-    preds = knn_scores(similarity, my_movies, k)
-    titles = broadcast_if_bounded(unrated_movies(movies, my_movies))
-    how = "left" if include_own else "inner"
-    scored = preds.join(titles, "movie_id", how).select("movie_id", "title", "prediction")
+    scored = _scored_with_titles(similarity, movies, my_movies, k, "left" if include_own else "inner")
     return top_n(scored, [F.col("prediction").desc(), F.col("movie_id").asc()], n)

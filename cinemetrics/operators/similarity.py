@@ -13,29 +13,34 @@ partitioning cannot pile up a third of the data in one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import safe_divide
-from cinemetrics.operators.broadcast import broadcast_if_bounded
+from cinemetrics.operators.broadcast import broadcast_hint_for
+
+Hint = Callable[[DataFrame], DataFrame]
 
 SIM_DIGITS = 9
 
 
-def flag_own(ratings: DataFrame, my_movies: DataFrame) -> DataFrame:
+def flag_own(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None) -> DataFrame:
     """ratings + ``is_own`` (the movie is among the own ratings); own list broadcast after a check."""
-    mine = broadcast_if_bounded(my_movies.select("movie_id", F.lit(True).alias("is_own")))
+    hint = own_hint or broadcast_hint_for(my_movies)
+    mine = hint(my_movies.select("movie_id", F.lit(True).alias("is_own")))
     return ratings.join(mine, "movie_id", "left").withColumn("is_own", F.coalesce("is_own", F.lit(False)))
 
 
-def centred_ratings(ratings: DataFrame, my_movies: DataFrame) -> DataFrame:
+def centred_ratings(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None) -> DataFrame:
     """(user_id, movie_id, rating, is_own, user_avg): user_avg over all ratings of the user."""
     w = Window.partitionBy("user_id")
-    flagged = flag_own(ratings.select("user_id", "movie_id", "rating"), my_movies)
+    flagged = flag_own(ratings.select("user_id", "movie_id", "rating"), my_movies, own_hint)
     return flagged.withColumn("user_avg", F.avg("rating").over(w))
 
 
-def co_rated_pairs(ratings: DataFrame, my_movies: DataFrame) -> DataFrame:
+def co_rated_pairs(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None) -> DataFrame:
     """(user_id, own_id, pred_id, own_rating, pred_rating, user_avg).
 
     Only the all-ratings side carries the user-average window, so the full ratings are
@@ -43,11 +48,11 @@ def co_rated_pairs(ratings: DataFrame, my_movies: DataFrame) -> DataFrame:
     shuffles just the own ratings. The window's partitioning and sort on user_id already
     satisfy the sort-merge join.
     """
-    mine = broadcast_if_bounded(my_movies.select("movie_id"))
-    x = ratings.join(mine, "movie_id", "left_semi").select(
+    hint = own_hint or broadcast_hint_for(my_movies)
+    x = ratings.join(hint(my_movies.select("movie_id")), "movie_id", "left_semi").select(
         F.col("user_id").alias("x_user"), F.col("movie_id").alias("own_id"), F.col("rating").alias("own_rating")
     )
-    y = centred_ratings(ratings, my_movies).select(
+    y = centred_ratings(ratings, my_movies, hint).select(
         F.col("user_id").alias("y_user"),
         F.col("movie_id").alias("pred_id"),
         F.col("rating").alias("pred_rating"),
@@ -79,6 +84,6 @@ def adjusted_cosine(pairs: DataFrame, digits: int = SIM_DIGITS) -> DataFrame:
     return sums.select("own_id", "pred_id", "co_raters", sim.alias("similarity"))
 
 
-def item_similarity(ratings: DataFrame, my_movies: DataFrame) -> DataFrame:
+def item_similarity(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None) -> DataFrame:
     """Adjusted cosine between every own movie and every movie co-rated with it."""
-    return adjusted_cosine(co_rated_pairs(ratings, my_movies))
+    return adjusted_cosine(co_rated_pairs(ratings, my_movies, own_hint))
