@@ -88,3 +88,20 @@ def test_hot_user_pairs_complete(spark):
     pairs = similarity.co_rated_pairs(ratings_df(spark, rows).repartition(4), mine)
     n_hot = pairs.where(F.col("user_id") == 0).count()
     assert n_hot == 59 + 58  # own 3 with every other movie, own 10 with every other movie except 3
+
+
+SKIP_NO_UDF = {
+    # these write scratch data or fit models while the DataFrame is built; covered elsewhere
+    "ratings_scan", "movies_scan", "my_movies_scan", "ratings_tolerant_parse", "sink_roundtrip",
+    "genre_avg_rating_stream", "als_validation_error", "als_test_error", "als_recommendations",
+}
+
+
+def test_no_python_in_any_plan(spark, capsys):
+    from cinemetrics.plans.catalog import QUERIES
+
+    for key, query in QUERIES.items():
+        if key in SKIP_NO_UDF:
+            continue
+        p = plan(query(spark, SF_SMALL), capsys, "simple")
+        assert "EvalPython" not in p and "PythonUDF" not in p and "FlatMapGroupsInPandas" not in p, key
