@@ -1,4 +1,4 @@
-"""CSV sources with the MovieLens layouts (header line, quoted titles, pipe genres).
+"""CSV sources for the ratings layouts (header line, quoted titles, pipe-separated genres).
 
 Schemas are given, never inferred. Titles with commas are quoted and doubled quotes
 are unescaped by the reader itself, so the title comes back as written.
