@@ -64,6 +64,12 @@ def _als_input(df: DataFrame) -> DataFrame:
 
 
 def make_als(rank: int, reg_param: float, max_iter: int, blocks: int, seed: int = SEED) -> ALS:
+    """Explicit-feedback ALS; unknown users/items are dropped when scoring (like an inner join).
+
+    ``checkpointInterval=10`` writes the factor RDDs to the checkpoint folder every 10
+    iterations. It is required, not only a guard against lost executors: without it the
+    lineage of a 20-iteration fit grows until task deserialisation overflows the stack.
+    """
     return ALS(
         rank=rank,
         maxIter=max_iter,
