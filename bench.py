@@ -46,7 +46,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     keys = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="cinemetrics-bench")
     materialize = os.environ.get("BENCH_MATERIALIZE", "1") != "0"

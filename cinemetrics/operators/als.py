@@ -137,12 +137,14 @@ def grid_search(
 
     Each fit is a distributed job; ``parallelism`` fits are submitted at once from driver
     threads (as ``pyspark.ml.tuning`` does), which keeps the cores busy when one fit is
-    too small to fill them. The choice is made in grid order, so it does not depend on
-    which fit finishes first.
+    too small to fill them, and each fit gets ``defaultParallelism / parallelism`` user and
+    item blocks. The choice is made in grid order, so it does not depend on which fit
+    finishes first.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = blocks or spark.sparkContext.defaultParallelism
+    # each fit in flight gets its share of the cores as ALS blocks (all of them when fits run one by one)
+    blocks = blocks or max(2, spark.sparkContext.defaultParallelism // max(1, parallelism))
     split = split_ratings(ratings)
     train = _als_input(training_set(ratings, personal)).persist(StorageLevel.MEMORY_AND_DISK)
     valid = _als_input(split.where(F.col("split") == "validation")).persist(StorageLevel.MEMORY_AND_DISK)
