@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import parse_genres
 from cinemetrics.session import scratch_path
+from cinemetrics.sources.tables import read_table, write_bucketed_table
 
 # Fixed values of the fixture mapping.
 SECONDS_PER_DAY = 86400
@@ -36,23 +37,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Session option: write the derived ratings once per session into the shared checkpoint
-# folder and read them back as parquet (the way ratings.csv sits on shared storage).
+# Session options: write the derived ratings once per session into the shared checkpoint
+# folder and read them back (the way ratings.csv sits on shared storage); with a bucket
+# count, as a table bucketed by user_id (see ``cinemetrics.sources.tables``).
 MATERIALIZE_CONF = "cinemetrics.fixtures.materialize"
-_MATERIALIZED: dict[tuple, str] = {}
+BUCKETS_CONF = "cinemetrics.fixtures.buckets"
+_MATERIALIZED: dict[tuple, tuple[str, str]] = {}
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id long, movie_id long, rating double, ts long), one row per cell."""
     if spark.conf.get(MATERIALIZE_CONF, "false").lower() != "true":
         return derive_ratings(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    path = _MATERIALIZED.get(key)
-    if path is None:
+    buckets = int(spark.conf.get(BUCKETS_CONF, "0"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), buckets)
+    if key not in _MATERIALIZED:
         path = scratch_path(spark, "ratings")
-        derive_ratings(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+        derived = derive_ratings(spark, sf_dir)
+        if buckets > 0:
+            _MATERIALIZED[key] = ("table", write_bucketed_table(derived, path, buckets))
+        else:
+            derived.write.mode("overwrite").parquet(path)
+            _MATERIALIZED[key] = ("parquet", path)
+    kind, where = _MATERIALIZED[key]
+    return read_table(spark, where) if kind == "table" else spark.read.parquet(where)
 
 
 def derive_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,3 +105,23 @@ def test_no_python_in_any_plan(spark, capsys):
             continue
         p = plan(query(spark, SF_SMALL), capsys, "simple")
         assert "EvalPython" not in p and "PythonUDF" not in p and "FlatMapGroupsInPandas" not in p, key
+
+
+def test_bucketed_ratings_skip_the_user_shuffle(spark, capsys, tmp_path):
+    from cinemetrics.sources.tables import read_table, write_bucketed_table
+
+    t = fixtures.load(spark, SF_SMALL)
+    name = write_bucketed_table(t.ratings, str(tmp_path / "ratings"), buckets=4)
+    bucketed = read_table(spark, name)
+    plain_sims = similarity.item_similarity(t.ratings, t.my_movies)
+    bucketed_sims = similarity.item_similarity(bucketed, t.my_movies)
+    assert sorted(map(tuple, bucketed_sims.collect())) == sorted(map(tuple, plain_sims.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(bucketed_sims, capsys, "simple")
+        top = plan(genre_top.genre_top_users(bucketed, t.movies), capsys, "simple")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "hashpartitioning(user_id" not in p  # window and pair join read the buckets as they are
+    # the (genre, user) aggregate reuses the user buckets; the only exchange left is by genre
+    assert top.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(genre#" in top
