@@ -226,8 +226,11 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.load(spark, sf_dir)
-    return als.training_set(t.ratings, t.personal)
+    """Training split plus the personal ratings, read back through the personal-ratings reader."""
+    path = scratch_path(spark, "personal.csv")
+    write_result(fixtures.personal_ratings(spark, sf_dir), path, fmt="csv", header=False)
+    personal = csv_src.read_personal_ratings_csv(spark, path)
+    return als.training_set(fixtures.ratings(spark, sf_dir), personal)
 
 
 _GRID_CACHE: dict[tuple, als.GridResult] = {}

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 FORMATS = ("csv", "parquet", "json")
 
 
-def write_result(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False, mode: str = "overwrite") -> str:
+def write_result(
+    df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False, mode: str = "overwrite", header: bool = True
+) -> str:
     """Write ``df`` to ``path``.
 
     ``single_file`` coalesces to one task and is meant for small final results (top-k
@@ -18,7 +20,7 @@ def write_result(df: DataFrame, path: str, fmt: str = "parquet", single_file: bo
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("quote", '"').option("escape", '"')
+        writer = writer.option("header", str(header).lower()).option("quote", '"').option("escape", '"')
     getattr(writer, fmt)(path)
     return path
 
