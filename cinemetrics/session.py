@@ -37,8 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can reach; it is
-    read from the session and used as is. Only where it is unset (local tests) a fresh
-    folder is made here and registered, so lineage cuts and written scratch tables work.
+    read from the session and used as is, and a cluster session without it is refused.
+    Only a local session (tests) without it gets a fresh folder made here.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors (HDFS or object storage)")
         conf_dir = tempfile.mkdtemp(prefix="cinemetrics-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
