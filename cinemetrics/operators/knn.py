@@ -94,8 +94,10 @@ def unrated_movies(movies: DataFrame, my_movies: DataFrame, own_hint: Hint | Non
     return movies.select("movie_id", "title").join(hint(my_movies.select("movie_id")), "movie_id", "left_anti")
 
 
-def _scored_with_titles(similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int, how: str) -> DataFrame:
-    own_hint = broadcast_hint_for(my_movies)
+def _scored_with_titles(
+    similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int, how: str, own_hint: Hint | None = None
+) -> DataFrame:
+    own_hint = own_hint or broadcast_hint_for(my_movies)
     title_hint = broadcast_hint_for(movies)  # unrated movies are a filter of movies
     titles = title_hint(unrated_movies(movies, my_movies, own_hint))
     return knn_scores(similarity, my_movies, k, own_hint).join(titles, "movie_id", how).select(
@@ -103,9 +105,11 @@ def _scored_with_titles(similarity: DataFrame, movies: DataFrame, my_movies: Dat
     )
 
 
-def knn_predictions(similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
+def knn_predictions(
+    similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS, own_hint: Hint | None = None
+) -> DataFrame:
     """(movie_id, title, prediction); own movies keep a NULL title (the title map omits them)."""
-    return _scored_with_titles(similarity, movies, my_movies, k, "left")
+    return _scored_with_titles(similarity, movies, my_movies, k, "left", own_hint)
 
 
 def top_predicted(
@@ -115,10 +119,11 @@ def top_predicted(
     n: int = TOP_PREDICTED,
     k: int = NEIGHBOURS,
     include_own: bool = False,
+    own_hint: Hint | None = None,
 ) -> DataFrame:
     """(movie_id, title, prediction): the n best predictions, id ascending on ties.
 
     Own movies are left out unless ``include_own``.
     """
-    scored = _scored_with_titles(similarity, movies, my_movies, k, "left" if include_own else "inner")
+    scored = _scored_with_titles(similarity, movies, my_movies, k, "left" if include_own else "inner", own_hint)
     return top_n(scored, [F.col("prediction").desc(), F.col("movie_id").asc()], n)
