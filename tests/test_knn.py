@@ -168,3 +168,13 @@ def test_tie_at_neighbour_ten(spark):
     assert preds[100] == round(sum(mine[m] for m in range(1, 11)) / 10, 6)
     _, _, want = brute_force(ratings, mine)
     assert preds == pytest.approx(want)
+
+
+def test_empty_own_list(spark):
+    r = ratings_df(spark, [(1, 10, 4.0), (1, 20, 2.0)])
+    mm = my_movies_df(spark, [])
+    mv = movies_df(spark, [(10, "a", ["X"]), (20, "b", ["X"])])
+    sims = similarity.item_similarity(r, mm)
+    assert sims.count() == 0
+    assert knn.knn_scores(sims, mm).count() == 0
+    assert knn.top_predicted(sims, mv, mm).count() == 0

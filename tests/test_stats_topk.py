@@ -125,3 +125,11 @@ def test_unknown_movie_and_unrated_movie_leave_joins(spark):
     gr = [tuple(x) for x in genre_ratings(r, mv).collect()]
     assert gr == [("X", 1, 10, 3.0)]
     assert [x.movie_id for x in genre_top.genre_movie_counts(r, mv).collect()] == [10]
+
+
+def test_movies_without_genres(spark):
+    r = ratings_df(spark, [(1, 10, 3.0), (2, 11, 4.5)])
+    mv = movies_df(spark, [(10, "Ten", []), (11, "Eleven", None)])
+    assert genre_ratings(r, mv).count() == 0
+    assert genre_top.genre_top_users_profile(r, mv).count() == 0
+    assert genre_top.genre_top_movies(r, mv).count() == 0
