@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import sorted_entries_by_value
-from cinemetrics.operators.broadcast import broadcast_if_bounded, broadcast_limit
+from cinemetrics.operators.broadcast import broadcast_hint_for, broadcast_if_bounded
 from cinemetrics.operators.genres import genre_ratings, movie_genres
 from cinemetrics.operators.stats import genre_user_stats, movie_rating_count, user_profile
 from cinemetrics.operators.topk import top_k
@@ -54,9 +54,8 @@ def genre_top_users_profile(ratings: DataFrame, movies: DataFrame, k: int = TOP_
     """
     ensure_checkpoint_dir(ratings.sparkSession)
     top = genre_top_users(ratings, movies, k).checkpoint(eager=True)
-    # the checkpointed table is tiny to count; the count bounds both broadcast sides
-    small = top.count() <= broadcast_limit(top)
-    hint = F.broadcast if small else (lambda df: df)
+    # counting the checkpointed table is cheap; its bound covers both broadcast sides cut from it
+    hint = broadcast_hint_for(top)
     users = hint(top.select("user_id").distinct())
     profile = user_profile(ratings.join(users, "user_id", "left_semi"))
     return hint(top).join(profile, "user_id").select(
