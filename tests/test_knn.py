@@ -178,3 +178,18 @@ def test_empty_own_list(spark):
     assert sims.count() == 0
     assert knn.knn_scores(sims, mm).count() == 0
     assert knn.top_predicted(sims, mv, mm).count() == 0
+
+
+@pytest.mark.parametrize("salt", [2, 7])
+def test_salted_pairs_equal_window_pairs(spark, salt):
+    ratings, mine = _random_case(9, 30, 25, 6, 0.5)
+    # a heavy user who rated every movie several times (breaks the one-rating-per-cell contract)
+    ratings += [(999, m, 1.0 + (m * k) % 9 * 0.5) for m in range(25) for k in range(3)]
+    r = ratings_df(spark, ratings)
+    mm = my_movies_df(spark, list(mine.items()))
+    plain = sorted(tuple(x) for x in similarity.co_rated_pairs(r, mm, salt=0).collect())
+    salted = sorted(tuple(x) for x in similarity.co_rated_pairs(r, mm, salt=salt).collect())
+    assert salted == plain
+    s_plain = sorted(tuple(x) for x in similarity.adjusted_cosine(similarity.co_rated_pairs(r, mm, salt=0)).collect())
+    s_salted = sorted(tuple(x) for x in similarity.adjusted_cosine(similarity.co_rated_pairs(r, mm, salt=salt)).collect())
+    assert s_salted == s_plain

@@ -125,3 +125,17 @@ def test_bucketed_ratings_skip_the_user_shuffle(spark, capsys, tmp_path):
     assert "hashpartitioning(user_id" not in p  # window and pair join read the buckets as they are
     # the (genre, user) aggregate reuses the user buckets; the only exchange left is by genre
     assert top.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(genre#" in top
+
+
+def test_salted_pair_join_partitions_by_user_and_salt(spark, capsys):
+    t = fixtures.load(spark, SF_SMALL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(similarity.co_rated_pairs(t.ratings, t.my_movies, salt=8), capsys, "simple")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(x_user" in p and "x_salt" in p.split("hashpartitioning(x_user")[1].split(")")[0]
+    assert "y_salt" in p.split("hashpartitioning(y_user")[1].split(")")[0]
+    assert "Window" not in p
