@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_bucketed_table(df: DataFrame, path: str, buckets: int, key: str = "user_id", table: str | None = None) -> str:
-    """Write ``df`` as an external parquet table at ``path``, bucketed and sorted by ``key``.
+    """Write ``df`` as an external parquet table at ``path``, bucketed by ``key``.
+
+    Buckets are not sorted: Spark does not use a bucket's sort order unless a legacy
+    option is set, so sorting would only add a sort of every bucket to the write.
 
     Returns the table name registered in the session catalog.
     """
@@ -26,7 +29,6 @@ def write_bucketed_table(df: DataFrame, path: str, buckets: int, key: str = "use
         df.repartition(buckets, key)
         .write.mode("overwrite")
         .bucketBy(buckets, key)
-        .sortBy(key)
         .option("path", path)
         .format("parquet")
         .saveAsTable(name)
