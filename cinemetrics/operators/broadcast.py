@@ -1,8 +1,8 @@
 """Broadcast behind a size check.
 
-A side is broadcast only after a bounded count proves it holds at most ``max_rows``
-rows; beyond that the join stays a shuffle join (AQE may still demote it to a broadcast
-from runtime statistics, and splits skewed partitions).
+A side is broadcast only after a count proves it holds at most ``max_rows`` rows;
+beyond that the join stays a shuffle join (AQE may still demote it to a broadcast from
+runtime statistics, and splits skewed partitions).
 """
 
 from __future__ import annotations
@@ -22,8 +22,15 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain distributed count: every task counts its split and only one number per task
+    reaches the final step. (``limit(n + 1).count()`` would instead move up to n + 1 rows
+    from every partition into a single task, which on a large input is the opposite of
+    cheap.) The sides checked here are dimensions or small derived tables, and a large
+    side costs one scan that its join would do anyway.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
