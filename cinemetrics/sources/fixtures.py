@@ -33,8 +33,16 @@ OWN_MOVIE_BELOW = 100
 PERSONAL_USER_ID = -1
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A source table; its DataFrame (file listing, footer schema) is made once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 # Session options: write the derived ratings once per session into the shared checkpoint
