@@ -61,7 +61,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), buckets)
     if key not in _MATERIALIZED:
         path = scratch_path(spark, "ratings")
-        derived = derive_ratings(spark, sf_dir)
+        derived = derive_ratings(spark, sf_dir, partitions=buckets or None)
         if buckets > 0:
             _MATERIALIZED[key] = ("table", write_bucketed_table(derived, path, buckets))
         else:
@@ -71,13 +71,22 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, where) if kind == "table" else spark.read.parquet(where)
 
 
-def derive_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ratings computed from ``lineitem JOIN orders`` (no materialisation)."""
+def derive_ratings(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """The ratings computed from ``lineitem JOIN orders`` (no materialisation).
+
+    With ``partitions``, the joined rows are hash-partitioned by customer into that many
+    partitions before the per-cell aggregate: the aggregate needs no exchange of its own,
+    and a following bucketing by user_id with the same count reuses the partitioning, so
+    one shuffle serves both.
+    """
     li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_shipdate")
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    joined = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+    if partitions:
+        joined = joined.repartition(partitions, "o_custkey")
     cells = (
-        li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+        joined
         .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("movie_id"))
         .agg(
             F.sum(F.col("l_quantity").cast("long")).alias("_qty"),

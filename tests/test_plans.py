@@ -139,3 +139,20 @@ def test_salted_pair_join_partitions_by_user_and_salt(spark, capsys):
     assert "hashpartitioning(x_user" in p and "x_salt" in p.split("hashpartitioning(x_user")[1].split(")")[0]
     assert "y_salt" in p.split("hashpartitioning(y_user")[1].split(")")[0]
     assert "Window" not in p
+
+
+def test_user_partitioned_derivation_same_rows_fewer_shuffles(spark, capsys):
+    plain = fixtures.derive_ratings(spark, SF_SMALL)
+    by_user = fixtures.derive_ratings(spark, SF_SMALL, partitions=4)
+    assert sorted(map(tuple, by_user.collect())) == sorted(map(tuple, plain.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(by_user.repartition(4, "user_id"), capsys, "simple")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # join exchanges by order key, then one exchange by customer serves the aggregate and the bucketing
+    assert p.count("Exchange hashpartitioning(o_custkey") == 1
+    assert "hashpartitioning(o_custkey#" in p and "l_suppkey" not in p.split("Exchange hashpartitioning(o_custkey")[1].split(")")[0]
+    assert "hashpartitioning(user_id" not in p
