@@ -17,6 +17,7 @@ higher-order ``filter``/``slice``/``aggregate`` on that array.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +43,37 @@ def _own_head(my_movies: DataFrame, size: int):
     return [(int(r["movie_id"]), float(r["my_rating"])) for r in rows]
 
 
-def knn_scores(similarity: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS, own_hint: Hint | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class OwnList:
+    """What the kNN steps need from the own ratings: the 2k - 1 smallest ids and a join hint."""
+
+    head: list[tuple[int, float]]
+    hint: Hint
+
+
+def own_list(my_movies: DataFrame, k: int = NEIGHBOURS) -> OwnList:
+    """One bounded read of the own list (per-partition top 2k - 1, then a merge).
+
+    A head shorter than 2k - 1 rows is the whole list, which proves it small enough to
+    broadcast; only a longer list needs a count.
+    """
+    head = _own_head(my_movies, 2 * k - 1)
+    hint = F.broadcast if len(head) < 2 * k - 1 else broadcast_hint_for(my_movies)
+    return OwnList(head, hint)
+
+
+def knn_scores(
+    similarity: DataFrame,
+    my_movies: DataFrame,
+    k: int = NEIGHBOURS,
+    own_hint: Hint | None = None,
+    own: OwnList | None = None,
+) -> DataFrame:
     """(movie_id, prediction) for every movie that has a pair with an own movie."""
     # One bounded read gives both the head and the slot count: fewer than 2k - 1 rows
     # means the head is the whole own list.
-    head = _own_head(my_movies, 2 * k - 1)
+    head = own.head if own is not None else _own_head(my_movies, 2 * k - 1)
+    own_hint = own.hint if own is not None else own_hint
     if not head:
         return similarity.sparkSession.createDataFrame([], "movie_id long, prediction double")
     slots = min(k, len(head))
@@ -95,21 +122,21 @@ def unrated_movies(movies: DataFrame, my_movies: DataFrame, own_hint: Hint | Non
 
 
 def _scored_with_titles(
-    similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int, how: str, own_hint: Hint | None = None
+    similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int, how: str, own: OwnList | None = None
 ) -> DataFrame:
-    own_hint = own_hint or broadcast_hint_for(my_movies)
+    own = own or own_list(my_movies, k)
     title_hint = broadcast_hint_for(movies)  # unrated movies are a filter of movies
-    titles = title_hint(unrated_movies(movies, my_movies, own_hint))
-    return knn_scores(similarity, my_movies, k, own_hint).join(titles, "movie_id", how).select(
+    titles = title_hint(unrated_movies(movies, my_movies, own.hint))
+    return knn_scores(similarity, my_movies, k, own=own).join(titles, "movie_id", how).select(
         "movie_id", "title", "prediction"
     )
 
 
 def knn_predictions(
-    similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS, own_hint: Hint | None = None
+    similarity: DataFrame, movies: DataFrame, my_movies: DataFrame, k: int = NEIGHBOURS, own: OwnList | None = None
 ) -> DataFrame:
     """(movie_id, title, prediction); own movies keep a NULL title (the title map omits them)."""
-    return _scored_with_titles(similarity, movies, my_movies, k, "left", own_hint)
+    return _scored_with_titles(similarity, movies, my_movies, k, "left", own)
 
 
 def top_predicted(
@@ -119,11 +146,11 @@ def top_predicted(
     n: int = TOP_PREDICTED,
     k: int = NEIGHBOURS,
     include_own: bool = False,
-    own_hint: Hint | None = None,
+    own: OwnList | None = None,
 ) -> DataFrame:
     """(movie_id, title, prediction): the n best predictions, id ascending on ties.
 
     Own movies are left out unless ``include_own``.
     """
-    scored = _scored_with_titles(similarity, movies, my_movies, k, "left" if include_own else "inner", own_hint)
+    scored = _scored_with_titles(similarity, movies, my_movies, k, "left" if include_own else "inner", own)
     return top_n(scored, [F.col("prediction").desc(), F.col("movie_id").asc()], n)

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinemetrics.operators import als, genre_top, genres, knn, matrix, similarity, stats
-from cinemetrics.operators.broadcast import broadcast_hint_for
 from cinemetrics.session import scratch_path
 from cinemetrics.sources import csv as csv_src
 from cinemetrics.sources import fixtures
@@ -209,16 +208,16 @@ def adjusted_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
-    own_hint = broadcast_hint_for(t.my_movies)
-    sims = similarity.item_similarity(t.ratings, t.my_movies, own_hint)
-    return knn.knn_predictions(sims, t.movies, t.my_movies, own_hint=own_hint)
+    own = knn.own_list(t.my_movies)
+    sims = similarity.item_similarity(t.ratings, t.my_movies, own.hint)
+    return knn.knn_predictions(sims, t.movies, t.my_movies, own=own)
 
 
 def top50_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
-    own_hint = broadcast_hint_for(t.my_movies)
-    sims = similarity.item_similarity(t.ratings, t.my_movies, own_hint)
-    return knn.top_predicted(sims, t.movies, t.my_movies, own_hint=own_hint)
+    own = knn.own_list(t.my_movies)
+    sims = similarity.item_similarity(t.ratings, t.my_movies, own.hint)
+    return knn.top_predicted(sims, t.movies, t.my_movies, own=own)
 
 
 # --- 6. ALS ---------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinemetrics.operators import als, genre_top, knn, matrix, similarity, stats
-from cinemetrics.operators.broadcast import broadcast_hint_for, broadcast_if_bounded
+from cinemetrics.operators.broadcast import broadcast_if_bounded
 from cinemetrics.operators.genres import movie_genres
 from cinemetrics.sources import csv as csv_src
 from cinemetrics.sources.sinks import write_result
@@ -59,9 +59,9 @@ def movie_prediction(
     """Adjusted cosine to the own ratings, 10-neighbour prediction, best 50 written."""
     ratings, movies = _inputs(spark, input_dir)
     mine = csv_src.read_my_movies_csv(spark, my_movies_path)
-    own_hint = broadcast_hint_for(mine)
-    sims = similarity.item_similarity(ratings, mine, own_hint)
-    top = knn.top_predicted(sims, movies, mine, include_own=include_own, own_hint=own_hint)
+    own = knn.own_list(mine)
+    sims = similarity.item_similarity(ratings, mine, own.hint)
+    top = knn.top_predicted(sims, movies, mine, include_own=include_own, own=own)
     write_result(top, _path(output_dir, OUT_TOP50_PREDICTED), fmt=fmt, single_file=True)
     return top
 

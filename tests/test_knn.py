@@ -193,3 +193,18 @@ def test_salted_pairs_equal_window_pairs(spark, salt):
     s_plain = sorted(tuple(x) for x in similarity.adjusted_cosine(similarity.co_rated_pairs(r, mm, salt=0)).collect())
     s_salted = sorted(tuple(x) for x in similarity.adjusted_cosine(similarity.co_rated_pairs(r, mm, salt=salt)).collect())
     assert s_salted == s_plain
+
+
+def test_own_list_hint(spark):
+    from pyspark.sql import functions as F
+
+    short = knn.own_list(my_movies_df(spark, [(m, 3.0) for m in range(5)]))
+    assert short.hint is F.broadcast and len(short.head) == 5
+    many = my_movies_df(spark, [(m, 3.0) for m in range(25)])
+    spark.conf.set("cinemetrics.broadcast.maxRows", "10")
+    try:
+        long_list = knn.own_list(many)  # head is full (19 rows), so the count decides: 25 > 10
+    finally:
+        spark.conf.unset("cinemetrics.broadcast.maxRows")
+    assert len(long_list.head) == 19 and long_list.hint is not F.broadcast
+    assert [m for m, _ in long_list.head] == list(range(19))
