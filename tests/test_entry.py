@@ -6,6 +6,7 @@ from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
 import __spark_entry__ as entry_mod
+from cinemetrics.plans import catalog, oracle
 
 ROWS_ONLY = {"als_validation_error", "als_test_error", "als_recommendations"}
 
@@ -20,9 +21,8 @@ def test_entry_smoke(spark):
 
 
 def test_registry_has_oracle_for_relational_keys():
-    qs, sqls = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == ROWS_ONLY
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
+    assert set(catalog.QUERIES) - set(oracle.oracle_sql()) == ROWS_ONLY
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +30,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("key", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
     ok, msg = compare(spark, SF_SMALL, key, entry_mod.queries()[key], entry_mod.oracle_sql()[key], con)
     assert ok, msg
