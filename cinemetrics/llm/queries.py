@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinemetrics.llm import decontaminate, langid, line_dedup, packing, simhash
+from cinemetrics.llm import (
+    decontaminate,
+    langid,
+    line_dedup,
+    packing,
+    pii,
+    sharding,
+    simhash,
+    substring_dedup,
+    topk_search,
+    toxicity,
+)
 from cinemetrics.llm.common import id_crc, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +41,27 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def toxicity_training_labels(labels: DataFrame) -> DataFrame:
+    return labels.where(id_crc() % 4 != 2)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    lexicon = toxicity.fit(docs, toxicity_training_labels(labels))
+    scored = toxicity.score_toxicity(docs, lexicon)
+    return scored.select("doc_id", (id_crc() % 4 == 2).alias("held_out"), "score", "predicted")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_equal", "item_words", "doc_word")
@@ -51,12 +78,42 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_crc() % 5 == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(read_table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read_table(spark, sf_dir, "documents"))
+    base = [k.name for k in pii.KINDS if k.always]
+
+    def written(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        )
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(k) for k in base]
+    kept = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select("doc_id", *counts, F.sha2(written(kept), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_language_id": op7_language_id,
+    "op8_sharding": op8_sharding,
+    "op9_pii": op9_pii,
+    "op10_exact_topk": op10_exact_topk,
 }
 
 _OP1 = """
@@ -113,7 +170,27 @@ ranked AS (
 SELECT doc_id, item_id, n_equal, n AS item_words, start AS doc_word FROM ranked WHERE r = 1
 """
 
+_OP10 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+)
+SELECT * FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+) WHERE rank <= 20
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": _OP1,
     "op6_benchmark_decontamination": _OP6,
+    "op10_exact_topk": _OP10,
 }
