@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cinemetrics.llm.common import unused
+
 ORDERS = (1, 2, 3)
 BITS = 16
 # fitting: expected number of labelled rows read per language, and number of languages learned
@@ -165,13 +167,15 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     score are replaced; rows are kept as they are, repeated ones too; an empty table stays
     empty.
     """
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    scored = docs.select(*[F.col(f"`{c}`") for c in rest], predict(model, docs.sparkSession).alias("_language"))
-    return scored.select(*[F.col(f"`{c}`") for c in rest], "_language.lang_pred", "_language.score")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    found = unused(docs, "_language")
+    scored = docs.select("*", predict(model, docs.sparkSession).alias(found))
+    return scored.select(*rest, f"{found}.lang_pred", f"{found}.score")
 
 
 def reject_unknown(docs: DataFrame, model: LanguageModel, min_score: float = 0.5) -> DataFrame:
     """``docs`` without those whose language stays open: ``und``, or a posterior under ``min_score``."""
-    scored = docs.withColumn("_language", predict(model, docs.sparkSession))
-    sure = (F.col("_language.lang_pred") != UNDETERMINED) & (F.col("_language.score") >= min_score)
+    found = unused(docs, "_language")
+    scored = docs.select("*", predict(model, docs.sparkSession).alias(found))
+    sure = (F.col(f"{found}.lang_pred") != UNDETERMINED) & (F.col(f"{found}.score") >= min_score)
     return scored.where(sure).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinemetrics.llm.common import ASCII_SPACE, ascii_lower, hash128, text_or_empty
+from cinemetrics.llm.common import ASCII_SPACE, ascii_lower, hash128, text_or_empty, unused
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -24,11 +24,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     A document is named by its id and the hash of its text, so rows that repeat an id with
     another text keep their own positions.
     """
-    t1, t2 = hash128(text_or_empty())
+    t1, t2 = hash128(F.col("_text"))
     lines = docs.select(F.col("doc_id").alias("_id"), text_or_empty().alias("_text")).select(
         "_id",
-        hash128(F.col("_text"))[0].alias("_t1"),
-        hash128(F.col("_text"))[1].alias("_t2"),
+        t1.alias("_t1"),
+        t2.alias("_t2"),
         F.posexplode(F.split("_text", "\n", -1)).alias("_pos", "_line"),
     )
     key = ascii_lower(F.btrim("_line", F.lit(ASCII_SPACE)))
@@ -64,20 +64,20 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     one document and each keeps its own row. A column called n_lines or n_dropped is replaced.
     """
     drops = dropped_lines(docs, min_chars, min_docs)
-    t1, t2 = hash128(text_or_empty())
+    t1, t2 = hash128(text_or_empty(docs["text"]))
     joined = docs.join(
         drops, docs["doc_id"].eqNullSafe(drops["_id"]) & (t1 == drops["_t1"]) & (t2 == drops["_t2"]), "left"
     )
-    lines = F.split(text_or_empty(docs["text"]), "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
-    text = F.when(F.col("_drop").isNull(), text_or_empty(docs["text"])).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(F.col("_lines"), i)), "\n")
+    others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    split, drop = unused(docs, "_lines"), unused(docs, "_drop")
+    lines = joined.select(
+        *[docs[f"`{c}`"] for c in others], F.split(text_or_empty(docs["text"]), "\n", -1).alias(split), drops["_drop"].alias(drop)
     )
-    out = joined.withColumn("_lines", lines).withColumn("_kept", text)
-    others = [docs[c] for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    return out.select(
-        *others,
-        F.col("_kept").alias("text"),
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"),
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(drop))
+    kept = F.when(F.col(drop).isNull(), F.col(split)).otherwise(F.transform(stay, lambda i: F.get(F.col(split), i)))
+    return lines.select(
+        *[F.col(f"`{c}`") for c in others],
+        F.array_join(kept, "\n").alias("text"),
+        F.size(split).cast("long").alias("n_lines"),
+        F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped"),
     )

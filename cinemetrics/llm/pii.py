@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinemetrics.llm.common import text_or_empty
+from cinemetrics.llm.common import text_or_empty, unused
 
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
@@ -140,8 +140,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     Null and empty texts have no spans. A column called spans is replaced; rows are kept as
     they are, repeated ones too; an empty table stays empty.
     """
-    rest = [c for c in docs.columns if c != "spans"]
-    columns = [F.col(f"`{c}`") for c in rest]
-    each = [_spans(text_or_empty(), k).alias(f"_pii_{k.name}") for k in KINDS]
-    found = docs.select(*columns, *each)
-    return found.select(*columns, F.concat(*[F.col(f"_pii_{k.name}") for k in KINDS]).cast(_SPANS).alias("spans"))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "spans"]
+    names = [unused(docs, f"_{k.name}") for k in KINDS]
+    found = docs.select("*", *[_spans(text_or_empty(), k).alias(n) for k, n in zip(KINDS, names)])
+    return found.select(*rest, F.concat(*[F.col(n) for n in names]).cast(_SPANS).alias("spans"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinemetrics.llm.common import settle
+from cinemetrics.llm.common import settle, unused
 from cinemetrics.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -134,16 +134,17 @@ def simhash_dedup(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = M
     """
     groups = simhash_components(docs, words, max_bits)
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # an id kept once needs no further choice; only repeated (or null) ids are grouped by whole rows
-    ids = stay.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).select(F.col("doc_id").alias("_stay"), "_rows")
-    kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_stay"]))
-    columns = [docs[c] for c in docs.columns]
-    single = kept.where((F.col("_rows") == 1) & F.col("_stay").isNotNull()).select(*columns)
-    repeated = kept.where((F.col("_rows") > 1) | F.col("_stay").isNull()).select(*columns)
-    chosen = (
-        repeated.withColumn("_fp", F.when(F.col("doc_id").isNull(), fingerprint("text", words)))
-        .groupBy("doc_id", "_fp")
-        .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))).alias("_row"))
-        .select("_row.*")
-    )
-    return single.unionByName(chosen)
+    # an id kept once needs no further choice; only repeated and null ids are grouped by whole rows
+    ids = stay.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    ids = ids.withColumnRenamed("doc_id", "_stay")
+    kept = docs.join(ids, docs["doc_id"] == ids["_stay"])
+    columns = [docs[f"`{c}`"] for c in docs.columns]
+    single = kept.where(ids["_rows"] == 1).select(*columns)
+    repeated = kept.where(ids["_rows"] > 1).select(*columns)
+    named, row, fp = [F.col(f"`{c}`") for c in docs.columns], unused(docs, "_row"), unused(docs, "_fp")
+    least = F.min_by(F.struct(*named), F.struct("text", F.xxhash64(*named))).alias(row)
+    chosen = repeated.groupBy("doc_id").agg(least).select(f"{row}.*")
+    prints = stay.where(F.col("doc_id").isNull()).select(F.col("fp").alias(fp)).distinct()
+    nameless = docs.where(F.col("doc_id").isNull()).withColumn(fp, fingerprint("text", words)).join(prints, fp)
+    nameless = nameless.groupBy(fp).agg(least).select(f"{row}.*")
+    return single.unionByName(chosen).unionByName(nameless)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinemetrics.llm.common import settle
+from cinemetrics.llm.common import settle, unused
 
 # fitting: expected number of labelled rows read per class
 MAX_TRAIN_PER_CLASS = 5_000
@@ -269,11 +269,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHO
     are, repeated ones too; an empty table stays empty.
     """
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("score", "predicted", "terms")]
-    scored = docs.select(*rest, score_column(lexicon, docs.sparkSession).alias("_toxicity"))
-    kept = [c for c in scored.columns if c != "_toxicity"]
-    return scored.select(
-        *[F.col(f"`{c}`") for c in kept],
-        "_toxicity.score",
-        (F.col("_toxicity.score") >= threshold).cast("int").alias("predicted"),
-        "_toxicity.terms",
-    )
+    found = unused(docs, "_toxicity")
+    scored = docs.select("*", score_column(lexicon, docs.sparkSession).alias(found))
+    toxic = (F.col(f"{found}.score") >= threshold).cast("int")
+    return scored.select(*rest, f"{found}.score", toxic.alias("predicted"), f"{found}.terms")

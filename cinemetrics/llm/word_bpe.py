@@ -5,7 +5,7 @@ white-space separated pieces one after the other, and each task tokenizes every
 piece once. Pieces of plain Latin letters, digits and signs are split here and merged by
 ``tiktoken`` with the file's own ranks: the end-of-word mark is written as the byte 0xFF,
 which UTF-8 text never holds, and its one-character tokens come before all merges. Any other
-piece goes to ``tokenizers`` itself. ``tests/llm`` compares both on random and on corpus text.
+piece, and one that holds a special token's text, goes to ``tokenizers`` itself. ``tests/llm`` compares both on random and on corpus text.
 """
 
 from __future__ import annotations
@@ -41,11 +41,10 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = {t["content"] for t in spec["added_tokens"]}
-        self.special = sorted(special)
+        self.special = tuple(special)
         as_byte = byte_of_symbol()
         ranks: dict[bytes, int] = {}
         for token, i in spec["model"]["vocab"].items():
@@ -67,7 +66,7 @@ class WordBpe:
 
     def _piece(self, piece: bytes) -> bytes:
         text = piece.decode("utf-8", "replace")
-        if PLAIN.fullmatch(text):
+        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
             return b"".join([self._word(w) for w in PARTS.findall(text.lower())])
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
