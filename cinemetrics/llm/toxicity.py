@@ -181,9 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_TRAIN_PER_C
             for text, label in zip(batch["text"], batch["toxic"]):
                 by_class[label].update(_features(fold(text)))
             names = list(by_class[0].keys() | by_class[1].keys())
-            yield pd.DataFrame(
-                {"feature": names, "toxic": [by_class[1][n] for n in names], "clean": [by_class[0][n] for n in names]}
-            )
+            if names:
+                yield pd.DataFrame(
+                    {"feature": names, "toxic": [by_class[1][n] for n in names], "clean": [by_class[0][n] for n in names]}
+                )
 
     sums = sample.mapInPandas(count_features, "feature string, toxic long, clean long")
     sums = sums.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -206,9 +207,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_TRAIN_PER_C
                         phrases.add(folded[start : after + 1])
                 by_class[label].update(phrases)
             names = list(by_class[0].keys())
-            yield pd.DataFrame(
-                {"phrase": names, "toxic": [by_class[1][n] for n in names], "clean": [by_class[0][n] for n in names]}
-            )
+            if names:
+                yield pd.DataFrame(
+                    {"phrase": names, "toxic": [by_class[1][n] for n in names], "clean": [by_class[0][n] for n in names]}
+                )
 
     phrases = sample.mapInPandas(count_phrases, "phrase string, toxic long, clean long")
     phrases = phrases.groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))

@@ -1,0 +1,87 @@
+"""PII spans against Python's regular expressions, checksums, context, long runs."""
+
+import random
+import re
+
+from cinemetrics.llm import pii
+
+
+def luhn(s):
+    total = 0
+    for k, c in enumerate(reversed(s)):
+        d = int(c) * (2 if k % 2 else 1)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def digits(s):
+    return re.sub("[^0-9]", "", s)
+
+
+BASE = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+    ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 16 <= len(digits(s)) <= 19 and luhn(digits(s))),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= len(digits(s)) <= 15),
+]
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k, p, ok in BASE for m in re.finditer(p, text or "") if ok(m.group())]
+
+
+def got(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in pii.find_pii(df).collect()}
+    return [[(s.kind, s.start, s.end, s.score) for s in rows[i]] for i in range(len(texts))]
+
+
+def base(spans):
+    return [s[:3] for s in spans if s[0] in ("email", "ip", "card", "phone")]
+
+
+def test_random_texts(spark):
+    rnd = random.Random(4)
+    alphabet = ["@", ".", "+", "-", " ", "(", ")", "a", "B", "_", "%", "é", "\n", "😀", *"0123456789"]
+    made = ["4539578763621486", "4539 5787 6362 1486", "a.b@c.d", "1.2.3.4", "+49 (30) 1234-567", "300.1.1.1", "01.002.3.4.5.6.7.8", "a@b.c_d@e.f", "6011-0009-9013-9424"]
+    texts = ["".join(rnd.choice(alphabet) if rnd.random() < 0.8 else rnd.choice(made) for _ in range(rnd.randint(0, 80))) for _ in range(1500)]
+    texts += ["".join(rnd.choice("0123456789 -") for _ in range(60)) for _ in range(300)] + [None, "", "4539578763621486" * 3, *made]
+    for text, spans in zip(texts, got(spark, texts)):
+        assert base(spans) == brute(text), repr(text)
+
+
+def test_added_kinds_and_context(spark):
+    texts = [
+        "my IBAN is DE89 3704 0044 0532 0130 00 thanks",
+        "DE89370400440532013001",
+        "SSN: 123-45-6789",
+        "order 123-45-6789",
+        "call me: +1 555 123 4567",
+        "x +1 555 123 4567",
+    ]
+    found = got(spark, texts)
+    assert [s[0] for s in found[0]] == ["iban"] and found[0][0][1:3] == (11, 38) and found[0][0][3] == 1.0
+    assert not [s for s in found[1] if s[0] == "iban"]
+    assert [s[0] for s in found[2]] == ["ssn"] and found[3] == []
+    assert found[4][0][3] > found[5][0][3]
+
+
+def test_very_long_runs(spark):
+    texts = ["1" * 200_000, "1 " * 100_000, "a@" + "b." * 50_000 + "c", "." * 200_000 + "@", "x" * 200_000, "+1" + " " * 100_000, "1.1.1.1 " * 3000]
+    for text, spans in zip(texts, got(spark, texts)):
+        if text.startswith("a@"):
+            assert base(spans) == [("email", 0, len(text))]
+        elif text.startswith("1.1"):
+            assert len(base(spans)) == 3000
+        else:
+            assert base(spans) == []
+
+
+def test_defined_results_and_no_python(spark):
+    df = spark.createDataFrame([(1, None, 1), (2, "", 2), (3, "a@b.cd", 3), (3, "a@b.cd", 3)], "doc_id long, text string, spans int")
+    out = pii.find_pii(df)
+    assert out.columns == ["doc_id", "text", "spans"]
+    assert sorted(len(r.spans) for r in out.collect()) == [0, 0, 1, 1]
+    assert pii.find_pii(df.limit(0)).collect() == []
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

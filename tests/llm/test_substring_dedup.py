@@ -1,0 +1,88 @@
+"""Substring dedup against a plain scan over all windows."""
+
+import random
+
+import numpy as np
+import pytest
+
+from cinemetrics.llm import substring_dedup as sd
+
+
+def brute(rows, window=20):
+    """rows of distinct (id, text); null ids last, repeated ids by the order of the result's names."""
+    seen, out = set(), []
+    for i, t in rows:
+        words = (t or "").encode().split()
+        gone = set()
+        for k in range(len(words) - window + 1):
+            w = tuple(words[k : k + window])
+            if w in seen:
+                gone.update(range(k, k + window))
+            seen.add(w)
+        out.append((i, b" ".join(w for k, w in enumerate(words) if k not in gone).decode(), len(words), len(gone)))
+    return out
+
+
+def got(spark, rows, **kw):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    return sorted((tuple(r) for r in sd.substring_dedup(df, **kw).collect()), key=str)
+
+
+def corpus(seed, docs=60, vocabulary=300):
+    rnd = random.Random(seed)
+    words = [f"w{k}é" if k % 7 == 0 else f"w{k}" for k in range(vocabulary)]
+    passages = [[rnd.choice(words) for _ in range(rnd.randint(18, 80))] for _ in range(6)]
+    rows = []
+    for i in range(docs):
+        text = []
+        for _ in range(rnd.randint(0, 5)):
+            text += rnd.choice(passages) if rnd.random() < 0.5 else [rnd.choice(words) for _ in range(rnd.randint(0, 60))]
+        rows.append((i, rnd.choice([" ", "  ", "\n", "\t\x0b"]).join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_texts(spark, seed):
+    rows = corpus(seed)
+    assert got(spark, rows) == sorted(brute(rows), key=str)
+
+
+def test_small_windows_and_tiny_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 200)
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 500)
+    monkeypatch.setattr(sd, "SEEN", 5)
+    rows = corpus(5, vocabulary=12)
+    assert got(spark, rows, window=6, minimiser=2) == sorted(brute(rows, 6), key=str)
+
+
+def test_one_word_repeated_and_copies(spark):
+    rows = [(1, "a " * 200), (2, "a " * 19), (3, "a " * 20)] + [(10 + i, " ".join(f"x{k}" for k in range(50))) for i in range(80)]
+    assert got(spark, rows) == sorted(brute(rows), key=str)
+
+
+def test_nulls_short_texts_null_ids_and_repeated_rows(spark):
+    text = " ".join(f"t{k}" for k in range(30))
+    rows = [(1, None), (2, ""), (3, " \n "), (4, "short one"), (None, text), (7, text), (8, text + " more"), (8, text + " more")]
+    found = got(spark, rows)
+    want = brute([(1, None), (2, ""), (3, " \n "), (4, "short one"), (7, text), (8, text + " more")])
+    want += [want[-1], (None, "", 30, 30)]
+    assert found == sorted(want, key=str)
+
+
+def test_very_long_text(spark):
+    rnd = random.Random(9)
+    long = " ".join(rnd.choice("abcdefghij") * rnd.randint(1, 9) for _ in range(120_000))
+    rows = [(1, long), (2, long[5000:9000])]
+    assert got(spark, rows) == sorted(brute(rows), key=str)
+
+
+def test_empty_table_and_other_columns(spark):
+    assert got(spark, []) == []
+    df = spark.createDataFrame([(1, "a b", "x", "y")], "doc_id long, text string, _id string, n_words string")
+    assert [tuple(r) for r in sd.substring_dedup(df).collect()] == [(1, "a b", 2, 0)]
+
+
+def test_equal_hashes_of_different_windows_are_told_apart(monkeypatch):
+    monkeypatch.setattr(sd, "_mix", lambda h: np.zeros_like(h))
+    found = {b"a b c d": (1, 0, 0), b"e f g": (2, 0, 0), b"x b c d": (3, 0, 0)}
+    assert sd.repeated_windows(found, 3, sd._Powers()) == [(3, 0, 1, 3)]

@@ -1,0 +1,70 @@
+"""Top-k search against all inner products: recall is 1, order and ties as stated."""
+
+import math
+import random
+
+import pytest
+
+from cinemetrics.llm import topk_search as ts
+
+
+def brute(rows, k=20, modulus=20):
+    best = {}
+    for i, x in rows:
+        if i is None or x is None or any(c is None or not math.isfinite(c) for c in x):
+            continue
+        v = [math.floor(64 * c) for c in x]
+        best[i] = min(best.get(i, v), v)
+    out = []
+    for q in best:
+        if q % modulus == 0:
+            scores = sorted((-sum(a * b for a, b in zip(best[q], best[i])), i) for i in best if i != q)[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    return sorted(out)
+
+
+def got(spark, rows, **kw):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int").repartition(3)
+    return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ts.top_k(df, **kw).collect())
+
+
+def clusters(seed, n, dim, spread):
+    rnd = random.Random(seed)
+    centres = [[rnd.gauss(0, 1) for _ in range(dim)] for _ in range(8)]
+    return [(i, [c + rnd.gauss(0, spread) for c in rnd.choice(centres)], 0) for i in range(n)]
+
+
+@pytest.mark.parametrize("spread", [0.05, 3.0])
+def test_against_all_products(spark, monkeypatch, spread):
+    monkeypatch.setattr(ts, "RESCORE", 30)
+    rows = clusters(7, 900, 12, spread)
+    assert got(spark, rows, block_rows=200, batch_rows=16) == brute([r[:2] for r in rows])
+
+
+def test_some_queries_stop_on_proof_before_the_last_level():
+    import numpy as np
+
+    rnd = np.random.default_rng(1)
+    values = (rnd.normal(size=(3000, 16)) * 4).astype("i4")
+    values[:40] = values[0] * 12
+    index = ts.ImpactIndex(np.arange(3000), values)
+    seen = []
+    index.rest = [r if seen.append(n) is None else r for n, r in enumerate(index.rest)]
+    found = list(index.search(values[:1], np.array([0]), 20))
+    exact = sorted((-int(values[0].astype("i8") @ v.astype("i8")), i) for i, v in enumerate(values) if i)[:20]
+    assert found[0][1].tolist() == [i for _, i in exact] and found[0][2].tolist() == [-s for s, _ in exact]
+    assert all((a[1:] <= b[1:]).all() for a, b in zip(index.rest[1:], index.rest[:-1]))
+
+
+def test_ties_copies_and_unusable_vectors(spark):
+    rows = [(i, [1.0, 0.5], 0) for i in range(60)] + [(i, [1.0, 0.5], 0) for i in range(30)]
+    rows += [(100, None, 0), (101, [1.0, None], 0), (102, [float("nan"), 1.0], 0), (103, [float("inf"), 0.0], 0), (None, [9.0, 9.0], 0)]
+    rows += [(120, [], 0), (140, [-1.0], 0), (7, [0.5, 0.5], 0), (160, [1e-9, -1e-9, 3.0], 0), (180, [1e30, 0.0], 0)]
+    want = brute([r[:2] for r in rows if r[0] != 180])
+    assert got(spark, rows) == want
+    assert [r[2] for r in want if r[0] == 0] == [i for i in range(1, 22) if i != 7]
+
+
+def test_few_rows_and_empty_table(spark):
+    assert got(spark, [(0, [1.0], 0), (20, [2.0], 0), (3, [-1.0], 0)]) == brute([(0, [1.0]), (20, [2.0]), (3, [-1.0])])
+    assert got(spark, [(0, [1.0], 0)]) == [] and got(spark, [(1, [1.0], 0)]) == [] and got(spark, []) == []
