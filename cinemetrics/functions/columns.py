@@ -1,7 +1,7 @@
 """Scalar column expressions shared by the operators.
 
-Each returns a ``Column`` made of built-in functions, so it stays inside whole-stage
-codegen (higher-order functions included).
+Each returns a ``Column`` made of built-in functions, so it runs in the JVM. Those with
+higher-order functions are evaluated outside whole-stage code generation.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -32,6 +33,9 @@ MAX_ITERS = (10, 20)
 SEED = 42
 RECOMMEND_N = 50
 PERSONAL_USER_ID = -1
+# ALS draws its start factors per block, so the number of blocks is part of the model: it is
+# fixed, and does not follow the cluster. Raise it together with the data, not with the cores.
+BLOCKS = 10
 
 
 def split_ratings(ratings: DataFrame) -> DataFrame:
@@ -63,7 +67,7 @@ def _als_input(df: DataFrame) -> DataFrame:
     )
 
 
-def make_als(rank: int, reg_param: float, max_iter: int, blocks: int, seed: int = SEED) -> ALS:
+def make_als(rank: int, reg_param: float, max_iter: int, blocks: int = BLOCKS, seed: int = SEED) -> ALS:
     """Explicit-feedback ALS; unknown users/items are dropped when scoring (like an inner join).
 
     ``checkpointInterval=10`` writes the factor RDDs to the checkpoint folder every 10
@@ -104,14 +108,54 @@ class ModelError:
         return self.sse / self.n_split if self.n_split else float("nan")
 
 
+def prediction_error(scored: DataFrame, split_sizes: DataFrame) -> DataFrame:
+    """(split, n_split, n_predicted, sse, mse, rmse, mse_ref) from rows (split, rating,
+    prediction) and the size of each split (split, n).
+
+    Rows without a prediction do not count as predicted, but do in ``n_split``, by which
+    ``mse_ref`` divides. A split without any prediction has sse 0 and null errors.
+    """
+    error = F.col("rating") - F.col("prediction")
+    sums = scored.where(F.col("prediction").isNotNull()).groupBy("split").agg(
+        F.sum(error * error).alias("sse"), F.count(F.lit(1)).alias("n_predicted")
+    )
+    both = split_sizes.withColumnRenamed("n", "n_split").join(sums, "split", "left")
+    sse, n = F.coalesce("sse", F.lit(0.0)), F.coalesce("n_predicted", F.lit(0))
+    some = F.when(n > 0, n)
+    return both.select(
+        "split", "n_split", n.cast("long").alias("n_predicted"), sse.alias("sse"),
+        (sse / some).alias("mse"), F.sqrt(sse / some).alias("rmse"),
+        (sse / F.when((n > 0) & (F.col("n_split") > 0), F.col("n_split"))).alias("mse_ref"),
+    )
+
+
+def user_mean_scores(ratings: DataFrame, personal: DataFrame) -> DataFrame:
+    """(split, rating, prediction) of the validation and test ratings, predicted by the mean of
+    the user's training ratings; users without a training rating get no row (inner join)."""
+    means = training_set(ratings, personal).groupBy("user_id").agg(F.avg("rating").alias("prediction"))
+    held = split_ratings(ratings).where(F.col("split") != "training")
+    return held.join(means, "user_id").select("split", "rating", "prediction")
+
+
+def scorable_counts(ratings: DataFrame, personal: DataFrame) -> DataFrame:
+    """(split, n_split, n_scorable): ratings whose user and movie both occur in the training
+    set, which are those that ALS can predict."""
+    train = training_set(ratings, personal)
+    users = train.select("user_id").distinct().withColumn("_user", F.lit(True))
+    movies = train.select("movie_id").distinct().withColumn("_movie", F.lit(True))
+    held = split_ratings(ratings).where(F.col("split") != "training")
+    known = held.join(users, "user_id", "left").join(movies, "movie_id", "left")
+    return known.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_split"), F.count_if(F.col("_user") & F.col("_movie")).alias("n_scorable")
+    )
+
+
 def model_error(model: ALSModel, data: DataFrame, n_split: int) -> ModelError:
     """Squared error of ``model`` on ``data`` (one aggregate row to the driver)."""
-    scored = model.transform(data)
-    row = scored.agg(
-        F.sum(F.pow(F.col("rating") - F.col("prediction"), 2)).alias("sse"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    return ModelError(float(row["sse"] or 0.0), int(row["n"]), n_split)
+    scored = model.transform(data).select(F.lit("data").alias("split"), "rating", "prediction")
+    sizes = data.sparkSession.createDataFrame([("data", n_split)], "split string, n long")
+    row = prediction_error(scored, sizes).first()
+    return ModelError(float(row["sse"]), int(row["n_predicted"]), n_split)
 
 
 @dataclass
@@ -130,45 +174,55 @@ def grid_search(
     reg_params=REG_PARAMS,
     max_iters=MAX_ITERS,
     seed: int = SEED,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
     parallelism: int = 1,
 ) -> GridResult:
     """Fit every (rank, reg_param, max_iter); keep the strictly smallest ``mse_ref`` (first wins ties).
 
     Each fit is a distributed job; ``parallelism`` fits are submitted at once from driver
-    threads (as ``pyspark.ml.tuning`` does), which keeps the cores busy when one fit is
-    too small to fill them, and each fit gets ``defaultParallelism / parallelism`` user and
-    item blocks. The choice is made in grid order, so it does not depend on which fit
-    finishes first.
+    threads (as ``pyspark.ml.tuning`` does). It is a speed setting only: the blocks are fixed,
+    the training rows are dealt to as many partitions and sorted, so that neither it nor the
+    number of cores changes a model. The choice is made in grid order; only the best model so
+    far is kept, any other is dropped as soon as its error is known.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
-    # each fit in flight gets its share of the cores as ALS blocks (all of them when fits run one by one)
-    blocks = blocks or max(2, spark.sparkContext.defaultParallelism // max(1, parallelism))
     split = split_ratings(ratings)
-    train = _als_input(training_set(ratings, personal)).persist(StorageLevel.MEMORY_AND_DISK)
-    valid = _als_input(split.where(F.col("split") == "validation")).persist(StorageLevel.MEMORY_AND_DISK)
-    test = _als_input(split.where(F.col("split") == "test")).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fixed(df: DataFrame) -> DataFrame:
+        dealt = _als_input(df).repartition(blocks, "user_id").sortWithinPartitions("user_id", "movie_id", "rating")
+        return dealt.persist(StorageLevel.MEMORY_AND_DISK)
+
+    train = fixed(training_set(ratings, personal))
+    valid = fixed(split.where(F.col("split") == "validation"))
+    test = fixed(split.where(F.col("split") == "test"))
     try:
         counts = {"training": train.count(), "validation": valid.count(), "test": test.count()}
         grid = list(itertools.product(ranks, reg_params, max_iters))
+        if not grid:
+            raise ValueError("empty grid")
+        lock = threading.Lock()
+        best: list = []  # [(error, place in the grid, model)]
 
-        def fit(params: tuple) -> tuple[ALSModel, ModelError]:
-            rank, reg, iters = params
+        def fit(place: int) -> ModelError:
+            rank, reg, iters = grid[place]
             model = make_als(rank, reg, iters, blocks, seed).fit(train)
-            return model, model_error(model, valid, counts["validation"])
+            err = model_error(model, valid, counts["validation"])
+            with lock:
+                if not best or (err.mse_ref, place) < best[0][:2]:
+                    best[:] = [(err.mse_ref, place, model)]
+            return err
 
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
-            fitted = list(pool.map(fit, grid))
-        rows: list[tuple] = []
-        best: tuple[float, ALSModel, tuple] | None = None
-        for (rank, reg, iters), (model, err) in zip(grid, fitted):
-            rows.append((rank, float(reg), iters, err.mse, err.rmse, err.mse_ref, err.n_predicted))
-            if best is None or err.mse_ref < best[0]:
-                best = (err.mse_ref, model, (rank, float(reg), iters))
-        assert best is not None, "empty grid"
-        test_err = model_error(best[1], test, counts["test"])
-        return GridResult(rows, best[1], best[2], test_err, counts)
+            errors = list(pool.map(fit, range(len(grid))))
+        rows = [
+            (rank, float(reg), iters, err.mse, err.rmse, err.mse_ref, err.n_predicted)
+            for (rank, reg, iters), err in zip(grid, errors)
+        ]
+        _, place, model = best[0]
+        rank, reg, iters = grid[place]
+        test_err = model_error(model, test, counts["test"])
+        return GridResult(rows, model, (rank, float(reg), iters), test_err, counts)
     finally:
         train.unpersist()
         valid.unpersist()

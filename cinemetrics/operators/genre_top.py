@@ -49,12 +49,13 @@ def genre_top_users_profile(ratings: DataFrame, movies: DataFrame, k: int = TOP_
     The top-k table (at most k rows per genre) is computed once and checkpointed into the
     shared checkpoint folder, so the genre aggregation is not run a second time for the
     user filter. Dataset-wide statistics are then aggregated only over the ratings of the
-    top users: the ratings are semi-joined with the user list (broadcast after its row
-    count is checked), and Catalyst pushes that filter below the rating derivation.
+    top users: the ratings are semi-joined with the user list (broadcast after its size is
+    checked), and Catalyst pushes that filter below the rating derivation. The checkpoint and
+    the size checks run as jobs while the plan is built.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
     top = genre_top_users(ratings, movies, k).checkpoint(eager=True)
-    # counting the checkpointed table is cheap; its bound covers both broadcast sides cut from it
+    # measuring the checkpointed table is cheap; its bound covers both broadcast sides cut from it
     hint = broadcast_hint_for(top)
     users = hint(top.select("user_id").distinct())
     profile = user_profile(ratings.join(users, "user_id", "left_semi"))

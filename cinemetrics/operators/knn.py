@@ -31,6 +31,8 @@ Hint = Callable[[DataFrame], DataFrame]
 NEIGHBOURS = 10
 TOP_PREDICTED = 50
 PRED_DIGITS = 6
+# the 2k - 1 smallest own ids are embedded in the plan, so k is bounded
+MAX_NEIGHBOURS = 1000
 # Fixed values of the prediction rule: weight of an own movie without a pair, and the
 # value reported when the weighted mean is undefined.
 MISSING_SIMILARITY = -1.0
@@ -39,6 +41,8 @@ UNDEFINED_PREDICTION = -1000.0
 
 def _own_head(my_movies: DataFrame, size: int):
     """The ``size`` smallest own ids with their ratings (bounded: size <= 2k - 1)."""
+    if size >= 2 * MAX_NEIGHBOURS:
+        raise ValueError(f"at most {MAX_NEIGHBOURS} neighbours")
     rows = my_movies.select("movie_id", "my_rating").orderBy("movie_id").limit(size).collect()
     return [(int(r["movie_id"]), float(r["my_rating"])) for r in rows]
 

@@ -1,73 +1,55 @@
 """Co-rated movie pairs and item-item adjusted cosine similarity.
 
 Pairs are pruned before the self join: only ratings of own movies (``x``) are joined
-with all ratings of the same user (``y``), under
-``NOT y.is_own OR x.movie_id < y.movie_id``. That yields each unordered pair with at
-least one own movie exactly once, with the own movie (the smaller id when both are own)
-in ``own_id`` -- the pair set and roles of the all-pairs formulation, at a cost of
-sum(n_u * own_u) instead of sum(n_u^2).
-
-A user can rate a movie once, so a user key holds at most #movies rows; the user
-partitioning cannot pile up a third of the data in one task. For input where that does
-not hold, ``salted_co_rated_pairs`` splits each user over several tasks.
+with the ratings of the same user (``y``), under ``NOT y.is_own OR x.movie_id < y.movie_id``.
+That yields each unordered pair with at least one own movie exactly once, with the own movie
+(the smaller id when both are own) in ``own_id`` -- the pair set and roles of the all-pairs
+formulation, at a cost of sum(n_u * own_u) instead of sum(n_u^2).
+
+Users without an own rating form no pair; their ratings are left out before anything is
+shuffled by user. The user mean is a hash aggregate (combined in every map task) and travels
+with the own ratings, the small side. The pair join itself is a plain equi-join of two shuffled
+sides, so adaptive execution splits a user who holds a large part of the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import safe_divide
-from cinemetrics.operators.broadcast import broadcast_hint_for
+from cinemetrics.operators.broadcast import broadcast_hint_for, broadcast_if_bounded
+from cinemetrics.session import ensure_checkpoint_dir
 
 Hint = Callable[[DataFrame], DataFrame]
 
 SIM_DIGITS = 9
-SALT_CONF = "cinemetrics.pairs.salt"
-
-
-def flag_own(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None) -> DataFrame:
-    """ratings + ``is_own`` (the movie is among the own ratings); own list broadcast after a check."""
-    hint = own_hint or broadcast_hint_for(my_movies)
-    mine = hint(my_movies.select("movie_id", F.lit(True).alias("is_own")))
-    return ratings.join(mine, "movie_id", "left").withColumn("is_own", F.coalesce("is_own", F.lit(False)))
-
-
-def centred_ratings(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None) -> DataFrame:
-    """(user_id, movie_id, rating, is_own, user_avg): user_avg over all ratings of the user."""
-    w = Window.partitionBy("user_id")
-    flagged = flag_own(ratings.select("user_id", "movie_id", "rating"), my_movies, own_hint)
-    return flagged.withColumn("user_avg", F.avg("rating").over(w))
 
 
-def co_rated_pairs(
-    ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None, salt: int | None = None
-) -> DataFrame:
-    """(user_id, own_id, pred_id, own_rating, pred_rating, user_avg).
-
-    Only the all-ratings side carries the user-average window, so the full ratings are
-    shuffled once (by user); the own side is filtered by a broadcast semi join first and
-    shuffles just the own ratings. The window's partitioning and sort on user_id already
-    satisfy the sort-merge join.
-
-    ``salt`` (default: session option ``cinemetrics.pairs.salt``, 0 = off) spreads every
-    user over ``salt`` tasks instead; see ``salted_co_rated_pairs``.
-    """
-    salt = int(ratings.sparkSession.conf.get(SALT_CONF, "0")) if salt is None else salt
-    if salt > 1:
-        return salted_co_rated_pairs(ratings, my_movies, salt, own_hint)
+def co_rated_pairs(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | None = None) -> DataFrame:
+    """(user_id, own_id, pred_id, own_rating, pred_rating, user_avg)."""
     hint = own_hint or broadcast_hint_for(my_movies)
-    x = ratings.join(hint(my_movies.select("movie_id")), "movie_id", "left_semi").select(
-        F.col("user_id").alias("x_user"), F.col("movie_id").alias("own_id"), F.col("rating").alias("own_rating")
+    ratings = ratings.select("user_id", "movie_id", "rating")
+    mine = hint(my_movies.select(F.col("movie_id").alias("m_id")).distinct())
+    # the ratings of own movies are written once: they give the raters, the own side and their size
+    ensure_checkpoint_dir(ratings.sparkSession)
+    own = ratings.join(mine, F.col("movie_id") == F.col("m_id"), "left_semi").checkpoint(eager=True)
+    raters = broadcast_if_bounded(own.select("user_id").distinct())
+    theirs = ratings.join(raters, "user_id", "left_semi")
+    means = theirs.groupBy("user_id").agg(F.avg("rating").alias("user_avg"))
+    x = own.join(means, "user_id").select(
+        F.col("user_id").alias("x_user"), F.col("movie_id").alias("own_id"), F.col("rating").alias("own_rating"), "user_avg"
     )
-    y = centred_ratings(ratings, my_movies, hint).select(
+    # dealt by movie first: the pair join then shuffles both of its sides itself, which is
+    # what lets adaptive execution split them
+    x = x.repartition("own_id")
+    y = theirs.join(mine, F.col("movie_id") == F.col("m_id"), "left").select(
         F.col("user_id").alias("y_user"),
         F.col("movie_id").alias("pred_id"),
         F.col("rating").alias("pred_rating"),
-        F.col("is_own").alias("pred_is_own"),
-        "user_avg",
+        F.col("m_id").isNotNull().alias("pred_is_own"),
     )
     cond = (F.col("x_user") == F.col("y_user")) & (~F.col("pred_is_own") | (F.col("own_id") < F.col("pred_id")))
     return x.join(y, cond).select(
@@ -75,46 +57,6 @@ def co_rated_pairs(
     )
 
 
-def salted_co_rated_pairs(ratings: DataFrame, my_movies: DataFrame, salt: int, own_hint: Hint | None = None) -> DataFrame:
-    """``co_rated_pairs`` for users too heavy for one task (input that breaks the one rating
-    per (user, movie) contract, or extreme raters).
-
-    The user mean comes from a hash aggregate (combined in every map task, so a heavy
-    user is pre-aggregated), and it is attached to the own ratings only. All ratings get a
-    salt from their movie id; the own side is replicated once per salt value, and the join
-    on (user, salt) splits every user's ratings over ``salt`` tasks. Costs: one more
-    aggregate shuffle and ``salt`` copies of the own ratings. The same rows result.
-    """
-    hint = own_hint or broadcast_hint_for(my_movies)
-    means = ratings.groupBy("user_id").agg(F.avg("rating").alias("user_avg"))
-    own = ratings.join(hint(my_movies.select("movie_id")), "movie_id", "left_semi")
-    x = (
-        own.join(means, "user_id")
-        .select(
-            F.col("user_id").alias("x_user"),
-            F.col("movie_id").alias("own_id"),
-            F.col("rating").alias("own_rating"),
-            "user_avg",
-        )
-        .withColumn("x_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    )
-    y = flag_own(ratings.select("user_id", "movie_id", "rating"), my_movies, hint).select(
-        F.col("user_id").alias("y_user"),
-        F.col("movie_id").alias("pred_id"),
-        F.col("rating").alias("pred_rating"),
-        F.col("is_own").alias("pred_is_own"),
-        F.pmod(F.xxhash64("movie_id"), F.lit(salt)).cast("int").alias("y_salt"),
-    )
-    cond = (
-        (F.col("x_user") == F.col("y_user"))
-        & (F.col("x_salt") == F.col("y_salt"))
-        & (~F.col("pred_is_own") | (F.col("own_id") < F.col("pred_id")))
-    )
-    return x.join(y, cond).select(
-        F.col("x_user").alias("user_id"), "own_id", "pred_id", "own_rating", "pred_rating", "user_avg"
-    )
-
-
 def adjusted_cosine(pairs: DataFrame, digits: int = SIM_DIGITS) -> DataFrame:
     """(own_id, pred_id, co_raters, similarity).
 

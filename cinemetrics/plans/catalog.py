@@ -1,8 +1,8 @@
 """Named queries: each takes (spark, sf_dir) and returns a DataFrame over the whole tables.
 
-Inputs come from the fixture adapter (``cinemetrics.sources.fixtures``). The scan keys
-write the derived tables as CSV files into the shared checkpoint folder and read them
-back through the CSV sources, so the readers run over the whole data.
+Inputs come from the fixture adapter (``cinemetrics.sources.fixtures``). The scan keys read
+the derived tables through the CSV sources: each is exported once per session and input, as
+compressed CSV in the session's scratch folder, and the readers run over the whole of it.
 """
 
 from __future__ import annotations
@@ -21,43 +21,45 @@ from cinemetrics.streaming import genre_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Threshold of ``popular_movies`` for the driver's tables (the library default is 300,
-# which selects every movie at sf0.01 and none at sf0.001).
-POPULAR_THRESHOLD = 480
-# Grid fits submitted at once (each fit is itself distributed). On a cluster where one fit
-# already fills every executor, set the session option to 1 to bound factor memory.
+# A second threshold for ``popular_movies``: the library default of 300 selects every movie
+# of the test tables at sf0.01.
+DENSE_THRESHOLD = 480
+# Grid fits submitted at once; a speed setting only (each fit is itself distributed).
 GRID_PARALLELISM_CONF = "cinemetrics.als.parallelism"
-GRID_PARALLELISM = 8
+GRID_PARALLELISM = 1
 
+_EXPORTS: dict[tuple[str, str, str], str] = {}
 
-def _csv_copy(spark: SparkSession, df: DataFrame, name: str) -> str:
-    path = scratch_path(spark, name)
-    write_result(df, path, fmt="csv")
-    return path
+
+def _csv_export(spark: SparkSession, sf_dir: str, name: str, table: Query) -> str:
+    """Path of the CSV export of a derived table, written at the first call of the session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _EXPORTS:
+        path = scratch_path(spark, name)
+        write_result(table(spark, sf_dir), path, fmt="csv", compression="gzip")
+        _EXPORTS[key] = path
+    return _EXPORTS[key]
 
 
 # --- 1. sources and sinks -------------------------------------------------------------
 
 
 def ratings_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _csv_copy(spark, fixtures.ratings(spark, sf_dir), "ratings.csv")
-    return csv_src.read_ratings_csv(spark, path)
+    return csv_src.read_ratings_csv(spark, _csv_export(spark, sf_dir, "ratings.csv", fixtures.ratings))
 
 
 def movies_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _csv_copy(spark, fixtures.movies_text(spark, sf_dir), "movies.csv")
-    m = csv_src.read_movies_csv(spark, path)
-    return m.select("movie_id", "title", F.array_join("genres", "|").alias("genres"), F.size("genres").alias("n_genres"))
+    m = csv_src.read_movies_csv(spark, _csv_export(spark, sf_dir, "movies.csv", fixtures.movies_text))
+    genres = F.coalesce("genres", F.array().cast("array<string>"))
+    return m.select("movie_id", "title", F.array_join(genres, "|").alias("genres"), F.size(genres).alias("n_genres"))
 
 
 def my_movies_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _csv_copy(spark, fixtures.my_movies(spark, sf_dir), "my_movies.csv")
-    return csv_src.read_my_movies_csv(spark, path)
+    return csv_src.read_my_movies_csv(spark, _csv_export(spark, sf_dir, "my_movies.csv", fixtures.my_movies_lines))
 
 
 def ratings_tolerant_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _csv_copy(spark, fixtures.ratings(spark, sf_dir), "ratings.csv")
-    return csv_src.read_ratings_tolerant(spark, path)
+    return csv_src.read_ratings_tolerant(spark, _csv_export(spark, sf_dir, "ratings_text.csv", fixtures.ratings_text))
 
 
 def rating_map_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +112,7 @@ def dataset_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def genre_avg_rating_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """genre_avg_rating maintained by a streaming query over the ratings written as files."""
-    folder = _csv_copy(spark, fixtures.ratings(spark, sf_dir), "ratings-arrivals")
+    folder = _csv_export(spark, sf_dir, "ratings.csv", fixtures.ratings)
     result = scratch_path(spark, "genre_avg_stream")
     query = genre_stats.start_genre_avg(
         spark,
@@ -118,7 +120,6 @@ def genre_avg_rating_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixtures.movies(spark, sf_dir),
         result,
         scratch_path(spark, "genre_avg_stream-state"),
-        max_files_per_trigger=2,
     )
     query.awaitTermination()
     if query.exception() is not None:
@@ -154,7 +155,9 @@ def genre_top5_users_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def genre_top5_users_genre_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genre_top5_profile(spark, sf_dir).select("genre", "rank", "user_id", "genre_avg_rating")
+    t = fixtures.load(spark, sf_dir)
+    top = genre_top.genre_top_users(t.ratings, t.movies)
+    return top.select("genre", "rank", "user_id", F.col("avg_rating").alias("genre_avg_rating"))
 
 
 def genre_top5_users_dataset_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,36 +188,41 @@ def movie_column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def popular_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
-    return matrix.popular_movies(t.ratings, t.movies, POPULAR_THRESHOLD)
+    return matrix.popular_movies(t.ratings, t.movies)
+
+
+def popular_movies_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = fixtures.load(spark, sf_dir)
+    return matrix.popular_movies(t.ratings, t.movies, DENSE_THRESHOLD)
 
 
 # --- 5. similarity and prediction -----------------------------------------------------
 
 
 def unrated_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.load(spark, sf_dir)
+    t = fixtures.load_person(spark, sf_dir)
     return knn.unrated_movies(t.movies, t.my_movies)
 
 
 def co_rated_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.load(spark, sf_dir)
+    t = fixtures.load_person(spark, sf_dir)
     return similarity.co_rated_pairs(t.ratings, t.my_movies).drop("user_avg")
 
 
 def adjusted_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.load(spark, sf_dir)
+    t = fixtures.load_person(spark, sf_dir)
     return similarity.item_similarity(t.ratings, t.my_movies)
 
 
 def knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.load(spark, sf_dir)
+    t = fixtures.load_person(spark, sf_dir)
     own = knn.own_list(t.my_movies)
     sims = similarity.item_similarity(t.ratings, t.my_movies, own.hint)
     return knn.knn_predictions(sims, t.movies, t.my_movies, own=own)
 
 
 def top50_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.load(spark, sf_dir)
+    t = fixtures.load_person(spark, sf_dir)
     own = knn.own_list(t.my_movies)
     sims = similarity.item_similarity(t.ratings, t.my_movies, own.hint)
     return knn.top_predicted(sims, t.movies, t.my_movies, own=own)
@@ -227,25 +235,32 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return als.split_counts(fixtures.ratings(spark, sf_dir))
 
 
+def als_scorable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = fixtures.load_person(spark, sf_dir)
+    return als.scorable_counts(t.ratings, t.personal)
+
+
+def user_mean_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The error measures of the ALS models, for a predictor that SQL can express too."""
+    t = fixtures.load_person(spark, sf_dir)
+    sizes = als.split_counts(t.ratings).where(F.col("split") != "training")
+    error = als.prediction_error(als.user_mean_scores(t.ratings, t.personal), sizes)
+    rounded = [F.round(c, 6).alias(c) for c in ("sse", "mse", "rmse", "mse_ref")]
+    return error.select("split", "n_split", "n_predicted", *rounded)
+
+
 def als_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training split plus the personal ratings, read back through the personal-ratings reader."""
     path = scratch_path(spark, "personal.csv")
     write_result(fixtures.personal_ratings(spark, sf_dir), path, fmt="csv", header=False)
     personal = csv_src.read_personal_ratings_csv(spark, path)
-    return als.training_set(fixtures.ratings(spark, sf_dir), personal)
-
-
-_GRID_CACHE: dict[tuple, als.GridResult] = {}
+    return als.training_set(fixtures.part_ratings(spark, sf_dir), personal)
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> als.GridResult:
-    """One grid search per (session, input) in this process; the three ALS keys share it."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _GRID_CACHE:
-        t = fixtures.load(spark, sf_dir)
-        parallelism = int(spark.conf.get(GRID_PARALLELISM_CONF, str(GRID_PARALLELISM)))
-        _GRID_CACHE[key] = als.grid_search(t.ratings, t.personal, parallelism=parallelism)
-    return _GRID_CACHE[key]
+    t = fixtures.load_person(spark, sf_dir)
+    parallelism = int(spark.conf.get(GRID_PARALLELISM_CONF, str(GRID_PARALLELISM)))
+    return als.grid_search(t.ratings, t.personal, parallelism=parallelism)
 
 
 def als_validation_error(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +272,7 @@ def als_test_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return als.recommend_for_user(_grid(spark, sf_dir).best_model, fixtures.movies(spark, sf_dir))
+    return als.recommend_for_user(_grid(spark, sf_dir).best_model, fixtures.part_movies(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -287,12 +302,15 @@ QUERIES: dict[str, Query] = {
     "matrix_shape": matrix_shape,
     "movie_column_stats": movie_column_stats,
     "popular_movies": popular_movies,
+    "popular_movies_dense": popular_movies_dense,
     "unrated_movies": unrated_movies,
     "co_rated_pairs": co_rated_pairs,
     "adjusted_cosine": adjusted_cosine,
     "knn_predictions": knn_predictions,
     "top50_predicted": top50_predicted,
     "split_counts": split_counts,
+    "als_scorable_counts": als_scorable_counts,
+    "user_mean_error": user_mean_error,
     "als_training_set": als_training_set,
     "als_validation_error": als_validation_error,
     "als_test_error": als_test_error,

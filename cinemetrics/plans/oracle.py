@@ -12,25 +12,46 @@ from __future__ import annotations
 FIXTURE_CTE = """
 WITH ratings AS (
   SELECT o_custkey AS user_id, l_suppkey AS movie_id,
-         CAST((SUM(CAST(l_quantity AS BIGINT)) % 10 + 1) AS DOUBLE) * 0.5 AS rating,
+         CASE WHEN (o_custkey + l_suppkey) % 13 = 0 THEN CAST(0 AS DOUBLE)
+              ELSE CAST((SUM(CAST(l_quantity AS BIGINT)) % 10 + 1) AS DOUBLE) * 0.5 END AS rating,
          MAX(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))) * 86400
            + (o_custkey * 31 + l_suppkey * 17) % 86400 AS ts
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   GROUP BY o_custkey, l_suppkey
 ),
+part_ratings AS (
+  SELECT o_custkey AS user_id, l_partkey AS movie_id,
+         CASE WHEN (o_custkey + l_partkey) % 13 = 0 THEN CAST(0 AS DOUBLE)
+              ELSE CAST((SUM(CAST(l_quantity AS BIGINT)) % 10 + 1) AS DOUBLE) * 0.5 END AS rating,
+         MAX(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))) * 86400
+           + (o_custkey * 31 + l_partkey * 17) % 86400 AS ts
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  GROUP BY o_custkey, l_partkey
+),
 movies AS (
-  SELECT s_suppkey AS movie_id, s_name AS title,
-         concat_ws('|', r_name, n_name, CASE WHEN s_acctbal >= 5000 THEN 'HIGH_BALANCE' END) AS genres
+  SELECT s_suppkey AS movie_id,
+         CASE WHEN s_suppkey % 5 = 1 THEN s_name || ', The'
+              WHEN s_suppkey % 7 = 2 THEN 'The "' || s_name || '"' ELSE s_name END AS title,
+         CASE WHEN s_suppkey % 11 = 4 THEN ''
+              ELSE concat_ws('|', r_name, n_name, CASE WHEN s_acctbal >= 5000 THEN 'HIGH_BALANCE' END) END AS genres
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ),
+part_movies AS (
+  SELECT p_partkey AS movie_id,
+         CASE WHEN p_partkey % 5 = 1 THEN p_name || ', The'
+              WHEN p_partkey % 7 = 2 THEN 'The "' || p_name || '"' ELSE p_name END AS title
+  FROM part
+),
 movie_genres AS (
   SELECT movie_id, title, genre
   FROM (SELECT movie_id, title, unnest(string_split(genres, '|')) AS genre FROM movies)
   WHERE genre <> ''
 ),
+person AS (
+  SELECT user_id FROM part_ratings GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1
+),
 my_movies AS (
-  SELECT s_suppkey AS movie_id, CAST(((s_suppkey * 7) % 10 + 1) AS DOUBLE) * 0.5 AS my_rating
-  FROM supplier WHERE s_suppkey % 7 = 3 AND s_suppkey < 100
+  SELECT movie_id, rating AS my_rating FROM part_ratings WHERE user_id = (SELECT user_id FROM person)
 ),
 genre_ratings AS (
   SELECT g.genre, r.user_id, r.movie_id, r.rating FROM ratings r JOIN movie_genres g ON g.movie_id = r.movie_id
@@ -48,8 +69,11 @@ genre_top_users AS (
 user_stats AS (
   SELECT user_id, count(*) AS total_ratings, avg(rating) AS dataset_avg_rating FROM ratings GROUP BY user_id
 ),
+part_user_stats AS (
+  SELECT user_id, avg(rating) AS dataset_avg_rating FROM part_ratings GROUP BY user_id
+),
 unrated AS (
-  SELECT movie_id, title FROM movies WHERE movie_id NOT IN (SELECT movie_id FROM my_movies)
+  SELECT movie_id, title FROM part_movies WHERE movie_id NOT IN (SELECT movie_id FROM my_movies)
 ),
 pairs AS (
   SELECT a.user_id,
@@ -57,8 +81,8 @@ pairs AS (
          CASE WHEN ma.movie_id IS NULL THEN a.movie_id ELSE b.movie_id END AS pred_id,
          CASE WHEN ma.movie_id IS NOT NULL THEN a.rating ELSE b.rating END AS own_rating,
          CASE WHEN ma.movie_id IS NULL THEN a.rating ELSE b.rating END AS pred_rating
-  FROM ratings a
-  JOIN ratings b ON a.user_id = b.user_id AND a.movie_id < b.movie_id
+  FROM part_ratings a
+  JOIN part_ratings b ON a.user_id = b.user_id AND a.movie_id < b.movie_id
   LEFT JOIN my_movies ma ON ma.movie_id = a.movie_id
   LEFT JOIN my_movies mb ON mb.movie_id = b.movie_id
   WHERE ma.movie_id IS NOT NULL OR mb.movie_id IS NOT NULL
@@ -69,7 +93,7 @@ sims AS (
                     THEN sum(dx * dy) / (sqrt(sum(dx * dx)) * sqrt(sum(dy * dy))) END, 9) AS similarity
   FROM (SELECT p.own_id, p.pred_id, p.own_rating - u.dataset_avg_rating AS dx,
                p.pred_rating - u.dataset_avg_rating AS dy
-        FROM pairs p JOIN user_stats u ON u.user_id = p.user_id)
+        FROM pairs p JOIN part_user_stats u ON u.user_id = p.user_id)
   GROUP BY own_id, pred_id
 ),
 candidates AS (
@@ -93,6 +117,15 @@ split AS (
   SELECT *, CASE WHEN ts % 10 < 6 THEN 'training' WHEN ts % 10 <= 8 THEN 'validation' ELSE 'test' END AS split
   FROM ratings
 ),
+part_split AS (
+  SELECT *, CASE WHEN ts % 10 < 6 THEN 'training' WHEN ts % 10 <= 8 THEN 'validation' ELSE 'test' END AS split
+  FROM part_ratings
+),
+training AS (
+  SELECT user_id, movie_id, rating FROM part_split WHERE split = 'training'
+  UNION ALL
+  SELECT CAST(-1 AS BIGINT) AS user_id, movie_id, my_rating AS rating FROM my_movies
+),
 genre_avg AS (
   SELECT genre, avg(rating) AS avg_rating, count(*) AS rating_count FROM genre_ratings GROUP BY genre
 )
@@ -110,6 +143,13 @@ SELECT t.genre, t."rank", t.user_id, t.rating_count AS genre_ratings, t.avg_rati
 FROM genre_top_users t JOIN user_stats u ON u.user_id = t.user_id
 """
 
+_POPULAR = """
+SELECT s.movie_id, m.title, s.num_nonzeros, s.norm_l1 / s.num_nonzeros AS mean_rating
+FROM (SELECT movie_id, count(*) FILTER (WHERE rating <> 0) AS num_nonzeros, sum(abs(rating)) AS norm_l1
+      FROM ratings GROUP BY movie_id) s
+JOIN movies m ON m.movie_id = s.movie_id
+WHERE s.num_nonzeros >= {}"""
+
 _BODIES: dict[str, str] = {
     "ratings_scan": "SELECT user_id, movie_id, rating, ts FROM ratings",
     "movies_scan": """
@@ -117,7 +157,7 @@ _BODIES: dict[str, str] = {
                CAST(len(list_filter(string_split(genres, '|'), lambda x: x <> '')) AS INTEGER) AS n_genres
         FROM movies""",
     "my_movies_scan": "SELECT movie_id, my_rating FROM my_movies",
-    "ratings_tolerant_parse": "SELECT movie_id, rating FROM ratings",
+    "ratings_tolerant_parse": "SELECT movie_id, rating FROM ratings WHERE (user_id + movie_id) % 17 <> 0",
     "rating_map_projection": "SELECT movie_id, user_id, rating FROM ratings",
     "sink_roundtrip": "SELECT genre, avg_rating, rating_count FROM genre_avg",
     "movie_genres": "SELECT movie_id, genre FROM movie_genres",
@@ -148,12 +188,8 @@ _BODIES: dict[str, str] = {
     "movie_column_stats": """
         SELECT movie_id, count(*) FILTER (WHERE rating <> 0) AS num_nonzeros, sum(abs(rating)) AS norm_l1
         FROM ratings GROUP BY movie_id""",
-    "popular_movies": """
-        SELECT s.movie_id, m.title, s.num_nonzeros, s.norm_l1 / s.num_nonzeros AS mean_rating
-        FROM (SELECT movie_id, count(*) FILTER (WHERE rating <> 0) AS num_nonzeros, sum(abs(rating)) AS norm_l1
-              FROM ratings GROUP BY movie_id) s
-        JOIN movies m ON m.movie_id = s.movie_id
-        WHERE s.num_nonzeros >= 480""",
+    "popular_movies": _POPULAR.format(300),
+    "popular_movies_dense": _POPULAR.format(480),
     "unrated_movies": "SELECT movie_id, title FROM unrated",
     "co_rated_pairs": "SELECT user_id, own_id, pred_id, own_rating, pred_rating FROM pairs",
     "adjusted_cosine": "SELECT own_id, pred_id, co_raters, similarity FROM sims",
@@ -163,10 +199,20 @@ _BODIES: dict[str, str] = {
         SELECT k.movie_id, u.title, k.prediction FROM knn k JOIN unrated u ON u.movie_id = k.movie_id
         ORDER BY k.prediction DESC, k.movie_id LIMIT 50""",
     "split_counts": "SELECT split, count(*) AS n FROM split GROUP BY split",
-    "als_training_set": """
-        SELECT user_id, movie_id, rating FROM split WHERE split = 'training'
-        UNION ALL
-        SELECT CAST(-1 AS BIGINT) AS user_id, movie_id, my_rating AS rating FROM my_movies""",
+    "als_training_set": "SELECT user_id, movie_id, rating FROM training",
+    "als_scorable_counts": """
+        SELECT split, count(*) AS n_split,
+               count(*) FILTER (WHERE user_id IN (SELECT user_id FROM training)
+                                  AND movie_id IN (SELECT movie_id FROM training)) AS n_scorable
+        FROM part_split WHERE split <> 'training' GROUP BY split""",
+    "user_mean_error": """
+        SELECT split, n_split, n_predicted, round(sse, 6) AS sse, round(sse / n_predicted, 6) AS mse,
+               round(sqrt(sse / n_predicted), 6) AS rmse, round(sse / n_split, 6) AS mse_ref
+        FROM (SELECT s.split, count(*) AS n_split, count(u.user_id) AS n_predicted,
+                     sum((s.rating - u.m) * (s.rating - u.m)) AS sse
+              FROM part_split s LEFT JOIN (SELECT user_id, avg(rating) AS m FROM training GROUP BY user_id) u
+                ON u.user_id = s.user_id
+              WHERE s.split <> 'training' GROUP BY s.split)""",
 }
 
 

@@ -49,11 +49,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors (HDFS or object storage)")
         conf_dir = tempfile.mkdtemp(prefix="cinemetrics-ckpt-", dir="/tmp")
+        _delete_on_exit(spark, conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system of ``path`` remove the folder when the driver's JVM ends."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+
+
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written intermediate table."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path for a written intermediate table, in the session's one scratch folder.
+
+    The folder lies in the shared checkpoint folder and is removed when the session's driver ends.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex[:12]}"
+        _delete_on_exit(spark, _SCRATCH[app])
+    return f"{_SCRATCH[app]}/{name}-{uuid.uuid4().hex[:12]}"

@@ -50,6 +50,9 @@ PERSONAL_SCHEMA = T.StructType(
 )
 
 
+CORRUPT = "_corrupt_record"
+
+
 def _reader(spark: SparkSession, schema: T.StructType, header: bool, mode: str):
     return (
         spark.read.schema(schema)
@@ -60,9 +63,36 @@ def _reader(spark: SparkSession, schema: T.StructType, header: bool, mode: str):
     )
 
 
+def _typed(spark: SparkSession, path: str, schema: T.StructType, header: bool, mode: str, required: list[str]) -> DataFrame:
+    """CSV rows with the fields of ``schema``, each row checked as a whole.
+
+    Spark's own FAILFAST looks at the fields that a query uses, so a count would pass over
+    malformed rows. Here all fields are read as text and a filter over all of them decides:
+    the row has the right number of fields, the ``required`` ones are there, and every field
+    converts. FAILFAST raises at the first row that fails, DROPMALFORMED leaves it out,
+    PERMISSIVE keeps it with nulls.
+    """
+    if mode not in ("FAILFAST", "DROPMALFORMED", "PERMISSIVE"):
+        raise ValueError(f"unknown mode {mode!r}")
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(CORRUPT, T.StringType())])
+    raw = _reader(spark, text, header, "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    good = F.col(CORRUPT).isNull()
+    for f in schema.fields:
+        there = F.col(f.name).isNotNull()
+        converts = F.col(f.name).try_cast(f.dataType).isNotNull()
+        good = good & (converts if f.name in required else (~there | converts))
+    if mode == "FAILFAST":
+        seen = F.concat_ws(",", *[f.name for f in schema.fields])
+        raw = raw.where(F.when(good, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("malformed CSV row: "), seen)).cast("boolean")))
+    elif mode == "DROPMALFORMED":
+        raw = raw.where(good)
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_ratings_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """ratings.csv -> (user_id, movie_id, rating, ts); a malformed row fails the job by default."""
-    return _reader(spark, RATINGS_SCHEMA, True, mode).csv(path)
+    """ratings.csv -> (user_id, movie_id, rating, ts); by default a malformed row fails the
+    job, also one whose bad field the query does not use."""
+    return _typed(spark, path, RATINGS_SCHEMA, True, mode, ["user_id", "movie_id", "rating", "ts"])
 
 
 def read_ratings_tolerant(spark: SparkSession, path: str) -> DataFrame:
@@ -73,16 +103,19 @@ def read_ratings_tolerant(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_movies_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """movies.csv -> (movie_id, title, genres array<string>)."""
-    raw = _reader(spark, MOVIES_SCHEMA, True, mode).csv(path)
+    """movies.csv -> (movie_id, title, genres array<string>); title and genres may be empty."""
+    raw = _typed(spark, path, MOVIES_SCHEMA, True, mode, ["movie_id"])
     return raw.select("movie_id", "title", parse_genres("genres").alias("genres"))
 
 
 def read_my_movies_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """my_movies.csv -> (movie_id, my_rating), one row per movie; a later line wins."""
-    raw = _reader(spark, MY_MOVIES_SCHEMA, True, mode).csv(path)
-    lined = raw.withColumn("_line", F.monotonically_increasing_id())
-    return lined.groupBy("movie_id").agg(F.max_by("my_rating", "_line").alias("my_rating"))
+    """my_movies.csv -> (movie_id, my_rating), one row per movie; a later line wins.
+
+    Later means: in a file whose path sorts later, or further down in the same file.
+    """
+    raw = _typed(spark, path, MY_MOVIES_SCHEMA, True, mode, ["movie_id", "my_rating"])
+    line = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return raw.withColumn("_line", line).groupBy("movie_id").agg(F.max_by("my_rating", "_line").alias("my_rating"))
 
 
 def read_personal_ratings_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
@@ -90,4 +123,4 @@ def read_personal_ratings_csv(spark: SparkSession, path: str, mode: str = "FAILF
 
     ``mode="DROPMALFORMED"`` skips bad lines instead of failing.
     """
-    return _reader(spark, PERSONAL_SCHEMA, False, mode).csv(path)
+    return _typed(spark, path, PERSONAL_SCHEMA, False, mode, ["user_id", "movie_id", "rating"])

@@ -1,20 +1,28 @@
 """Ratings, movies and own ratings derived from the driver's star-schema tables.
 
-Users are customers, movies are suppliers, genres come from geography (region, nation,
-and a balance class). The same definitions, as SQL text, prefix every oracle statement
-(``cinemetrics.plans.oracle.FIXTURE_CTE``).
-
-Ratings: one row per (customer, supplier) cell of ``lineitem JOIN orders``; the rating
-is ``0.5 * (1 + sum(quantity) % 10)`` (0.5 .. 5.0, exact in binary, so sums do not
-depend on order) and the timestamp is the latest ship day in seconds plus a key-derived
-second of the day, so the last digit (the split key) is spread.
+Users are customers. Two sets of movies: suppliers (few, with many ratings each; genres from
+region, nation and a balance class) for the genre and matrix statistics, and parts (many, with
+few ratings each) for similarity, prediction and recommendation, where movies without a common
+rater and movies with a single one must occur. The same definitions, as SQL text, prefix every
+oracle statement (``cinemetrics.plans.oracle.FIXTURE_CTE``).
+
+Ratings: one row per (customer, movie) cell of ``lineitem JOIN orders``; the rating is
+``0.5 * (1 + sum(quantity) % 10)``, 0 in every thirteenth cell (0 .. 5.0, exact in binary, so
+sums do not depend on order) and the timestamp is the latest ship day in seconds plus a
+key-derived second of the day, so the last digit (the split key) is spread.
+
+Titles hold commas and quotes in places, some movies have an empty genre field, some rating
+texts do not parse and own movies are listed twice, so that the rules for them show.
+
+The person with own ratings is the customer with most rated parts (the smallest id on ties):
+the own list is all of that customer's ratings and grows with the data.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import parse_genres
@@ -27,9 +35,11 @@ USER_SECOND_FACTOR = 31
 MOVIE_SECOND_FACTOR = 17
 HIGH_BALANCE_GENRE = "HIGH_BALANCE"
 HIGH_BALANCE_AT = 5000
-OWN_MOVIE_MODULUS = 7
-OWN_MOVIE_REMAINDER = 3
-OWN_MOVIE_BELOW = 100
+ZERO_RATING_EVERY = 13
+NO_GENRE_EVERY, NO_GENRE_REMAINDER = 11, 4
+COMMA_TITLE_EVERY, COMMA_TITLE_REMAINDER = 5, 1
+QUOTE_TITLE_EVERY, QUOTE_TITLE_REMAINDER = 7, 2
+BAD_RATING_EVERY = 17
 PERSONAL_USER_ID = -1
 
 
@@ -71,7 +81,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, where) if kind == "table" else spark.read.parquet(where)
 
 
-def derive_ratings(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+def derive_ratings(spark: SparkSession, sf_dir: str, partitions: int | None = None, movie: str = "l_suppkey") -> DataFrame:
     """The ratings computed from ``lineitem JOIN orders`` (no materialisation).
 
     With ``partitions``, the joined rows are hash-partitioned by customer into that many
@@ -79,7 +89,7 @@ def derive_ratings(spark: SparkSession, sf_dir: str, partitions: int | None = No
     and a following bucketing by user_id with the same count reuses the partitioning, so
     one shuffle serves both.
     """
-    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_shipdate")
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", movie, "l_quantity", "l_shipdate")
     od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     joined = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -87,34 +97,57 @@ def derive_ratings(spark: SparkSession, sf_dir: str, partitions: int | None = No
         joined = joined.repartition(partitions, "o_custkey")
     cells = (
         joined
-        .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("movie_id"))
+        .groupBy(F.col("o_custkey").alias("user_id"), F.col(movie).alias("movie_id"))
         .agg(
             F.sum(F.col("l_quantity").cast("long")).alias("_qty"),
             F.max(days).alias("_day"),
         )
     )
     second = (F.col("user_id") * USER_SECOND_FACTOR + F.col("movie_id") * MOVIE_SECOND_FACTOR) % SECONDS_PER_DAY
+    rating = (((F.col("_qty") % 10) + 1).cast("double") * 0.5)
     return cells.select(
         "user_id",
         "movie_id",
-        (((F.col("_qty") % 10) + 1).cast("double") * 0.5).alias("rating"),
+        F.when((F.col("user_id") + F.col("movie_id")) % ZERO_RATING_EVERY == 0, F.lit(0.0)).otherwise(rating).alias("rating"),
         (F.col("_day") * SECONDS_PER_DAY + second).alias("ts"),
     )
 
 
+def part_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings with parts as movies, one row per (customer, part) cell."""
+    return derive_ratings(spark, sf_dir, movie="l_partkey")
+
+
+def ratings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings with the rating as text, which does not parse in every seventeenth cell."""
+    bad = (F.col("user_id") + F.col("movie_id")) % BAD_RATING_EVERY == 0
+    r = ratings(spark, sf_dir)
+    return r.withColumn("rating", F.when(bad, F.lit("n/a")).otherwise(F.col("rating").cast("string")))
+
+
+def _titled(name: Column, key: Column) -> Column:
+    quoted = F.concat(F.lit('The "'), name, F.lit('"'))
+    return (
+        F.when(key % COMMA_TITLE_EVERY == COMMA_TITLE_REMAINDER, F.concat(name, F.lit(", The")))
+        .when(key % QUOTE_TITLE_EVERY == QUOTE_TITLE_REMAINDER, quoted)
+        .otherwise(name)
+    )
+
+
 def movies_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(movie_id, title, genres) with genres as pipe-separated text, as in movies.csv."""
     s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     balance = F.when(F.col("s_acctbal") >= HIGH_BALANCE_AT, F.lit(HIGH_BALANCE_GENRE))
+    none = F.col("s_suppkey") % NO_GENRE_EVERY == NO_GENRE_REMAINDER
     return (
         s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("s_suppkey").alias("movie_id"),
-            F.col("s_name").alias("title"),
-            F.concat_ws("|", "r_name", "n_name", balance).alias("genres"),
+            _titled(F.col("s_name"), F.col("s_suppkey")).alias("title"),
+            F.when(none, F.lit("")).otherwise(F.concat_ws("|", "r_name", "n_name", balance)).alias("genres"),
         )
     )
 
@@ -125,16 +158,37 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("movie_id", "title", parse_genres("genres").alias("genres"))
 
 
-def my_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(movie_id long, my_rating double): the own ratings of one person."""
-    s = _table(spark, sf_dir, "supplier").select("s_suppkey")
-    own = (F.col("s_suppkey") % OWN_MOVIE_MODULUS == OWN_MOVIE_REMAINDER) & (F.col("s_suppkey") < OWN_MOVIE_BELOW)
-    return s.where(own).select(
-        F.col("s_suppkey").alias("movie_id"),
-        ((((F.col("s_suppkey") * 7) % 10) + 1).cast("double") * 0.5).alias("my_rating"),
+def part_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(movie_id long, title string, genres array<string>) of the parts."""
+    p = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    return p.select(
+        F.col("p_partkey").alias("movie_id"),
+        _titled(F.col("p_name"), F.col("p_partkey")).alias("title"),
+        F.array("p_type").alias("genres"),
     )
 
 
+def person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row (user_id): the customer with most rated parts, the smallest id on ties."""
+    counts = part_ratings(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), "user_id").limit(1).select("user_id")
+
+
+def my_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(movie_id long, my_rating double): all ratings of the person."""
+    own = part_ratings(spark, sf_dir).join(F.broadcast(person(spark, sf_dir)), "user_id")  # one row
+    return own.select("movie_id", F.col("rating").alias("my_rating"))
+
+
+def my_movies_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(movie_id, my_rating) as listed: every own movie twice, the rating that counts later."""
+    line = F.explode(F.sequence(F.lit(0), F.lit(1))).alias("line")
+    listed = my_movies(spark, sf_dir).select("movie_id", "my_rating", line)
+    first = F.when(F.col("line") == 0, F.lit(5.0) - F.col("my_rating")).otherwise(F.col("my_rating"))
+    ordered = listed.select("line", "movie_id", first.alias("my_rating")).repartition(1).sortWithinPartitions("line", "movie_id")
+    return ordered.select("movie_id", "my_rating")
+
+
 def personal_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, movie_id, rating) of the person, under a user id no customer has."""
     return my_movies(spark, sf_dir).select(
@@ -146,7 +200,15 @@ def personal_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Tables:
-    """The logical inputs of every operator, lazily defined."""
+    """The logical inputs of the genre and matrix operators, lazily defined."""
+
+    ratings: DataFrame
+    movies: DataFrame
+
+
+@dataclass(frozen=True)
+class PersonTables:
+    """The logical inputs of similarity, prediction and recommendation, lazily defined."""
 
     ratings: DataFrame
     movies: DataFrame
@@ -155,9 +217,13 @@ class Tables:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(
-        ratings=ratings(spark, sf_dir),
-        movies=movies(spark, sf_dir),
+    return Tables(ratings=ratings(spark, sf_dir), movies=movies(spark, sf_dir))
+
+
+def load_person(spark: SparkSession, sf_dir: str) -> PersonTables:
+    return PersonTables(
+        ratings=part_ratings(spark, sf_dir),
+        movies=part_movies(spark, sf_dir),
         my_movies=my_movies(spark, sf_dir),
         personal=personal_ratings(spark, sf_dir),
     )

@@ -8,17 +8,26 @@ FORMATS = ("csv", "parquet", "json")
 
 
 def write_result(
-    df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False, mode: str = "overwrite", header: bool = True
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    single_file: bool = False,
+    mode: str = "overwrite",
+    header: bool = True,
+    compression: str | None = None,
 ) -> str:
     """Write ``df`` to ``path``.
 
-    ``single_file`` coalesces to one task and is meant for small final results (top-k
-    reports); large outputs keep their partitions so every executor writes.
+    ``single_file`` is meant for small final results (top-k reports): the rows are shuffled
+    into one partition, so the stages before keep their parallelism. Large outputs keep their
+    partitions so every executor writes.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; use one of {FORMATS}")
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     writer = out.write.mode(mode)
+    if compression:
+        writer = writer.option("compression", compression)
     if fmt == "csv":
         writer = writer.option("header", str(header).lower()).option("quote", '"').option("escape", '"')
     getattr(writer, fmt)(path)

@@ -68,9 +68,76 @@ def test_grid_search_and_recommendations(spark):
     assert all(x.title == f"M{x.movie_id}" for x in recs)
 
 
+def _fit(spark, parallelism):
+    r = _ratings(spark)
+    personal = ratings_df(spark, [(-1, m, 4.0) for m in range(0, 30, 3)]).select("user_id", "movie_id", "rating")
+    res = als.grid_search(r, personal, ranks=(2, 3), reg_params=(0.1,), max_iters=(4,), parallelism=parallelism)
+    mv = movies_df(spark, [(m, f"M{m}", ["X"]) for m in range(30)])
+    recs = als.recommend_for_user(res.best_model, mv, n=50).orderBy("rank").collect()
+    return res, recs
+
+
+def test_parallelism_is_a_speed_setting_only(spark):
+    one, recs_one = _fit(spark, 1)
+    four, recs_four = _fit(spark, 4)
+    assert one.rows == four.rows and one.test_error == four.test_error and recs_one == recs_four
+
+
+def test_number_of_cores_does_not_change_the_models():
+    import os
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    code = """
+import sys; sys.path[:0] = [%r, %r]
+from cinemetrics.session import local_session
+import test_als
+spark = local_session(sys.argv[1])
+res, recs = test_als._fit(spark, 1)
+print("RESULT", res.rows, res.test_error, [(r.movie_id, r.predicted_rating) for r in recs])
+""" % (os.path.dirname(here), here)
+    found = []
+    for cores in ("2", "4"):
+        out = subprocess.run([sys.executable, "-c", code, cores], capture_output=True, text=True, timeout=400)
+        found.append([x for x in out.stdout.splitlines() if x.startswith("RESULT")])
+        assert found[-1], out.stderr[-2000:]
+    assert found[0] == found[1]
+
+
+def test_recommendations_are_the_largest_dot_products(spark):
+    res, recs = _fit(spark, 1)
+    user = next(r.features for r in res.best_model.userFactors.collect() if r.id == -1)
+    scores = {r.id: sum(a * b for a, b in zip(user, r.features)) for r in res.best_model.itemFactors.collect()}
+    best = sorted(scores.items(), key=lambda x: -x[1])[:50]
+    assert len(recs) == len(best)
+    for r, (_, score) in zip(recs, best):
+        assert abs(r.predicted_rating - score) < 1e-5 and abs(scores[r.movie_id] - score) < 1e-5
+
+
+def test_prediction_error_by_hand(spark):
+    rows = [("a", 3.0, 1.0), ("a", 2.0, None), ("a", 1.0, 2.0)]
+    scored = spark.createDataFrame(rows, "split string, rating double, prediction double")
+    sizes = spark.createDataFrame([("a", 4), ("b", 2)], "split string, n long")
+    got = {r.split: r for r in als.prediction_error(scored, sizes).collect()}
+    assert (got["a"].n_split, got["a"].n_predicted, got["a"].sse, got["a"].mse, got["a"].mse_ref) == (4, 2, 5.0, 2.5, 1.25)
+    assert abs(got["a"].rmse**2 - 2.5) < 1e-12
+    assert (got["b"].n_predicted, got["b"].sse, got["b"].mse, got["b"].mse_ref) == (0, 0.0, None, None)
+
+
+def test_als_predicts_exactly_the_scorable_rows(spark):
+    r = _ratings(spark, users=200, movies=15).where("rand(3) < 0.08")
+    r = spark.createDataFrame(r.collect(), r.schema)
+    personal = ratings_df(spark, [(-1, 1, 4.0)]).select("user_id", "movie_id", "rating")
+    counts = {x.split: x for x in als.scorable_counts(r, personal).collect()}
+    res = als.grid_search(r, personal, ranks=(2,), reg_params=(0.1,), max_iters=(2,))
+    assert res.rows[0][-1] == counts["validation"].n_scorable < counts["validation"].n_split
+    assert res.test_error.n_predicted == counts["test"].n_scorable
+
+
 def test_catalog_training_set_on_tables(spark):
     from cinemetrics.plans import catalog
 
     t = catalog.als_training_set(spark, SF_SMALL)
-    assert t.where("user_id = -1").count() == 1  # one own movie at sf0.001
+    assert t.where("user_id = -1").count() == catalog.my_movies_scan(spark, SF_SMALL).count() > 1
     assert set(t.columns) == {"user_id", "movie_id", "rating"}

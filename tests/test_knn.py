@@ -1,4 +1,4 @@
-"""Adjusted cosine and kNN prediction against a literal brute force of the reference rules.
+"""Adjusted cosine and kNN prediction against a brute force of the stated rules.
 
 The brute force below builds all user pairs, assigns roles, computes the similarity per
 pair and, per predicted movie, fills every own movie without a pair with -1.0, sorts
@@ -180,19 +180,36 @@ def test_empty_own_list(spark):
     assert knn.top_predicted(sims, mv, mm).count() == 0
 
 
-@pytest.mark.parametrize("salt", [2, 7])
-def test_salted_pairs_equal_window_pairs(spark, salt):
-    ratings, mine = _random_case(9, 30, 25, 6, 0.5)
-    # a heavy user who rated every movie several times (breaks the one-rating-per-cell contract)
-    ratings += [(999, m, 1.0 + (m * k) % 9 * 0.5) for m in range(25) for k in range(3)]
-    r = ratings_df(spark, ratings)
+def test_a_user_with_half_of_the_rows(spark):
+    ratings, mine = _random_case(9, 60, 25, 6, 0.5)
+    # a heavy user who rated every movie many times (beyond one rating per cell)
+    hot = [(999, m, 1.0 + (m * k) % 9 * 0.5) for m in range(25) for k in range(30)]
+    ratings += hot
+    r = ratings_df(spark, ratings).repartition(5)
     mm = my_movies_df(spark, list(mine.items()))
-    plain = sorted(tuple(x) for x in similarity.co_rated_pairs(r, mm, salt=0).collect())
-    salted = sorted(tuple(x) for x in similarity.co_rated_pairs(r, mm, salt=salt).collect())
-    assert salted == plain
-    s_plain = sorted(tuple(x) for x in similarity.adjusted_cosine(similarity.co_rated_pairs(r, mm, salt=0)).collect())
-    s_salted = sorted(tuple(x) for x in similarity.adjusted_cosine(similarity.co_rated_pairs(r, mm, salt=salt)).collect())
-    assert s_salted == s_plain
+    pairs = similarity.co_rated_pairs(r, mm)
+    n_own = sum(1 for _, m, _ in hot if m in mine)
+    n_two = sum(30 * 30 for a in mine for b in mine if a < b)
+    assert pairs.where("user_id = 999").count() == n_own * (25 - len(mine)) * 30 + n_two
+    groups, want_sims, _ = brute_force(ratings, mine)
+    got = {(x.own_id, x.pred_id): x for x in similarity.item_similarity(r, mm).collect()}
+    assert {k: x.co_raters for k, x in got.items()} == {k: len(v) for k, v in groups.items()}
+    assert all(abs(got[k].similarity - s) < 1e-9 for k, s in want_sims.items() if not math.isnan(s))
+
+
+def test_every_rule_occurs_in_the_test_tables(spark):
+    from cinemetrics.plans import catalog
+
+    sf = "/root/testdata/sf0.01"
+    sims = catalog.adjusted_cosine(spark, sf).cache()
+    own = catalog.my_movies_scan(spark, sf).count()
+    predicted = sims.select("pred_id").distinct().count()
+    one = sims.where("co_raters = 1")
+    assert sims.count() < own * predicted  # own movies without a pair are filled with -1
+    assert one.where("similarity = 1").count() > 100 and one.where("similarity = -1").count() > 100
+    assert sims.where("similarity IS NULL").count() > 100
+    predictions = catalog.knn_predictions(spark, sf).cache()
+    assert predictions.where("prediction = -1000").count() > 10 and predictions.where("prediction > 0").count() > 10
 
 
 def test_own_list_hint(spark):
@@ -201,10 +218,10 @@ def test_own_list_hint(spark):
     short = knn.own_list(my_movies_df(spark, [(m, 3.0) for m in range(5)]))
     assert short.hint is F.broadcast and len(short.head) == 5
     many = my_movies_df(spark, [(m, 3.0) for m in range(25)])
-    spark.conf.set("cinemetrics.broadcast.maxRows", "10")
+    spark.conf.set("cinemetrics.broadcast.maxBytes", "10")
     try:
-        long_list = knn.own_list(many)  # head is full (19 rows), so the count decides: 25 > 10
+        long_list = knn.own_list(many)  # head is full (19 rows), so the measured size decides
     finally:
-        spark.conf.unset("cinemetrics.broadcast.maxRows")
+        spark.conf.unset("cinemetrics.broadcast.maxBytes")
     assert len(long_list.head) == 19 and long_list.hint is not F.broadcast
     assert [m for m, _ in long_list.head] == list(range(19))

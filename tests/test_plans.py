@@ -37,19 +37,22 @@ def test_scans_are_pruned(spark, capsys):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in p
 
 
-def test_pair_join_shuffles_all_ratings_once(spark, capsys):
-    t = fixtures.load(spark, SF_SMALL)
+def test_pair_join_is_two_shuffled_sides_without_a_window(spark, capsys):
+    t = fixtures.load_person(spark, SF_SMALL)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(similarity.item_similarity(t.ratings, t.my_movies), capsys, "simple")
+        p = plan(similarity.co_rated_pairs(t.ratings, t.my_movies), capsys, "simple")
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # exchanges by user: all ratings (window side) and own ratings only; none after the window
-    assert p.count("hashpartitioning(user_id") == 1
-    assert p.count("hashpartitioning(x_user") == 1
-    assert p.count("hashpartitioning(o_custkey") == 2  # both sides derive ratings once each
+    assert "Window" not in p
+    # both sides of the pair join are shuffled for it, so adaptive execution can split a hot user
+    for side in ("x_user", "y_user"):
+        line = next(x for x in p.splitlines() if f"Exchange hashpartitioning({side}" in x)
+        assert "ENSURE_REQUIREMENTS" in line
+    # ratings of users without an own rating are left out below the shuffles by user
+    assert "LeftSemi" in p
 
 
 def test_broadcast_only_behind_bound(spark, capsys):
@@ -58,8 +61,8 @@ def test_broadcast_only_behind_bound(spark, capsys):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_bounded(small, 100), "k"), capsys)
-        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_bounded(small, 5), "k"), capsys)
+        assert "BroadcastHashJoin" in plan(big.join(broadcast_if_bounded(small, 10_000), "k"), capsys)
+        assert "BroadcastHashJoin" not in plan(big.join(broadcast_if_bounded(small, 100), "k"), capsys)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -113,32 +116,44 @@ def test_bucketed_ratings_skip_the_user_shuffle(spark, capsys, tmp_path):
     t = fixtures.load(spark, SF_SMALL)
     name = write_bucketed_table(t.ratings, str(tmp_path / "ratings"), buckets=4)
     bucketed = read_table(spark, name)
-    plain_sims = similarity.item_similarity(t.ratings, t.my_movies)
-    bucketed_sims = similarity.item_similarity(bucketed, t.my_movies)
-    assert sorted(map(tuple, bucketed_sims.collect())) == sorted(map(tuple, plain_sims.collect()))
+    assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, t.ratings.collect()))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        p = plan(bucketed_sims, capsys, "simple")
         top = plan(genre_top.genre_top_users(bucketed, t.movies), capsys, "simple")
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-    assert "hashpartitioning(user_id" not in p  # window and pair join read the buckets as they are
     # the (genre, user) aggregate reuses the user buckets; the only exchange left is by genre
     assert top.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(genre#" in top
 
 
-def test_salted_pair_join_partitions_by_user_and_salt(spark, capsys):
-    t = fixtures.load(spark, SF_SMALL)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        p = plan(similarity.co_rated_pairs(t.ratings, t.my_movies, salt=8), capsys, "simple")
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "hashpartitioning(x_user" in p and "x_salt" in p.split("hashpartitioning(x_user")[1].split(")")[0]
-    assert "y_salt" in p.split("hashpartitioning(y_user")[1].split(")")[0]
-    assert "Window" not in p
+def test_size_check_counts_bytes_once(spark):
+    from cinemetrics.operators import broadcast
+
+    texts = spark.createDataFrame([(i, "x" * 1000, ["a", "bc"]) for i in range(50)], "k long, t string, l array<string>")
+    size = broadcast.measured_bytes(texts)
+    assert 50 * 1000 < size < 50 * 1300
+    key = (spark.sparkContext.applicationId, texts.semanticHash())
+    broadcast._MEASURED[key] = 7
+    assert broadcast.measured_bytes(texts) == 7
+    del broadcast._MEASURED[key]
+
+
+def test_single_file_sink_keeps_the_stage_before_it_parallel(spark, tmp_path):
+    from cinemetrics.sources.sinks import write_result
+
+    df = spark.range(1000, numPartitions=4).withColumnRenamed("id", "k")
+    seen = df.selectExpr("k", "spark_partition_id() AS part")
+    write_result(seen, str(tmp_path / "one"), single_file=True)
+    back = spark.read.parquet(str(tmp_path / "one"))
+    assert back.select("part").distinct().count() == 4
+    assert len([f for f in (tmp_path / "one").iterdir() if f.name.startswith("part-")]) == 1
+
+
+def test_genre_average_of_top_users_reads_the_ratings_once(spark, capsys):
+    from cinemetrics.plans import catalog
+
+    p = plan(catalog.genre_top5_users_genre_avg(spark, SF_SMALL), capsys, "simple")
+    assert p.count("lineitem.parquet") <= 1 and p.count("FileScan parquet [l_orderkey") == 1
 
 
 def test_user_partitioned_derivation_same_rows_fewer_shuffles(spark, capsys):

@@ -15,8 +15,8 @@ def _write(tmp_path, name, text):
 
 MOVIES = (
     "movieId,title,genres\n"
-    "1,Toy Story (1995),Adventure|Animation|Children|Comedy|Fantasy\n"
-    '102604,"Jeffrey Dahmer Files, The (2012)",Crime|Documentary\n'
+    "1,Plain Title (2001),One|Two|Three|Four|Five\n"
+    '70123,"Quiet Harbour, A (2003)",Two|Six\n'
     '3,"A ""Q"" B",(no genres listed)\n'
     "4,NoGenre,\n"
     "5,Trail,A|\n"
@@ -26,9 +26,9 @@ MOVIES = (
 def test_movies_csv_quotes_and_genres(spark, tmp_path):
     path = _write(tmp_path, "movies.csv", MOVIES)
     rows = {r.movie_id: r for r in csv_src.read_movies_csv(spark, path).collect()}
-    assert rows[1].genres == ["Adventure", "Animation", "Children", "Comedy", "Fantasy"]
-    assert rows[102604].title == "Jeffrey Dahmer Files, The (2012)"
-    assert rows[102604].genres == ["Crime", "Documentary"]
+    assert rows[1].genres == ["One", "Two", "Three", "Four", "Five"]
+    assert rows[70123].title == "Quiet Harbour, A (2003)"
+    assert rows[70123].genres == ["Two", "Six"]
     assert rows[3].title == 'A "Q" B'
     assert rows[3].genres == ["(no genres listed)"]
     assert not rows[4].genres  # NULL field: no genre row after explode
@@ -41,19 +41,19 @@ def test_movie_genres_explode_drops_empty(spark, tmp_path):
     path = _write(tmp_path, "movies.csv", MOVIES)
     mg = movie_genres(csv_src.read_movies_csv(spark, path))
     per_movie = {r.movie_id: r.n for r in mg.groupBy("movie_id").agg(F.count("*").alias("n")).collect()}
-    assert per_movie == {1: 5, 102604: 2, 3: 1, 5: 1}
+    assert per_movie == {1: 5, 70123: 2, 3: 1, 5: 1}
 
 
 def test_ratings_csv_strict_and_tolerant(spark, tmp_path):
-    text = "userId,movieId,rating,timestamp\n1,253,3.0,900660748\n1,254,x,900660749\n2,253,4.5,900660750\n"
+    text = "userId,movieId,rating,timestamp\n1,88,3.5,1000000018\n1,89,x,1000000019\n2,88,4.5,1000000020\n"
     path = _write(tmp_path, "ratings.csv", text)
     tolerant = sorted(tuple(r) for r in csv_src.read_ratings_tolerant(spark, path).collect())
-    assert tolerant == [(253, 3.0), (253, 4.5)]
+    assert tolerant == [(88, 3.5), (88, 4.5)]
     with pytest.raises(Exception):
         csv_src.read_ratings_csv(spark, path).collect()
-    good = _write(tmp_path, "good.csv", "userId,movieId,rating,timestamp\n1,253,3.0,900660748\n")
+    good = _write(tmp_path, "good.csv", "userId,movieId,rating,timestamp\n1,88,3.5,1000000018\n")
     r = csv_src.read_ratings_csv(spark, good).first()
-    assert (r.user_id, r.movie_id, r.rating, r.ts) == (1, 253, 3.0, 900660748)
+    assert (r.user_id, r.movie_id, r.rating, r.ts) == (1, 88, 3.5, 1000000018)
     assert r.ts % 10 == 8
 
 
@@ -63,6 +63,51 @@ def test_my_movies_one_row_per_movie_last_wins(spark, tmp_path):
     assert rows == {10: 5.0, 11: 2.0}
 
 
+def test_my_movies_over_several_files(spark, tmp_path):
+    folder = tmp_path / "my_movies"
+    folder.mkdir()
+    _write(folder, "a.csv", "movieId,rating\n10,1.0\n")
+    _write(folder, "b.csv", "movieId,rating\n" + "".join(f"{i},2.0\n" for i in range(100, 400)) + "10,5.0\n")
+    rows = dict(tuple(r) for r in csv_src.read_my_movies_csv(spark, str(folder)).collect())
+    assert rows[10] == 5.0 and len(rows) == 301
+
+
+@pytest.mark.parametrize("bad", ["1,88,x,1000000018", "1,88", "1,88,3.5,1000000018,9", ",88,3.5,1000000018"])
+def test_strict_reading_fails_whatever_the_query_uses(spark, tmp_path, bad):
+    path = _write(tmp_path, "ratings.csv", f"userId,movieId,rating,timestamp\n3,4,5.0,1000000018\n{bad}\n")
+    strict = csv_src.read_ratings_csv(spark, path)
+    for query in (strict, strict.select("movie_id"), strict.groupBy("movie_id").count()):
+        with pytest.raises(Exception, match="malformed CSV row"):
+            query.collect()
+    with pytest.raises(Exception, match="malformed CSV row"):
+        strict.count()
+    assert csv_src.read_ratings_csv(spark, path, mode="DROPMALFORMED").count() == 1
+
+
+def test_exports_are_written_once_and_scratch_goes_with_the_session(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = """
+import sys; sys.path.insert(0, %r)
+from cinemetrics.session import local_session
+from cinemetrics.plans import catalog
+spark = local_session(2)
+sf = "/root/testdata/sf0.001"
+a = catalog._csv_export(spark, sf, "x", catalog.fixtures.ratings)
+b = catalog._csv_export(spark, sf, "x", catalog.fixtures.ratings)
+assert a == b and catalog.ratings_scan(spark, sf).count() == catalog.ratings_scan(spark, sf).count()
+print("FOLDER", a)
+spark.stop()
+""" % os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    folder = [x.split(" ", 1)[1] for x in out.stdout.splitlines() if x.startswith("FOLDER")]
+    assert folder, out.stderr[-2000:]
+    scratch = os.path.dirname(folder[0].removeprefix("file:"))
+    assert os.path.basename(scratch).startswith("scratch-") and not os.path.exists(scratch)
+
+
 def test_personal_ratings_modes(spark, tmp_path):
     path = _write(tmp_path, "personal.txt", "0,1,4.0\n0,2,bad\n0,3,2.5\n")
     with pytest.raises(Exception):
