@@ -147,13 +147,15 @@ def score_texts(model: LanguageModel, texts: list[str | None], letters: np.ndarr
 
 def predict(model: LanguageModel, spark) -> Column:
     """struct<lang_pred string, score double> of the column ``text``."""
-    shared = spark.sparkContext.broadcast(model)
+    # plain values: an executor need not have this package
+    shared = spark.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf("lang_pred string, score double")
     def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+        known = LanguageModel(**shared.value)
         for texts in batches:
-            names, scores = score_texts(shared.value, list(texts), letters)
+            names, scores = score_texts(known, list(texts), letters)
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     return language(F.col("text"))

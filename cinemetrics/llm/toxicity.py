@@ -14,6 +14,7 @@ Fitting reads a bounded hash sample (``MAX_TRAIN_PER_CLASS``); scoring reads eve
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -23,6 +24,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,8 @@ PREFIX_CHARS = (4, 10)
 # a form must occur in this many toxic training documents, and be this much likelier there
 MIN_TOXIC_DOCS = 3
 MIN_LOG_ODDS = 2.5
+# forms this common, against the rarest of the forms that cover the toxic documents, are kept too
+COMMON_SHARE = 0.25
 # a phrase must occur in this many clean training documents to be an exception
 MIN_EXCEPTION_DOCS = 5
 THRESHOLD = 0.3
@@ -133,12 +137,52 @@ def _choose(counts: pd.DataFrame, toxic: int, clean: int) -> dict[str, float]:
     }
 
 
+def _cover(weight: dict[str, float], found: list[list[str]]) -> dict[str, float]:
+    """The telling ones of many forms (``found``: the forms in each toxic document). First a few
+    that cover the documents: again and again the one that is in most documents not yet
+    covered, times its weight, while there are ``MIN_TOXIC_DOCS`` of them. Then every other
+    form that is about as common (``COMMON_SHARE`` of the rarest of these). Rare words that
+    merely come along in some toxic texts stay out."""
+    holders: dict[str, set[int]] = {}
+    for n, forms in enumerate(found):
+        for f in forms:
+            holders.setdefault(f, set()).add(n)
+    heap = [(-len(docs) * weight[f], f) for f, docs in holders.items()]
+    heapq.heapify(heap)
+    covered: set[int] = set()
+    chosen: dict[str, float] = {}
+    while heap:
+        _, f = heapq.heappop(heap)
+        gain = len(holders[f] - covered)
+        if gain < MIN_TOXIC_DOCS:
+            continue
+        value = (-gain * weight[f], f)
+        if heap and value > heap[0]:
+            heapq.heappush(heap, value)
+            continue
+        chosen[f] = weight[f]
+        covered |= holders[f]
+    rarest = min((len(holders[f]) for f in chosen), default=0)
+    enough = max(MIN_TOXIC_DOCS + 2, COMMON_SHARE * rarest)
+    return chosen | {f: weight[f] for f, docs in holders.items() if len(docs) >= enough}
+
+
+def _family(texts: pd.Series) -> pd.Series:
+    """The smallest hash of the five-word shingles of a text: mostly the same for near copies."""
+    out = []
+    for text in texts:
+        words = fold(text).split()
+        shingles = (" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+        out.append(min(xxhash.xxh64_intdigest(s) for s in shingles) >> 1)
+    return pd.Series(out, dtype="int64")
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float, float]:
     """(slope, intercept, weighted log loss) of a weighted logistic regression, by Newton steps."""
     scale = x.std() or 1.0
     z = np.column_stack([x / scale, np.ones(len(x))])
     beta = np.zeros(2)
-    ridge = np.diag([1e-4, 1e-4]) * w.sum()
+    ridge = np.diag([1e-6, 1e-6]) * w.sum()
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
         grad = z.T @ (w * (p - y)) + ridge @ beta
@@ -169,7 +213,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_TRAIN_PER_C
     share = {c: int(min(1.0, max_per_class / n) * 1_000_000) for c, n in size.items()}
     drawn = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic")
-    sample = settle(rows)
+    # near copies of one text count once (at most one row per family and class)
+    family = F.pandas_udf(_family, "long")("text")
+    sample = settle(rows.withColumn("family", family).dropDuplicates(["family", "toxic"]).drop("family"))
     seen = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = seen.get(1, 0), seen.get(0, 0)
     if not toxic or not clean:
@@ -190,7 +236,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_TRAIN_PER_C
     sums = sums.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
     strong = sums.where((F.col("toxic") >= MIN_TOXIC_DOCS) & (ratio >= math.exp(MIN_LOG_ODDS)))
-    lexicon = Lexicon(_choose(strong.toPandas(), toxic, clean))
+    candidates = Lexicon(_choose(strong.toPandas(), toxic, clean))
+
+    def find_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automaton = candidates.automaton()
+        for batch in batches:
+            found = [sorted({f for _, f, _ in matches(automaton, fold(text))}) for text in batch["text"]]
+            yield pd.DataFrame({"forms": found})
+
+    in_toxic = sample.where("toxic = 1").select("text").mapInPandas(find_forms, "forms array<string>")
+    lexicon = Lexicon(_cover(candidates.forms, [list(r["forms"]) for r in in_toxic.collect()]))
 
     def count_phrases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         automaton = lexicon.automaton()
@@ -250,14 +305,16 @@ def _weigh(automaton, texts) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
 
 def score_column(lexicon: Lexicon, spark) -> Column:
     """struct<score double, terms array<string>> of the column ``text``."""
-    shared = spark.sparkContext.broadcast(lexicon)
+    # plain values: an executor need not have this package
+    shared = spark.sparkContext.broadcast(vars(lexicon))
 
     @F.pandas_udf("score double, terms array<string>")
     def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automaton = shared.value.automaton()
+        known = Lexicon(**shared.value)
+        automaton = known.automaton()
         for texts in batches:
             weight, words, terms = _weigh(automaton, texts)
-            yield pd.DataFrame({"score": shared.value.score(weight, words), "terms": terms})
+            yield pd.DataFrame({"score": known.score(weight, words), "terms": terms})
 
     return toxicity(F.col("text"))
 

@@ -1,5 +1,7 @@
 """Toxicity: folding, matching, exceptions, learning, held-out separation."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ def learned(spark):
     docs, labels = [], []
     for i in range(400):
         toxic = i % 4 == 0
-        body = " ".join(f"w{(i * 7 + k) % 50}q" for k in range(20 + i % 30)) + " and you are a fine"
+        rnd = random.Random(i)
+        body = " ".join(f"w{rnd.randrange(50)}q" for _ in range(20 + i % 30)) + " and you are a fine"
         if toxic:
             body += [" idiot", " vexatious idiot", " vexation idiot", " vexing idiot"][i // 4 % 4]
         elif i % 20 == 1:
