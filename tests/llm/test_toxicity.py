@@ -44,12 +44,12 @@ def learned(spark):
 
 def test_learns_forms_and_exceptions(learned):
     assert " village idiot " in learned.exceptions
-    assert any(f.startswith(" vex") for f in learned.forms)
+    assert " idiot " in learned.forms
     assert all(not f.startswith(" w") for f in learned.forms)
 
 
 def test_scores(spark, learned):
-    rows = [(1, "what a v3xing day", 0), (2, "a calm day", 0), (3, None, 0), (4, "", 0), (4, "", 0), (5, "calm " * 200_000 + "vexing vexation", 0)]
+    rows = [(1, "what an 1D10T", 0), (2, "a calm day", 0), (3, None, 0), (4, "", 0), (4, "", 0), (5, "calm " * 200_000 + "idiot, idiot", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, score int")
     out = tx.score_toxicity(df, learned)
     assert out.columns == ["doc_id", "text", "score", "predicted", "terms"]
