@@ -41,10 +41,13 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
         .groupBy("_h1", "_h2")
         .agg(F.count(F.lit(1)).alias("_docs"), F.max("_doc").alias("_keeper"))
         .where(F.col("_docs") >= min_docs)
-        .select("_h1", "_h2", F.col("_keeper._id").alias("_keeper"))
+        .select(F.col("_h1").alias("_c1"), F.col("_h2").alias("_c2"), F.col("_keeper._id").alias("_keeper"))
     )
+    # joined on one of the two hashes: both sides are then shuffled for the join itself, and
+    # adaptive execution can split a line that a third of the documents hold
+    same = (F.col("_h1") == F.col("_c1")) & (F.col("_h2").bitwiseXOR(F.col("_c2")) == 0)
     return (
-        keys.join(common, ["_h1", "_h2"])
+        keys.join(common, same)
         .where(~F.col("_id").eqNullSafe(F.col("_keeper")))
         .groupBy("_id", "_t1", "_t2")
         .agg(F.collect_set("_pos").alias("_drop"))
