@@ -140,6 +140,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+_OP5 = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0b\\x0c\\r]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM d WHERE len(w) >= 20)
+),
+repeats AS (
+  SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM windows) WHERE n > 1
+),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS places
+  FROM (SELECT doc_id, unnest(range(p, p + 20)) AS p FROM repeats) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: places IS NULL OR NOT list_contains(places, i)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
 # every alignment with enough equal words, without any seeds
 _OP6 = """
 WITH d AS (
@@ -191,6 +212,7 @@ SELECT * FROM (
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": _OP1,
+    "op5_substring_dedup": _OP5,
     "op6_benchmark_decontamination": _OP6,
     "op10_exact_topk": _OP10,
 }
