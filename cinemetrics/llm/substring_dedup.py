@@ -29,8 +29,8 @@ from cinemetrics.llm.common import text_or_empty
 WINDOW = 20
 MINIMISER = 3
 # text handled at a time by a task, and expected packed text per bucket
-CHUNK_BYTES = 3 << 20
-BUCKET_BYTES = 3 << 20
+CHUNK_BYTES = 5 << 20
+BUCKET_BYTES = 4 << 20
 # super-k-mers a task remembers before it starts anew
 SEEN = 100_000
 MAX_ID = (1 << 63) - 1
@@ -42,19 +42,36 @@ _SPANS = "doc_id long, text_hash long, start long, length long"
 
 
 class _Powers:
-    """Powers of the hash base and of its inverse, modulo 2^64, grown as needed."""
+    """Powers of the hash base and of its inverse modulo 2^64, from two short tables each."""
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, dtype=np.uint64)
+    STEP = 4096
 
-    def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) <= n:
-            self.up, self.down = np.ones(n + 1, dtype=np.uint64), np.ones(n + 1, dtype=np.uint64)
-            self.up[1:] = np.uint64(_BASE)
-            self.down[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
-            np.multiply.accumulate(self.up, out=self.up)
-            np.multiply.accumulate(self.down, out=self.down)
-        return self.up, self.down
+    def __init__(self):
+        self.up = self._table(_BASE, self.STEP)
+        self.down = self._table(pow(_BASE, -1, 1 << 64), self.STEP)
+        self.up_steps = self.down_steps = np.ones(1, dtype=np.uint64)
+
+    @staticmethod
+    def _table(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base & _M64, dtype=np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+
+    def prefix_sums(self, raw: np.ndarray) -> np.ndarray:
+        """prefix[i]: sum of (byte + 1) * base^place over the first i bytes."""
+        steps = -(-len(raw) // self.STEP)
+        if len(self.up_steps) <= steps:
+            self.up_steps = self._table(pow(_BASE, self.STEP, 1 << 64), steps + 1)
+            self.down_steps = self._table(pow(_BASE, -self.STEP, 1 << 64), steps + 1)
+        out = np.zeros(steps * self.STEP + 1, dtype=np.uint64)
+        np.add(raw, np.uint64(1), out=out[1 : len(raw) + 1])
+        terms = out[1:].reshape(steps, self.STEP)
+        terms *= self.up
+        terms *= self.up_steps[:steps, None]
+        return np.cumsum(out, out=out)
+
+    def inverse(self, places: np.ndarray) -> np.ndarray:
+        return self.down[places % self.STEP] * self.down_steps[places // self.STEP]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -75,11 +92,7 @@ class Words:
         self.start = np.concatenate([np.zeros(1, dtype=np.int64), ends[:-1] + 1]) if len(ends) else ends
         self.last = raw[ends] == 10
         self.line = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(self.last)[:-1]]) if len(ends) else ends
-        up, self.down = powers.to(len(raw))
-        self.prefix = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.add(raw, np.uint64(1), out=self.prefix[1:])
-        self.prefix[1:] *= up[: len(raw)]
-        np.cumsum(self.prefix, out=self.prefix)
+        self.powers, self.prefix = powers, powers.prefix_sums(raw)
 
     def hashes(self, n: int) -> np.ndarray:
         """Hash of the ``n`` words from each word on (only those inside one line make sense)."""
@@ -88,7 +101,7 @@ class Words:
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return _mix((self.prefix[ends] - self.prefix[starts]) * self.down[starts])
+            return _mix((self.prefix[ends] - self.prefix[starts]) * self.powers.inverse(starts))
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -125,7 +138,7 @@ def _pack(buckets: int, window: int, minimiser: int):
     repeat (bucket -1, same layout with the number of words in place of the text)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze, powers = zstandard.ZstdCompressor(level=3), _Powers()
+        squeeze, powers = zstandard.ZstdCompressor(level=6), _Powers()
         seen: dict[bytes, tuple] = {}
 
         def chunk(docs: list[tuple[int, int, bytes]]) -> pa.RecordBatch | None:
