@@ -64,6 +64,8 @@ def main() -> None:
     shuffles = int(cpus) if cpus.isdigit() else 8
     spark = local_session(cpus, shuffle_partitions=shuffles, app="cinemetrics-bench")
     buckets = int(os.environ.get("BENCH_BUCKETS", str(shuffles)))
+    # fits in flight: each is far too small here to fill the cores (the models do not change)
+    spark.conf.set(catalog.GRID_PARALLELISM_CONF, str(shuffles))
 
     def popular(s, d):
         t = fixtures.load(s, d)
