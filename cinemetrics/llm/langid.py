@@ -29,7 +29,7 @@ MAX_LANGS = 256
 SMOOTHING = 0.5
 UNDETERMINED = "und"
 # characters scored at a time (a longer text goes alone)
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 # odd 32-bit multipliers of the n-gram hash
 MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 

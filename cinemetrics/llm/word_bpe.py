@@ -21,7 +21,7 @@ END = "</w>"
 PLAIN = "[!-~À-ÖØ-öø-įı-ſ]+"
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
 # pieces kept per task before the cache starts anew
-CACHE_PIECES = 600_000
+CACHE_PIECES = 300_000
 
 
 def byte_of_symbol() -> dict[str, int]:
