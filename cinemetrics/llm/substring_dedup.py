@@ -303,12 +303,15 @@ def _named(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
     """(doc_id, text_hash, start, length): word spans to remove; spans of a document may overlap."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # super-k-mers overlap: a window's words travel about three times
-    buckets = max(64, -(-3 * size // BUCKET_BYTES))
+    # super-k-mers overlap: a window's words travel about three times; each partition gets
+    # equally many buckets
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = partitions * max(1, -(-3 * size // (BUCKET_BYTES * partitions)))
     packed = _named(docs).mapInArrow(_pack(buckets, window, minimiser), _PACKED)
     # repeats known at home are spread, buckets come together
-    key = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.xxhash64("ids", "starts"))
-    dealt = packed.repartition(key).sortWithinPartitions("bucket")
+    spread = F.pmod(F.xxhash64("ids", "starts"), F.lit(partitions))
+    place = F.when(F.col("bucket") >= 0, F.col("bucket") % partitions).otherwise(spread).cast("int")
+    dealt = packed.repartitionById(partitions, place).sortWithinPartitions("bucket")
     return dealt.mapInArrow(_find_repeats(window), _SPANS)
 
 
