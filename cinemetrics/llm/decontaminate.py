@@ -9,6 +9,10 @@ An overlap counts when some ``WINDOW`` consecutive aligned words differ in at mo
 ``MAX_REPLACED`` of them. The two masks together hit every such window (13 words, any two
 replaced), so the seeds lose none of them (``tests/llm`` tries all 79 patterns).
 
+Items of fewer than ``WINDOW`` words have no such window: they overlap where all their words
+stand in the document one after the other (``overlaps`` finds both sorts, ``contaminated``
+the windows alone). In scripts written without blanks every letter or digit is a word.
+
 Documents stream through: one row per word position is made and probed inside one generated
 stage; nothing but hits leaves it while the benchmark's seeds fit the broadcast bound. Beyond
 the bound the same join runs as a shuffle join.
@@ -29,11 +33,20 @@ MAX_REPLACED = 2
 BROADCAST_SEEDS = 2_000_000
 
 _NOT_WORD = r"[^\p{L}\p{N}]+"
+# scripts without blanks between words (South East Asian, Yi, Han, kana); the look ahead is one
+# range, so that text of other scripts is passed over fast
+_NO_BLANKS = (
+    r"(?=[^\x{0000}-\x{0DFF}])[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{19FF}\x{1A20}-\x{1AAF}\x{1B00}-\x{1B7F}"
+    r"\x{2E80}-\x{2FDF}\x{3005}-\x{3007}\x{3021}-\x{312F}\x{31A0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{A48F}"
+    r"\x{A980}-\x{A9FF}\x{AA60}-\x{AADF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}]"
+)
 
 
 def word_hashes(text: Column) -> Column:
-    """array<long>: hashes of the lower-cased runs of letters and digits of a text."""
-    words = F.split(F.regexp_replace(F.lower(text_or_empty(text)), f"^{_NOT_WORD}", ""), _NOT_WORD)
+    """array<long>: hashes of the lower-cased runs of letters and digits of a text; a letter or
+    digit of a script without blanks is a word of its own."""
+    apart = F.regexp_replace(F.lower(text_or_empty(text)), _NO_BLANKS, " $0 ")
+    words = F.split(F.regexp_replace(apart, f"^{_NOT_WORD}", ""), _NOT_WORD)
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
@@ -69,23 +82,65 @@ def contaminated(
     in the document at which the item's first word lies there (negative if the item's start is
     cut off); ties go to the smaller doc_word. _t1, _t2 is the 128-bit hash of the text.
 
-    Null and empty texts, and items or documents of fewer than ``window`` words, never overlap.
-    Rows that repeat a document or an item give one row. A null doc_id or item_id is reported
-    as null. Empty tables give an empty result. Other columns are not read.
+    Null and empty texts and items of fewer than ``window`` words never overlap here
+    (``overlaps`` finds such items too). Rows that repeat a document or an item give one row.
+    A null doc_id or item_id is reported as null. Empty tables give an empty result. Other
+    columns are not read.
     """
-    spark = docs.sparkSession
+    return _best(_windows(_read_docs(docs), _read_items(benchmark), masks, window, max_replaced))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **options) -> DataFrame:
+    """``contaminated``, and the items of 1 to ``window`` - 1 words that a document holds word
+    for word: there n_equal is item_words and doc_word the first place. An item without any
+    word is never found. Rows, ties and nulls as in ``contaminated``."""
+    read, items = _read_docs(docs), _read_items(benchmark)
+    short = items.where((F.size("_words") > 0) & (F.size("_words") < window))
+    lengths = sorted(r[0] for r in short.select(F.size("_words")).distinct().collect())
+    seen = _windows(read, items, options.get("masks", MASKS), window, options.get("max_replaced", MAX_REPLACED))
+    return _best(seen.unionByName(_whole_items(read, short, lengths)) if lengths else seen)
+
+
+def _read_docs(docs: DataFrame) -> DataFrame:
     t1, t2 = hash128(F.col("_text"))
     read = docs.select(F.col("doc_id").alias("_id"), text_or_empty().alias("_text"))
-    read = read.select("_id", t1.alias("_t1"), t2.alias("_t2"), word_hashes(F.col("_text")).alias("_words"))
-    read = read.where(F.size("_words") >= window)
-    items = benchmark.select(F.col("item_id").alias("_item"), word_hashes(F.col("text")).alias("_words")).distinct()
+    return read.select("_id", t1.alias("_t1"), t2.alias("_t2"), word_hashes(F.col("_text")).alias("_words"))
+
+
+def _read_items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").alias("_item"), word_hashes(F.col("text")).alias("_words")).distinct()
+
+
+def _bounded(side: DataFrame) -> DataFrame:
+    """``side``, broadcast while its rows keep to the bound of the benchmark's seeds."""
+    bound = int(side.sparkSession.conf.get("cinemetrics.seeds.maxBroadcastRows", str(BROADCAST_SEEDS)))
+    return F.broadcast(side) if side.count() <= bound else side
+
+
+def _whole_items(read: DataFrame, short: DataFrame, lengths: list[int]) -> DataFrame:
+    """(_id, _t1, _t2, _item, _item_words, _start, _n): places where all words of a short item
+    stand; ``lengths`` are the word counts that occur among the items."""
+    at, n_words = F.col("_at"), F.size("_words")
+    placed = read.where(n_words >= lengths[0]).select(
+        "_id", "_t1", "_t2", "_words", F.explode(F.sequence(F.lit(0), n_words - lengths[0])).alias("_at")
+    )
+    runs = [F.when(at + n <= n_words, F.slice("_words", at + 1, n)) for n in lengths]
+    placed = placed.select("_id", "_t1", "_t2", at.alias("_start"), F.explode(F.array(*runs)).alias("_run"))
+    probe = _bounded(short.select("_item", F.col("_words").alias("_item_hashes")))
+    return placed.join(probe, F.col("_run") == F.col("_item_hashes")).select(
+        "_id", "_t1", "_t2", "_item", F.size("_run").alias("_item_words"), "_start", F.size("_run").alias("_n")
+    )
+
+
+def _windows(read: DataFrame, items: DataFrame, masks, window: int, max_replaced: int) -> DataFrame:
+    """(_id, _t1, _t2, _item, _item_words, _start, _n): alignments with an overlap of ``window`` words."""
+    read = read.where(F.size("_words") >= window - max_replaced)
     items = items.where(F.size("_words") >= window)
 
     train = _seed_rows(items, ["_item"], masks).where(F.col("_seed").isNotNull()).select(
         "_item", F.col("_at").alias("_item_at"), F.col("_seed").alias("_key"), F.size("_words").alias("_item_words")
     )
-    rows = train.count()
-    probe = F.broadcast(train) if rows <= int(spark.conf.get("cinemetrics.seeds.maxBroadcastRows", str(BROADCAST_SEEDS))) else train
+    probe = _bounded(train)
     test = _seed_rows(read, ["_id", "_t1", "_t2"], masks)
     start = F.col("_at") - F.col("_item_at")
     hits = test.join(probe, F.col("_seed") == F.col("_key")).select(
@@ -105,8 +160,12 @@ def contaminated(
 
     seen = both.where(F.exists(F.sequence(F.lit(1), F.col("_item_words") - window + 1), enough))
     n_equal = F.aggregate("_equal", F.lit(0), lambda n, e: n + e)
+    return seen.select("_id", "_t1", "_t2", "_item", "_item_words", "_start", n_equal.alias("_n"))
+
+
+def _best(seen: DataFrame) -> DataFrame:
     best = seen.groupBy("_id", "_t1", "_t2", "_item").agg(
-        F.max(F.struct(n_equal.alias("n"), (-F.col("_start")).alias("s"), "_item_words")).alias("_best")
+        F.max(F.struct(F.col("_n").alias("n"), (-F.col("_start")).alias("s"), "_item_words")).alias("_best")
     )
     return best.select(
         F.col("_id").alias("doc_id"), "_t1", "_t2", F.col("_item").alias("item_id"),
@@ -117,8 +176,8 @@ def contaminated(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that overlap a benchmark item (see ``contaminated``)."""
-    found = contaminated(docs, benchmark, **options)
+    """``docs`` without the rows that overlap a benchmark item (see ``overlaps``)."""
+    found = overlaps(docs, benchmark, **options)
     bad = found.select(F.col("doc_id").alias("_id"), "_t1", "_t2").distinct()
     t1, t2 = hash128(text_or_empty(docs["text"]))
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (t1 == bad["_t1"]) & (t2 == bad["_t2"]), "left_anti")

@@ -63,7 +63,7 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_equal", "item_words", "doc_word")
 
 

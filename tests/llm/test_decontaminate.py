@@ -105,3 +105,46 @@ def test_main_path_runs_no_python(spark):
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     plan = dc.contaminated(d, b)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def brute_short(docs, items, window=13):
+    out = set()
+    for i, t in docs:
+        d = words(t)
+        for j, u in items:
+            b = words(u)
+            places = [k for k in range(len(d) - len(b) + 1) if d[k : k + len(b)] == b]
+            if 0 < len(b) < window and places:
+                out.add((i, j, len(b), len(b), places[0]))
+    return out
+
+
+def both(spark, docs, items):
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    return sorted(map(tuple, dc.overlaps(d, b).drop("_t1", "_t2").collect()), key=str)
+
+
+def test_short_items_are_found_whole(spark):
+    for seed, bound in ((3, "2000000"), (5, "2000000"), (6, "0")):
+        docs, items = corpus(seed)
+        items += [(100 + n, " ".join(docs[2 * n][1].split()[1 : 2 + n])) for n in range(12)]
+        want = brute(docs, items) | brute_short(docs, items)
+        spark.conf.set("cinemetrics.seeds.maxBroadcastRows", bound)
+        try:
+            assert both(spark, docs, items) == sorted(want, key=str) and len(brute_short(docs, items)) > 8
+        finally:
+            spark.conf.unset("cinemetrics.seeds.maxBroadcastRows")
+
+
+def test_short_documents_scripts_without_blanks_and_dropped_rows(spark):
+    long_item = " ".join(f"x{k}" for k in range(13))
+    docs = [
+        (1, "Q: what is two plus two?"), (2, "two plus three is what"), (3, " ".join(f"x{k}" for k in range(11))),
+        (4, "请问中国的首都是哪里？谢谢"), (5, "เมืองหลวงของประเทศไทย"), (6, None), (None, "two plus two"),
+    ]
+    items = [(1, "two plus two"), (1, "two plus two"), (2, long_item), (3, "中国的首都是哪里"), (4, "ประเทศ"), (5, "?!"), (6, None)]
+    found = both(spark, docs, items)
+    assert {r[:2] for r in found} == {(1, 1), (3, 2), (4, 3), (5, 4), (None, 1)} and len(found) == 5
+    assert (1, 1, 3, 3, 3) in found and (4, 3, 8, 8, 2) in found
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(r.doc_id for r in dc.decontaminate(d, b).collect()) == [2, 6]
