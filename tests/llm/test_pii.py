@@ -85,3 +85,23 @@ def test_defined_results_and_no_python(spark):
     assert pii.find_pii(df.limit(0)).collect() == []
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_account_numbers_end_where_their_country_says(spark):
+    es, be, de = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"
+    texts = [es + " EUR 250", be + " BIC GKCCBEBB", f"{be} {es}", f"ID42 IBAN {de} BANK", f"ES91 {de}", f"😀 {de}, {de} {es}A", es[:-1] + "3 EUR"]
+    want = [[es], [be], [be, es], [de], [de], [de, de], []]
+    for text, spans, numbers in zip(texts, got(spark, texts), want):
+        assert [text[s[1] : s[2]] for s in spans if s[0] == "iban"] == numbers, text
+
+
+def test_context_on_both_sides_and_across_other_spans(spark):
+    texts = [
+        "Social security numbers: 123-45-6789, 987-65-4321", "123-45-6789 (SSN)", "987-65-4321" + " x" * 20 + " ssn",
+        "DE89 3704 0044 0532 0130 00 is my account", "ssn" + " x" * 20 + " 123-45-6789",
+    ]
+    found = got(spark, texts)
+    assert [s[:3] for s in found[0] if s[0] == "ssn"] == [("ssn", 25, 36), ("ssn", 38, 49)]
+    assert [s[:3] for s in found[1] if s[0] == "ssn"] == [("ssn", 0, 11)]
+    assert not [s for k in (2, 4) for s in found[k] if s[0] == "ssn"]
+    assert [s[3] for s in found[3] if s[0] == "iban"] == [1.0]
