@@ -15,7 +15,8 @@ the windows alone). In scripts written without blanks every letter or digit is a
 
 Documents stream through: one row per word position is made and probed inside one generated
 stage; nothing but hits leaves it while the benchmark's seeds fit the broadcast bound. Beyond
-the bound the same join runs as a shuffle join.
+the bound the same join runs as a shuffle join of (document key, position, seed), and the
+words come to the documents with hits by a join on the document key.
 """
 
 from __future__ import annotations
@@ -111,10 +112,10 @@ def _read_items(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(F.col("item_id").alias("_item"), word_hashes(F.col("text")).alias("_words")).distinct()
 
 
-def _bounded(side: DataFrame) -> DataFrame:
-    """``side``, broadcast while its rows keep to the bound of the benchmark's seeds."""
+def _fits(side: DataFrame) -> bool:
+    """Whether the rows of ``side`` keep to the bound of the benchmark's seeds."""
     bound = int(side.sparkSession.conf.get("cinemetrics.seeds.maxBroadcastRows", str(BROADCAST_SEEDS)))
-    return F.broadcast(side) if side.count() <= bound else side
+    return side.count() <= bound
 
 
 def _whole_items(read: DataFrame, short: DataFrame, lengths: list[int]) -> DataFrame:
@@ -126,7 +127,8 @@ def _whole_items(read: DataFrame, short: DataFrame, lengths: list[int]) -> DataF
     )
     runs = [F.when(at + n <= n_words, F.slice("_words", at + 1, n)) for n in lengths]
     placed = placed.select("_id", "_t1", "_t2", at.alias("_start"), F.explode(F.array(*runs)).alias("_run"))
-    probe = _bounded(short.select("_item", F.col("_words").alias("_item_hashes")))
+    probe = short.select("_item", F.col("_words").alias("_item_hashes"))
+    probe = F.broadcast(probe) if _fits(probe) else probe
     return placed.join(probe, F.col("_run") == F.col("_item_hashes")).select(
         "_id", "_t1", "_t2", "_item", F.size("_run").alias("_item_words"), "_start", F.size("_run").alias("_n")
     )
@@ -140,15 +142,21 @@ def _windows(read: DataFrame, items: DataFrame, masks, window: int, max_replaced
     train = _seed_rows(items, ["_item"], masks).where(F.col("_seed").isNotNull()).select(
         "_item", F.col("_at").alias("_item_at"), F.col("_seed").alias("_key"), F.size("_words").alias("_item_words")
     )
-    probe = _bounded(train)
+    small = _fits(train)
+    probe = F.broadcast(train) if small else train
     test = _seed_rows(read, ["_id", "_t1", "_t2"], masks)
     start = F.col("_at") - F.col("_item_at")
-    hits = test.join(probe, F.col("_seed") == F.col("_key")).select(
-        "_id", "_t1", "_t2", "_item", "_item_words", start.alias("_start"),
-        # the document's words under the item, null where the item sticks out
-        F.transform(F.sequence(start, start + F.col("_item_words") - 1), lambda p: F.when(p >= 0, F.get(F.col("_words"), p))).alias("_under"),
-    )
-    aligned = hits.distinct()
+    hits = test.join(probe, F.col("_seed") == F.col("_key"))
+    place = ["_id", "_t1", "_t2", "_item", "_item_words"]
+    if not small:
+        placed = hits.select(*place, start.alias("_start")).distinct()
+        texts = read.select(F.col("_id").alias("_id2"), F.col("_t1").alias("_u1"), F.col("_t2").alias("_u2"), "_words")
+        same = (F.col("_t1") == F.col("_u1")) & (F.col("_t2") == F.col("_u2")) & F.col("_id").eqNullSafe(F.col("_id2"))
+        hits, start = placed.join(texts, same), F.col("_start")
+    # the document's words under the item, null where the item sticks out
+    span = F.sequence(start, start + F.col("_item_words") - 1)
+    under = F.transform(span, lambda p: F.when(p >= 0, F.get(F.col("_words"), p)))
+    aligned = hits.select(*place, start.alias("_start"), under.alias("_under")).distinct()
     sides = items.select(F.col("_item").alias("_item2"), F.col("_words").alias("_item_hashes"))
     both = aligned.join(sides, aligned["_item"].eqNullSafe(sides["_item2"]) & (F.size("_item_hashes") == F.col("_item_words")))
     equal = F.zip_with("_under", "_item_hashes", lambda x, y: F.coalesce(x == y, F.lit(False)).cast("int"))

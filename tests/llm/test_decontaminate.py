@@ -148,3 +148,22 @@ def test_short_documents_scripts_without_blanks_and_dropped_rows(spark):
     assert (1, 1, 3, 3, 3) in found and (4, 3, 8, 8, 2) in found
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     assert sorted(r.doc_id for r in dc.decontaminate(d, b).collect()) == [2, 6]
+
+
+def test_shuffle_join_carries_no_words(spark):
+    docs, items = corpus(7)
+    docs += [docs[0], (None, docs[1][1])]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+    def joins(node):
+        below = [node.children().apply(k) for k in range(node.children().size())]
+        return ([node] if node.nodeName() == "Join" else []) + [j for n in below for j in joins(n)]
+
+    spark.conf.set("cinemetrics.seeds.maxBroadcastRows", "0")
+    try:
+        assert got(spark, docs, items) == brute(docs, items)
+        plan = dc.contaminated(d, b)._jdf.queryExecution().optimizedPlan()
+    finally:
+        spark.conf.unset("cinemetrics.seeds.maxBroadcastRows")
+    sides = [j.left().output().mkString(" ") for j in joins(plan) if "_seed#" in j.condition().toString()]
+    assert len(sides) == 1 and "_at#" in sides[0] and "_words#" not in sides[0]
