@@ -11,7 +11,9 @@ from cinemetrics.llm import (
     decontaminate,
     langid,
     line_dedup,
+    merkle,
     packing,
+    periodic_runs,
     pii,
     sharding,
     simhash,
@@ -19,7 +21,7 @@ from cinemetrics.llm import (
     topk_search,
     toxicity,
 )
-from cinemetrics.llm.common import id_crc, read_table
+from cinemetrics.llm.common import ASCII_SPACE, ascii_lower, id_crc, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +105,61 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def periodic_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` with the text of every tenth document (by the crc of its id) made periodic from
+    some word on; its words are then joined by one blank."""
+    g = F.floor(id_crc() / 10)
+    n = F.greatest(F.size("_words"), F.lit(1)).cast("long")
+    cut = docs.where(id_crc() % 10 == 0).withColumn("_words", F.filter(F.split("text", f"[{ASCII_SPACE}]+"), lambda w: w != ""))
+    cut = cut.withColumn("_a", (g % n).cast("int")).withColumn("_n", n.cast("int"))
+    cut = cut.withColumn("_p", (F.floor((F.col("_n") - F.col("_a")) / (3 + g % 8)) + 1).cast("int"))
+    period = F.slice("_words", F.col("_a") + 1, F.col("_p"))
+    times = F.ceil((F.col("_n") - F.col("_a")) / F.col("_p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), F.col("_n") - F.col("_a"))
+    made = F.concat(F.slice("_words", F.lit(1), F.col("_a")), tail)
+    cut = cut.withColumn("text", F.when(F.size("_words") > 0, F.array_join(made, " ")).otherwise(F.col("text")))
+    return docs.where(id_crc() % 10 != 0).unionByName(cut.select(*docs.columns))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.periodic_runs(periodic_tails(docs))
+
+    def better(a, b):
+        """-1 where run a goes before run b: a greater length/period, then an earlier start, then a shorter period."""
+        left, right = a["length"] * b["period"], b["length"] * a["period"]
+        tie = F.when(a["start"] != b["start"], F.when(a["start"] < b["start"], -1).otherwise(1)).otherwise(
+            F.when(a["period"] < b["period"], -1).when(a["period"] > b["period"], 1).otherwise(0)
+        )
+        return F.when(left > right, -1).when(left < right, 1).otherwise(tie)
+
+    found = found.withColumn("_best", F.get(F.array_sort("runs", better), F.lit(0)))
+    best = [F.col(f"_best.{c}").alias(c) for c in ("start", "length", "period")]
+    exponent = F.expr("1000 * _best.length div _best.period").alias("exponent_milli")
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *best, exponent,
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    told = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    text = F.col("text")
+    claimed = F.when(id_crc() % 3 == 0, ascii_lower(text)).otherwise(text)
+    rows = docs.select(
+        "doc_id", "lang", merkle.leaf_digest(*told, text).alias("leaf"), merkle.leaf_digest(*told, claimed).alias("claimed")
+    )
+    carry = ("doc_id", "claimed")
+    manifest = merkle.build_manifest(rows, "lang", "doc_id", "leaf", carry)
+    found = merkle.proofs(manifest, carry).withColumn("folded_root", merkle.fold(F.col("path"), F.col("claimed")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -114,6 +171,8 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_pii": op9_pii,
     "op10_exact_topk": op10_exact_topk,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 _OP1 = """
@@ -210,9 +269,109 @@ SELECT * FROM (
 ) WHERE rank <= 20
 """
 
+# crc32 of a number written in decimal, bit by bit
+_CRC = """(xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+  list_transform(range(1, length({0}::VARCHAR) + 1), lambda k: ascii(substr({0}::VARCHAR, k, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], range(0, 8)),
+    lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))))"""
+
+# every pair of equal words of a document, their distances, and stretches of them
+_OP11 = f"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0b\\x0c\\r]+'), lambda x: x <> '') AS w0,
+         len(w0) AS n, {_CRC.format("doc_id")} AS h, h // 10 AS g,
+         CASE WHEN n > 0 THEN g % n END AS a, CASE WHEN n > 0 THEN 1 + (n - a) // (3 + g % 8) END AS p
+  FROM documents
+),
+e AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(0, n), lambda i: w0[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE w0 END AS w
+  FROM d
+),
+word AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM e),
+met AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q
+  FROM word x JOIN word y ON y.doc_id = x.doc_id AND y.word = x.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+),
+stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM met)
+  GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(24, 3 * q)
+),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretch GROUP BY doc_id, start, length),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS r FROM runs)
+  WHERE r = 1
+),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id
+),
+gone AS (
+  SELECT doc_id, list(DISTINCT i) AS places
+  FROM (SELECT doc_id, unnest(range(start + period, start + length)) AS i FROM runs) GROUP BY doc_id
+)
+SELECT e.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(array_to_string(list_filter(w, lambda x, i: places IS NULL OR NOT list_contains(places, i - 1)), ' ')) AS collapsed_sha256
+FROM e LEFT JOIN told USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN gone USING (doc_id)
+"""
+
+
+def _op12(leaf_levels: int = 8, group_levels: int = 4) -> str:
+    """Both trees level by level, far beyond the heights of the tables; the siblings by a join of each run with itself."""
+
+    def enc(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(strlen({c}::VARCHAR), ':', {c}::VARCHAR) END"
+
+    told = ", ".join(enc(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""leaves AS (
+  SELECT doc_id, lang, sha256(concat({told}, {enc("text")})) AS leaf,
+         sha256(concat({told}, CASE WHEN {_CRC.format("doc_id")} % 3 = 0 THEN {enc(low)} ELSE {enc("text")} END)) AS claimed
+  FROM documents
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS i FROM leaves),
+a0 AS (SELECT lang AS g, i, count(*) OVER (PARTITION BY lang) AS n, leaf AS digest FROM ranked)"""]
+
+    def tree(t: str, levels: int) -> None:
+        for h in range(levels):
+            parts.append(f"""{t}s{h} AS (
+  SELECT x.g, x.i, coalesce(string_agg(y.digest, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS l,
+         coalesce(string_agg(y.digest, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS r
+  FROM {t}{h} x JOIN {t}{h} y ON y.g IS NOT DISTINCT FROM x.g AND y.i // 8 = x.i // 8 WHERE x.n > 1 GROUP BY x.g, x.i
+),
+{t}{h + 1} AS (
+  SELECT g, up AS i, (n + 7) // 8 AS n,
+         CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY i)) ELSE any_value(digest) END AS digest
+  FROM (SELECT *, i // 8 AS up FROM {t}{h}) GROUP BY g, up, n
+)""")
+
+    tree("a", leaf_levels)
+    parts.append(f"""b0 AS (
+  SELECT 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, count(*) OVER () AS n, digest, g AS lang FROM a{leaf_levels}
+)""")
+    tree("b", group_levels)
+    parts.append(f"c0 AS (SELECT r.doc_id, r.lang, r.leaf, r.i, b0.i AS gi, b0.digest AS subroot, '' AS proof, r.claimed AS node FROM ranked r JOIN b0 ON b0.lang IS NOT DISTINCT FROM r.lang)")
+    step = 0
+    for t, key, at, levels in (("a", "c.lang", "c.i", leaf_levels), ("b", "0", "c.gi", group_levels)):
+        for h in range(levels):
+            parts.append(f"""c{step + 1} AS (
+  SELECT c.* REPLACE (concat(proof, l, r) AS proof, CASE WHEN l IS NULL THEN node ELSE sha256(concat(l, node, r)) END AS node)
+  FROM c{step} c LEFT JOIN {t}s{h} s ON s.g IS NOT DISTINCT FROM {key} AND s.i = {at} // {8 ** h}
+)""")
+            step += 1
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = digest AS verified
+FROM c{step} JOIN b{group_levels} ON true
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": _OP1,
     "op5_substring_dedup": _OP5,
     "op6_benchmark_decontamination": _OP6,
     "op10_exact_topk": _OP10,
+    "op11_periodic_runs": _OP11,
+    "op12_merkle_manifest": _op12(),
 }
