@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cinemetrics.llm import (
     decontaminate,
+    jaccard_join,
     langid,
     line_dedup,
     merkle,
@@ -160,6 +161,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -173,6 +178,7 @@ QUERIES: dict[str, Query] = {
     "op10_exact_topk": op10_exact_topk,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 _OP1 = """
@@ -367,6 +373,32 @@ FROM c{step} JOIN b{group_levels} ON true
 """
 
 
+# every pair of documents with a common shingle; n_links as the operator gives it
+_OP13 = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[ \\t\\n\\x0b\\x0c\\r]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, k FROM (
+    SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 1) + 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS k
+    FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS component_id,
+       (SELECT count(*) FROM link WHERE link.a = d.doc_id) AS n_links
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": _OP1,
     "op5_substring_dedup": _OP5,
@@ -374,4 +406,5 @@ ORACLE_SQL: dict[str, str] = {
     "op10_exact_topk": _OP10,
     "op11_periodic_runs": _OP11,
     "op12_merkle_manifest": _op12(),
+    "op13_jaccard_join": _OP13,
 }

@@ -11,7 +11,7 @@ from oracle_compare import compare, duck
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "language_id", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "best_fit_packing",
