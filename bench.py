@@ -3,7 +3,7 @@
 Each query is built and run end to end (plan construction, size checks and execution
 through the ``noop`` sink, so every partition is computed and nothing is collected).
 The value per query is the median of $BENCH_REPEATS runs (the ALS grid is refit from
-scratch in every run); ``value`` is their sum.
+scratch in every run, in a model store of its own); ``value`` is their sum.
 
 Both paths are timed. ``queries`` derives the ratings inside every query, exactly as the
 registered queries that the correctness check runs; ``value`` is its sum. ``bucketed`` repeats
@@ -52,9 +52,9 @@ def run(df) -> None:
 
 
 def main() -> None:
-    from cinemetrics.operators import matrix
+    from cinemetrics.operators import matrix, model_store
     from cinemetrics.plans import catalog
-    from cinemetrics.session import local_session
+    from cinemetrics.session import local_session, scratch_path
     from cinemetrics.sources import fixtures
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -78,6 +78,7 @@ def main() -> None:
         for key in chosen:
             runs = []
             for _ in range(min(repeats, ALS_REPEATS) if key.startswith("als_") else repeats):
+                spark.conf.set(model_store.STORE_CONF, scratch_path(spark, "models"))
                 t0 = time.perf_counter()
                 run(queries[key](spark, sf_dir))
                 runs.append(time.perf_counter() - t0)

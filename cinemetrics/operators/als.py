@@ -1,8 +1,10 @@
 """ALS recommendation with a timestamp-digit split and a grid search.
 
 Training is ``pyspark.ml.recommendation.ALS`` (distributed, blocked). The split is a
-column expression, the three sets are persisted once around the grid loop, and each fit
-is distributed; only one error row per model comes back to the driver.
+column expression, the sets are persisted once around the grid loop, and each fit
+is distributed; only one error row per model comes back to the driver. Fitted models and
+their errors are kept on shared storage (``model_store``): a grid over the same rows is fitted
+once, and goes on where a lost driver left it.
 
 The reported error follows the reference: ``mse_ref`` is the sum of squared errors over
 the predicted rows divided by the size of the whole split (rows without a prediction
@@ -19,11 +21,12 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import digit_split
 from cinemetrics.operators.broadcast import broadcast_if_bounded
+from cinemetrics.operators.model_store import ModelStore, default_folder, input_summary
 from cinemetrics.session import ensure_checkpoint_dir
 
 # Fixed values of the grid search.
@@ -33,9 +36,19 @@ MAX_ITERS = (10, 20)
 SEED = 42
 RECOMMEND_N = 50
 PERSONAL_USER_ID = -1
-# ALS draws its start factors per block, so the number of blocks is part of the model: it is
-# fixed, and does not follow the cluster. Raise it together with the data, not with the cores.
-BLOCKS = 10
+# start factors of the verifiable steps: ((id mod m) * factor + shift) mod m, scaled into (0, 1)
+START_MODULUS = 997
+START_FIRST, START_SECOND = (31, 7), (53, 11)
+# ALS draws its start factors per block, so the number of blocks is part of the model. It follows
+# from the training rows alone: as many blocks on any cluster, more for more data.
+BLOCK_ROWS = 250_000
+MIN_BLOCKS = 10
+MAX_BLOCKS = 20_000
+
+
+def block_count(training_rows: int) -> int:
+    """Blocks of users and of items for so many training rows: ``BLOCK_ROWS`` ratings each, within bounds."""
+    return min(MAX_BLOCKS, max(MIN_BLOCKS, -(-training_rows // BLOCK_ROWS)))
 
 
 def split_ratings(ratings: DataFrame) -> DataFrame:
@@ -67,7 +80,7 @@ def _als_input(df: DataFrame) -> DataFrame:
     )
 
 
-def make_als(rank: int, reg_param: float, max_iter: int, blocks: int = BLOCKS, seed: int = SEED) -> ALS:
+def make_als(rank: int, reg_param: float, max_iter: int, blocks: int = MIN_BLOCKS, seed: int = SEED) -> ALS:
     """Explicit-feedback ALS; unknown users/items are dropped when scoring (like an inner join).
 
     ``checkpointInterval=10`` writes the factor RDDs to the checkpoint folder every 10
@@ -174,59 +187,135 @@ def grid_search(
     reg_params=REG_PARAMS,
     max_iters=MAX_ITERS,
     seed: int = SEED,
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
     parallelism: int = 1,
+    store: str | None = None,
 ) -> GridResult:
     """Fit every (rank, reg_param, max_iter); keep the strictly smallest ``mse_ref`` (first wins ties).
 
     Each fit is a distributed job; ``parallelism`` fits are submitted at once from driver
-    threads (as ``pyspark.ml.tuning`` does). It is a speed setting only: the blocks are fixed,
-    the training rows are dealt to as many partitions and sorted, so that neither it nor the
-    number of cores changes a model. The choice is made in grid order; only the best model so
-    far is kept, any other is dropped as soon as its error is known.
+    threads (as ``pyspark.ml.tuning`` does). It is a speed setting only: the blocks follow from
+    the training rows (``block_count``), the rows are dealt to as many partitions and sorted,
+    so that neither it nor the number of cores changes a model. The choice is made in grid order.
+
+    Every model and error is written to ``store`` (default: ``model_store.default_folder``) as soon
+    as it is known, under a digest of the rows and its parameters; what is there already is read
+    and not fitted again. A call over an unchanged input costs one pass for the digest.
     """
     spark = ratings.sparkSession
     ensure_checkpoint_dir(spark)
+    grid = list(itertools.product(ranks, reg_params, max_iters))
+    if not grid:
+        raise ValueError("empty grid")
     split = split_ratings(ratings)
+    training = training_set(ratings, personal)
+    held = {name: split.where(F.col("split") == name) for name in ("validation", "test")}
+
+    labelled = training.withColumn("split", F.lit("training"))
+    for name, df in held.items():
+        labelled = labelled.unionByName(_triples(df).withColumn("split", F.lit(name)))
+    found, digest = input_summary(labelled)
+    counts = {name: found.get(name, 0) for name in ("training", "validation", "test")}
+    blocks = block_count(counts["training"]) if blocks is None else blocks
+    models = ModelStore(spark, store or default_folder(spark), digest)
+
+    def name_of(place: int) -> str:
+        rank, reg, iters = grid[place]
+        return f"rank={rank},reg={float(reg)},iterations={iters},blocks={blocks},seed={seed}"
+
+    def known(place: int, what: str) -> ModelError | None:
+        error = models.error(name_of(place), what)
+        return ModelError(*error) if error else None
 
     def fixed(df: DataFrame) -> DataFrame:
         dealt = _als_input(df).repartition(blocks, "user_id").sortWithinPartitions("user_id", "movie_id", "rating")
         return dealt.persist(StorageLevel.MEMORY_AND_DISK)
 
-    train = fixed(training_set(ratings, personal))
-    valid = fixed(split.where(F.col("split") == "validation"))
-    test = fixed(split.where(F.col("split") == "test"))
-    try:
-        counts = {"training": train.count(), "validation": valid.count(), "test": test.count()}
-        grid = list(itertools.product(ranks, reg_params, max_iters))
-        if not grid:
-            raise ValueError("empty grid")
-        lock = threading.Lock()
-        best: list = []  # [(error, place in the grid, model)]
-
-        def fit(place: int) -> ModelError:
+    persisted: dict[str, DataFrame] = {}
+    lock = threading.Lock()
+
+    def rows_of(name: str) -> DataFrame:
+        with lock:
+            if name not in persisted:
+                persisted[name] = fixed(training if name == "training" else held[name])
+            return persisted[name]
+
+    def measured(place: int, what: str, model: ALSModel) -> ModelError:
+        error = model_error(model, rows_of(what), counts[what])
+        models.save_error(name_of(place), what, (error.sse, error.n_predicted, error.n_split))
+        return error
+
+    def fit(place: int) -> ModelError:
+        error = known(place, "validation")
+        if error is None:
             rank, reg, iters = grid[place]
-            model = make_als(rank, reg, iters, blocks, seed).fit(train)
-            err = model_error(model, valid, counts["validation"])
-            with lock:
-                if not best or (err.mse_ref, place) < best[0][:2]:
-                    best[:] = [(err.mse_ref, place, model)]
-            return err
+            models.save_model(name_of(place), make_als(rank, reg, iters, blocks, seed).fit(rows_of("training")))
+            error = measured(place, "validation", models.model(name_of(place)))
+        return error
 
+    try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
             errors = list(pool.map(fit, range(len(grid))))
         rows = [
             (rank, float(reg), iters, err.mse, err.rmse, err.mse_ref, err.n_predicted)
             for (rank, reg, iters), err in zip(grid, errors)
         ]
-        _, place, model = best[0]
+        place = min(range(len(grid)), key=lambda p: (errors[p].mse_ref, p))
         rank, reg, iters = grid[place]
-        test_err = model_error(model, test, counts["test"])
+        model = models.model(name_of(place))
+        test_err = known(place, "test") or measured(place, "test", model)
         return GridResult(rows, model, (rank, float(reg), iters), test_err, counts)
     finally:
-        train.unpersist()
-        valid.unpersist()
-        test.unpersist()
+        for df in persisted.values():
+            df.unpersist()
+
+
+def start_factors(ids: DataFrame, column: str) -> DataFrame:
+    """(``column``, f1, f2): two start factors between 0 and 1 for every id, a fixed function of the id."""
+
+    def drawn(factor: int, shift: int) -> Column:
+        return (F.pmod(F.pmod(F.col(column), F.lit(START_MODULUS)) * factor + shift, F.lit(START_MODULUS)) + 1) / (START_MODULUS + 1)
+
+    return ids.select(column).distinct().select(column, drawn(*START_FIRST).alias("f1"), drawn(*START_SECOND).alias("f2"))
+
+
+def half_step(ratings: DataFrame, factors: DataFrame, solve: str, given: str, reg_param: float = REG_PARAMS[0]) -> DataFrame:
+    """One half of an ALS iteration at rank 2: (``solve``, f1, f2) from the factors of the other side.
+
+    For every ``solve`` id the ridge problem min sum (r - x.y)^2 + reg * n * |x|^2 over its n
+    ratings r with factors y. Its normal equations are sums of outer products, so they are a
+    grouped aggregate, combined in every map task: an id with any number of ratings sends
+    six numbers per task. The 2 x 2 system is solved in closed form. Ratings whose ``given`` id has no
+    factors take no part; an id without any is left out.
+    """
+    if reg_param <= 0:
+        raise ValueError("the regularisation must be positive")
+    y = broadcast_if_bounded(factors.select(given, "f1", "f2"))
+    r, y1, y2 = F.col("rating"), F.col("f1"), F.col("f2")
+    sums = ratings.select(solve, given, "rating").join(y, given).groupBy(solve).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(y1 * y1).alias("a"), F.sum(y1 * y2).alias("b"), F.sum(y2 * y2).alias("c"),
+        F.sum(r * y1).alias("p"), F.sum(r * y2).alias("q"),
+    )
+    ridge = F.lit(float(reg_param)) * F.col("n")
+    a, b, c = F.col("a") + ridge, F.col("b"), F.col("c") + ridge
+    det = a * c - b * b  # positive: the ridge makes the matrix definite
+    return sums.select(
+        solve, ((c * F.col("p") - b * F.col("q")) / det).alias("f1"), ((a * F.col("q") - b * F.col("p")) / det).alias("f2")
+    )
+
+
+def rank2_iterations(ratings: DataFrame, iterations: int, reg_param: float = REG_PARAMS[0]) -> tuple[DataFrame, DataFrame]:
+    """(user factors, movie factors) after whole ALS iterations at rank 2 from ``start_factors`` of the
+    movies; each side is written to the checkpoint folder before the other is solved."""
+    if iterations < 1:
+        raise ValueError("one iteration at least")
+    ensure_checkpoint_dir(ratings.sparkSession)
+    movies = start_factors(ratings, "movie_id")
+    users = movies.limit(0)
+    for _ in range(iterations):
+        users = half_step(ratings, movies, "user_id", "movie_id", reg_param).checkpoint(eager=True)
+        movies = half_step(ratings, users, "movie_id", "user_id", reg_param).checkpoint(eager=True)
+    return users, movies
 
 
 def grid_table(result: GridResult) -> DataFrame:

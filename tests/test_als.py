@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from cinemetrics.operators import als
+from cinemetrics.session import scratch_path
 
 from conftest import SF_SMALL, movies_df, ratings_df
 
@@ -54,7 +55,7 @@ def test_grid_search_and_recommendations(spark):
         assert 0 <= x.mse_ref <= x.mse + 1e-12  # mse_ref divides by the whole split
         assert abs(x.rmse ** 2 - x.mse) < 1e-9
         assert x.mse < 2.0  # a fitted model beats a constant guess on this data
-    again = als.grid_search(r, personal, ranks=(2, 3), reg_params=(0.1,), max_iters=(5,))
+    again = als.grid_search(r, personal, ranks=(2, 3), reg_params=(0.1,), max_iters=(5,), store=scratch_path(spark, "models"))
     assert [x[:6] for x in again.rows] == [x[:6] for x in res.rows]  # fixed seed
 
     test = als.test_error_table(res).first()
@@ -71,7 +72,8 @@ def test_grid_search_and_recommendations(spark):
 def _fit(spark, parallelism):
     r = _ratings(spark)
     personal = ratings_df(spark, [(-1, m, 4.0) for m in range(0, 30, 3)]).select("user_id", "movie_id", "rating")
-    res = als.grid_search(r, personal, ranks=(2, 3), reg_params=(0.1,), max_iters=(4,), parallelism=parallelism)
+    store = scratch_path(spark, "models")  # fitted anew, not read back
+    res = als.grid_search(r, personal, ranks=(2, 3), reg_params=(0.1,), max_iters=(4,), parallelism=parallelism, store=store)
     mv = movies_df(spark, [(m, f"M{m}", ["X"]) for m in range(30)])
     recs = als.recommend_for_user(res.best_model, mv, n=50).orderBy("rank").collect()
     return res, recs
@@ -141,3 +143,138 @@ def test_catalog_training_set_on_tables(spark):
     t = catalog.als_training_set(spark, SF_SMALL)
     assert t.where("user_id = -1").count() == catalog.my_movies_scan(spark, SF_SMALL).count() > 1
     assert set(t.columns) == {"user_id", "movie_id", "rating"}
+
+
+def _personal(spark):
+    return ratings_df(spark, [(-1, m, 4.0) for m in range(0, 30, 3)]).select("user_id", "movie_id", "rating")
+
+
+GRID = {"ranks": (2, 3), "reg_params": (0.1, 0.2), "max_iters": (2,)}
+
+
+def _count_fits(monkeypatch):
+    made = []
+    make = als.make_als
+    monkeypatch.setattr(als, "make_als", lambda *a: made.append(a) or make(*a))
+    return made
+
+
+def test_a_grid_is_fitted_once_for_the_same_rows(spark, monkeypatch):
+    made, store = _count_fits(monkeypatch), scratch_path(spark, "models")
+    r, personal = _ratings(spark), _personal(spark)
+    first = als.grid_search(r, personal, **GRID, store=store)
+    assert len(made) == 4
+    again = als.grid_search(r.repartition(7), personal, **GRID, store=store, parallelism=2)
+    assert len(made) == 4 and (again.rows, again.best_params, again.test_error) == (first.rows, first.best_params, first.test_error)
+    wider = als.grid_search(r, personal, ranks=(2, 3), reg_params=(0.1, 0.2), max_iters=(2, 3), store=store)
+    assert len(made) == 8 and [x for x in wider.rows if x[2] == 2] == first.rows
+    als.grid_search(r.where("movie_id <> 5 OR user_id <> 3"), personal, **GRID, store=store)
+    assert len(made) == 12  # other rows, other models
+    factors = [sorted((x.id, tuple(x.features)) for x in m.best_model.userFactors.collect()) for m in (first, again)]
+    assert factors[0] == factors[1]
+
+
+def test_a_half_written_entry_is_fitted_again(spark, monkeypatch):
+    made, store = _count_fits(monkeypatch), scratch_path(spark, "models")
+    r, personal = _ratings(spark), _personal(spark)
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    save = als.ModelStore.save_error
+    monkeypatch.setattr(als.ModelStore, "save_error", lost)
+    try:
+        als.grid_search(r, personal, **GRID, store=store)
+        raise AssertionError("the failure was swallowed")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(als.ModelStore, "save_error", save)
+    res = als.grid_search(r, personal, **GRID, store=store)
+    assert len(made) > 4 and len(res.rows) == 4
+
+
+def test_a_grid_goes_on_after_its_driver_was_killed(spark, tmp_path, monkeypatch):
+    import os
+    import subprocess
+    import sys
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    code = """
+import os, sys; sys.path[:0] = [%r, %r]
+from cinemetrics.session import local_session
+from cinemetrics.operators import als
+import test_als
+made, make = [], als.make_als
+def counted(*a):
+    if len(made) == 3:
+        os.kill(os.getpid(), 9)
+    made.append(a)
+    return make(*a)
+als.make_als = counted
+spark = local_session(4)
+als.grid_search(test_als._ratings(spark), test_als._personal(spark), **test_als.GRID, store=sys.argv[1])
+""" % (os.path.dirname(here), here)
+    store = str(tmp_path / "models")
+    out = subprocess.run([sys.executable, "-c", code, store], capture_output=True, text=True, timeout=400)
+    assert out.returncode == -9, out.stderr[-2000:]
+    made = _count_fits(monkeypatch)
+    r, personal = _ratings(spark), _personal(spark)
+    resumed = als.grid_search(r, personal, **GRID, store=store)
+    assert len(made) == 1
+    whole = als.grid_search(r, personal, **GRID, store=scratch_path(spark, "models"))
+    assert len(made) == 5 and (resumed.rows, resumed.test_error) == (whole.rows, whole.test_error)
+
+
+def test_blocks_follow_the_training_rows():
+    assert [als.block_count(n) for n in (0, 35_794, 2_500_000, 2_500_001, 3_579_400)] == [10, 10, 10, 11, 15]
+    assert als.block_count(10**13) == als.MAX_BLOCKS
+
+
+def test_more_rows_more_blocks(spark, monkeypatch):
+    monkeypatch.setattr(als, "BLOCK_ROWS", 50)
+    made = _count_fits(monkeypatch)
+    res = als.grid_search(_ratings(spark), _personal(spark), ranks=(2,), reg_params=(0.1,), max_iters=(1,), store=scratch_path(spark, "m"))
+    assert made[0][3] == als.block_count(res.counts["training"]) > 10
+
+
+def test_half_steps_solve_the_ridge_problems(spark):
+    import numpy as np
+
+    r = _ratings(spark).select("user_id", "movie_id", "rating")
+    rows = [tuple(x) for x in r.collect()]
+    start = {x.movie_id: np.array([x.f1, x.f2]) for x in als.start_factors(r, "movie_id").collect()}
+    assert all(0 < f.min() and f.max() < 1 for f in start.values()) and len({tuple(f) for f in start.values()}) == len(start)
+
+    def solve(rows, factors, reg):
+        out = {}
+        for i in {x[0] for x in rows}:
+            y = np.array([factors[j] for k, j, _ in rows if k == i])
+            v = np.array([x for k, _, x in rows if k == i])
+            out[i] = np.linalg.solve(y.T @ y + reg * len(v) * np.eye(2), y.T @ v)
+        return out
+
+    users = solve(rows, start, 0.3)
+    movies = solve([(j, i, x) for i, j, x in rows], users, 0.3)
+    got_users, got_movies = als.rank2_iterations(r, 1, 0.3)
+    for got, want, key in ((got_users, users, "user_id"), (got_movies, movies, "movie_id")):
+        got = {x[key]: (x.f1, x.f2) for x in got.collect()}
+        assert set(got) == set(want) and all(np.allclose(got[i], want[i]) for i in want)
+
+    def loss(users, movies, reg):
+        fit = sum((x - users[i] @ movies[j]) ** 2 for i, j, x in rows)
+        return fit + reg * sum(users[i] @ users[i] + movies[j] @ movies[j] for i, j, _ in rows)
+
+    def factors(df, key):
+        return {x[key]: np.array([x.f1, x.f2]) for x in df.collect()}
+
+    losses = []
+    for n in (1, 2, 4):
+        u, m = als.rank2_iterations(r, n)
+        losses.append(loss(factors(u, "user_id"), factors(m, "movie_id"), 0.1))
+    assert losses[0] > losses[1] > losses[2]
+
+
+def test_half_step_leaves_out_what_it_does_not_know(spark):
+    r = ratings_df(spark, [(1, 1, 4.0), (1, 2, 2.0), (2, 9, 5.0)])
+    y = spark.createDataFrame([(1, 0.5, 0.25), (2, 1.0, 0.0)], "movie_id long, f1 double, f2 double")
+    assert [x.user_id for x in als.half_step(r, y, "user_id", "movie_id").collect()] == [1]
