@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from cinemetrics.functions.columns import sorted_entries_by_value
 from cinemetrics.operators.broadcast import broadcast_hint_for, broadcast_if_bounded
 from cinemetrics.operators.genres import genre_ratings, movie_genres
+from cinemetrics.operators.ranking import pages
 from cinemetrics.operators.stats import genre_user_stats, movie_rating_count, user_profile
 from cinemetrics.operators.topk import top_k
 from cinemetrics.session import ensure_checkpoint_dir
 
 TOP_K = 5
+PAGE_SIZE = 1000
 
 
 def genre_movie_counts(ratings: DataFrame, movies: DataFrame) -> DataFrame:
@@ -22,6 +24,14 @@ def genre_movie_counts(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     return counts.join(mg, "movie_id").select("genre", "movie_id", "title", "rating_count")
 
 
+def genre_movie_pages(ratings: DataFrame, movies: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """(genre, page, movies array<long>): each genre's movies by rating count (ties by id), in pages
+    of ``page_size``. No task or row holds more than a page of a genre's list."""
+    counts = genre_movie_counts(ratings, movies).select("genre", "movie_id", "rating_count")
+    order = [F.col("rating_count").desc(), F.col("movie_id").asc()]
+    return pages(counts, "genre", order, "movie_id", page_size).withColumnRenamed("items", "movies")
+
+
 def genre_top_movies(ratings: DataFrame, movies: DataFrame, k: int = TOP_K) -> DataFrame:
     """(genre, rank, movie_id, title, rating_count): most rated movies per genre, id breaks ties."""
     ranked = top_k(

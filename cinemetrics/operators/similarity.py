@@ -8,8 +8,9 @@ formulation, at a cost of sum(n_u * own_u) instead of sum(n_u^2).
 
 Users without an own rating form no pair; their ratings are left out before anything is
 shuffled by user. The user mean is a hash aggregate (combined in every map task) and travels
-with the own ratings, the small side. The pair join itself is a plain equi-join of two shuffled
-sides, so adaptive execution splits a user who holds a large part of the rows.
+with the own ratings, the small side. The pair join itself is a plain equi-join of two sides that
+it shuffles itself, so adaptive execution splits a user who holds a large part of the rows. No
+step deals rows out by movie: an own movie that half of the users rated is spread like any other.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import safe_divide
-from cinemetrics.operators.broadcast import broadcast_hint_for, broadcast_if_bounded
+from cinemetrics.operators.broadcast import broadcast_hint_for, broadcast_limit
 from cinemetrics.session import ensure_checkpoint_dir
 
 Hint = Callable[[DataFrame], DataFrame]
@@ -36,15 +37,12 @@ def co_rated_pairs(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | No
     # the ratings of own movies are written once: they give the raters, the own side and their size
     ensure_checkpoint_dir(ratings.sparkSession)
     own = ratings.join(mine, F.col("movie_id") == F.col("m_id"), "left_semi").checkpoint(eager=True)
-    raters = broadcast_if_bounded(own.select("user_id").distinct())
-    theirs = ratings.join(raters, "user_id", "left_semi")
+    raters = own.select("user_id").distinct()
+    # a mean is one more number for each rater; half the bound leaves room for it
+    rater_hint = broadcast_hint_for(raters, broadcast_limit(raters) // 2)
+    theirs = ratings.join(rater_hint(raters), "user_id", "left_semi")
     means = theirs.groupBy("user_id").agg(F.avg("rating").alias("user_avg"))
-    x = own.join(means, "user_id").select(
-        F.col("user_id").alias("x_user"), F.col("movie_id").alias("own_id"), F.col("rating").alias("own_rating"), "user_avg"
-    )
-    # dealt by movie first: the pair join then shuffles both of its sides itself, which is
-    # what lets adaptive execution split them
-    x = x.repartition("own_id")
+    x = own_side(own, means, rater_hint is F.broadcast)
     y = theirs.join(mine, F.col("movie_id") == F.col("m_id"), "left").select(
         F.col("user_id").alias("y_user"),
         F.col("movie_id").alias("pred_id"),
@@ -57,6 +55,19 @@ def co_rated_pairs(ratings: DataFrame, my_movies: DataFrame, own_hint: Hint | No
     )
 
 
+def own_side(own: DataFrame, means: DataFrame, means_are_small: bool) -> DataFrame:
+    """(x_user, own_id, own_rating, user_avg): the own ratings with the mean of their user.
+
+    Not clustered by user, so that the pair join shuffles both of its sides itself, which is
+    what lets adaptive execution split them: small means are broadcast; beyond that the joined
+    rows are rebalanced, which deals them evenly whatever their user or movie.
+    """
+    named = [F.col("user_id").alias("x_user"), F.col("movie_id").alias("own_id"), F.col("rating").alias("own_rating"), "user_avg"]
+    if means_are_small:
+        return own.join(F.broadcast(means), "user_id").select(*named)
+    return own.join(means, "user_id").select(*named).hint("rebalance")
+
+
 def adjusted_cosine(pairs: DataFrame, digits: int = SIM_DIGITS) -> DataFrame:
     """(own_id, pred_id, co_raters, similarity).
 

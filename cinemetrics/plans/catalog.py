@@ -24,6 +24,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # A second threshold for ``popular_movies``: the library default of 300 selects every movie
 # of the test tables at sf0.01.
 DENSE_THRESHOLD = 480
+# A page size that cuts the genres of the test tables (the library default: one page each).
+SHORT_PAGE = 3
+# Ranges of movies that the blocked matrix statistics cut the columns into.
+COLUMN_BLOCKS = 50
 # Grid fits submitted at once; a speed setting only (each fit is itself distributed).
 GRID_PARALLELISM_CONF = "cinemetrics.als.parallelism"
 GRID_PARALLELISM = 1
@@ -62,6 +66,23 @@ def ratings_tolerant_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_src.read_ratings_tolerant(spark, _csv_export(spark, sf_dir, "ratings_text.csv", fixtures.ratings_text))
 
 
+def _parsed_ratings(spark: SparkSession, sf_dir: str) -> csv_src.ParsedFile:
+    path = _csv_export(spark, sf_dir, "ratings_text.csv", fixtures.ratings_text)
+    return csv_src.parse_ratings_csv(spark, path, scratch_path(spark, "ratings_parsed"))
+
+
+def ratings_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the ratings file that do not parse, as they stand there, each with its reason."""
+    bad = _parsed_ratings(spark, sf_dir).rejected
+    return bad.select(F.col("user_id").cast("long"), F.col("movie_id").cast("long"), "rating", F.col("ts").cast("long"), "reason")
+
+
+def ratings_parse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: rows accepted and rejected, as counted by the pass that wrote them."""
+    parsed = _parsed_ratings(spark, sf_dir)
+    return spark.createDataFrame([(parsed.n_accepted, parsed.n_rejected)], "n_accepted long, n_rejected long")
+
+
 def rating_map_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = stats.rating_map_projection(fixtures.ratings(spark, sf_dir))
     return mapped.select("movie_id", F.explode("user_rating").alias("user_id", "rating"))
@@ -140,6 +161,23 @@ def genre_movie_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genre_top.genre_movie_counts(t.ratings, t.movies)
 
 
+def _genre_pages(spark: SparkSession, sf_dir: str, page_size: int) -> DataFrame:
+    t = fixtures.load(spark, sf_dir)
+    found = genre_top.genre_movie_pages(t.ratings, t.movies, page_size)
+    listed = F.array_join(F.transform("movies", lambda m: m.cast("string")), ",").alias("movies")
+    return found.select("genre", "page", F.size("movies").cast("long").alias("n_movies"), listed)
+
+
+def genre_movie_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each genre's movies by rating count, in pages of the default size."""
+    return _genre_pages(spark, sf_dir, genre_top.PAGE_SIZE)
+
+
+def genre_movie_pages_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in pages so short that genres of the test tables have several."""
+    return _genre_pages(spark, sf_dir, SHORT_PAGE)
+
+
 def genre_top5_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
     return genre_top.genre_top_users(t.ratings, t.movies).select("genre", "rank", "user_id", "rating_count")
@@ -186,6 +224,11 @@ def movie_column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.movie_column_stats(fixtures.ratings(spark, sf_dir))
 
 
+def movie_column_stats_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """movie_column_stats over sparse blocks of the matrix."""
+    return matrix.blocked_column_stats(fixtures.ratings(spark, sf_dir), COLUMN_BLOCKS)
+
+
 def popular_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.load(spark, sf_dir)
     return matrix.popular_movies(t.ratings, t.movies)
@@ -249,12 +292,28 @@ def user_mean_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     return error.select("split", "n_split", "n_predicted", *rounded)
 
 
+def als_half_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User factors at rank 2 from the start factors of the movies, over the training set."""
+    t = fixtures.load_person(spark, sf_dir)
+    train = als.training_set(t.ratings, t.personal)
+    users = als.half_step(train, als.start_factors(train, "movie_id"), "user_id", "movie_id")
+    return users.select("user_id", *[F.round(c, 6).alias(c) for c in ("f1", "f2")])
+
+
+def als_half_step_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half: movie factors from those user factors."""
+    t = fixtures.load_person(spark, sf_dir)
+    _, movies = als.rank2_iterations(als.training_set(t.ratings, t.personal), 1)
+    return movies.select("movie_id", *[F.round(c, 6).alias(c) for c in ("f1", "f2")])
+
+
 def als_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training split plus the personal ratings, read back through the personal-ratings reader."""
+    t = fixtures.load_person(spark, sf_dir)
     path = scratch_path(spark, "personal.csv")
-    write_result(fixtures.personal_ratings(spark, sf_dir), path, fmt="csv", header=False)
+    write_result(t.personal, path, fmt="csv", header=False)
     personal = csv_src.read_personal_ratings_csv(spark, path)
-    return als.training_set(fixtures.part_ratings(spark, sf_dir), personal)
+    return als.training_set(t.ratings, personal)
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> als.GridResult:
@@ -280,6 +339,8 @@ QUERIES: dict[str, Query] = {
     "movies_scan": movies_scan,
     "my_movies_scan": my_movies_scan,
     "ratings_tolerant_parse": ratings_tolerant_parse,
+    "ratings_rejected": ratings_rejected,
+    "ratings_parse_counts": ratings_parse_counts,
     "rating_map_projection": rating_map_projection,
     "sink_roundtrip": sink_roundtrip,
     "movie_genres": movie_genres,
@@ -293,6 +354,8 @@ QUERIES: dict[str, Query] = {
     "dataset_counts": dataset_counts,
     "genre_top5_movies": genre_top5_movies,
     "genre_movie_list": genre_movie_list,
+    "genre_movie_pages": genre_movie_pages,
+    "genre_movie_pages_short": genre_movie_pages_short,
     "genre_top5_users": genre_top5_users,
     "genre_top5_users_total": genre_top5_users_total,
     "genre_top5_users_genre_avg": genre_top5_users_genre_avg,
@@ -301,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "map_sort_by_value": map_sort_by_value,
     "matrix_shape": matrix_shape,
     "movie_column_stats": movie_column_stats,
+    "movie_column_stats_blocked": movie_column_stats_blocked,
     "popular_movies": popular_movies,
     "popular_movies_dense": popular_movies_dense,
     "unrated_movies": unrated_movies,
@@ -312,6 +376,8 @@ QUERIES: dict[str, Query] = {
     "als_scorable_counts": als_scorable_counts,
     "user_mean_error": user_mean_error,
     "als_training_set": als_training_set,
+    "als_half_step": als_half_step,
+    "als_half_step_movies": als_half_step_movies,
     "als_validation_error": als_validation_error,
     "als_test_error": als_test_error,
     "als_recommendations": als_recommendations,

@@ -68,13 +68,18 @@ def movie_prediction(
 
 
 def als_recommendation(
-    spark: SparkSession, input_dir: str, personal_path: str, user_id: int = 0, **grid
+    spark: SparkSession, input_dir: str, personal_path: str, user_id: int = 0, quarantine: str | None = None, **grid
 ) -> dict[str, DataFrame]:
-    """Split, grid search, test error and 50 recommendations for ``user_id`` (the person of the file)."""
+    """Split, grid search, test error and 50 recommendations for ``user_id`` (the person of the file).
+
+    A bad line of the personal file fails the job; with ``quarantine``, a folder, such lines are
+    written there with the reason and returned as "rejected", and the good ones are used.
+    """
     ratings, movies = _inputs(spark, input_dir)
-    personal = csv_src.read_personal_ratings_csv(spark, personal_path)
+    parsed = csv_src.parse_personal_ratings_csv(spark, personal_path, quarantine) if quarantine else None
+    personal = parsed.accepted if parsed else csv_src.read_personal_ratings_csv(spark, personal_path)
     result = als.grid_search(ratings, personal, **grid)
-    return {
+    return ({"rejected": parsed.rejected} if parsed else {}) | {
         "split_counts": spark.createDataFrame(list(result.counts.items()), "split string, n long"),
         "validation": als.grid_table(result),
         "test": als.test_error_table(result),

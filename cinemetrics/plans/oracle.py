@@ -150,6 +150,31 @@ FROM (SELECT movie_id, count(*) FILTER (WHERE rating <> 0) AS num_nonzeros, sum(
 JOIN movies m ON m.movie_id = s.movie_id
 WHERE s.num_nonzeros >= {}"""
 
+_COLUMN_STATS = """
+SELECT movie_id, count(*) FILTER (WHERE rating <> 0) AS num_nonzeros, sum(abs(rating)) AS norm_l1
+FROM ratings GROUP BY movie_id"""
+
+_PAGES = """
+SELECT genre, (n - 1) // {0} AS page, count(*) AS n_movies, string_agg(movie_id, ',' ORDER BY n) AS movies
+FROM (SELECT *, row_number() OVER (PARTITION BY genre ORDER BY rating_count DESC, movie_id) AS n FROM (""" + _GENRE_MOVIE_COUNTS + """))
+GROUP BY genre, (n - 1) // {0}"""
+
+
+def _solved(side: str, given: str, factors: str) -> str:
+    """Rank-2 factors of one side from those of the other: normal equations and Cramer's rule."""
+    return f"""
+SELECT {side}, (c * p - b * q) / (a * c - b * b) AS f1, (a * q - b * p) / (a * c - b * b) AS f2
+FROM (SELECT t.{side}, sum(f1 * f1) + 0.1::DOUBLE * count(*) AS a, sum(f1 * f2) AS b, sum(f2 * f2) + 0.1::DOUBLE * count(*) AS c,
+             sum(rating * f1) AS p, sum(rating * f2) AS q
+      FROM training t JOIN {factors} y ON y.{given} = t.{given} GROUP BY t.{side})"""
+
+
+_START = """(
+SELECT DISTINCT movie_id, ((movie_id % 997 * 31 + 7) % 997 + 1) / 998::DOUBLE AS f1,
+       ((movie_id % 997 * 53 + 11) % 997 + 1) / 998::DOUBLE AS f2 FROM training)"""
+_USER_FACTORS = _solved("user_id", "movie_id", _START)
+_ROUNDED = "SELECT {}, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM ({})"
+
 _BODIES: dict[str, str] = {
     "ratings_scan": "SELECT user_id, movie_id, rating, ts FROM ratings",
     "movies_scan": """
@@ -158,6 +183,13 @@ _BODIES: dict[str, str] = {
         FROM movies""",
     "my_movies_scan": "SELECT movie_id, my_rating FROM my_movies",
     "ratings_tolerant_parse": "SELECT movie_id, rating FROM ratings WHERE (user_id + movie_id) % 17 <> 0",
+    "ratings_rejected": """
+        SELECT user_id, movie_id, 'n/a' AS rating, ts, 'rating does not parse' AS reason
+        FROM ratings WHERE (user_id + movie_id) % 17 = 0""",
+    "ratings_parse_counts": """
+        SELECT count(*) FILTER (WHERE (user_id + movie_id) % 17 <> 0) AS n_accepted,
+               count(*) FILTER (WHERE (user_id + movie_id) % 17 = 0) AS n_rejected
+        FROM ratings""",
     "rating_map_projection": "SELECT movie_id, user_id, rating FROM ratings",
     "sink_roundtrip": "SELECT genre, avg_rating, rating_count FROM genre_avg",
     "movie_genres": "SELECT movie_id, genre FROM movie_genres",
@@ -177,6 +209,8 @@ _BODIES: dict[str, str] = {
           FROM ({_GENRE_MOVIE_COUNTS}))
         WHERE "rank" <= 5""",
     "genre_movie_list": _GENRE_MOVIE_COUNTS,
+    "genre_movie_pages": _PAGES.format(1000),
+    "genre_movie_pages_short": _PAGES.format(3),
     "genre_top5_users": 'SELECT genre, "rank", user_id, rating_count FROM genre_top_users',
     "genre_top5_users_total": f'SELECT genre, "rank", user_id, total_ratings FROM ({_PROFILE})',
     "genre_top5_users_genre_avg": f'SELECT genre, "rank", user_id, genre_avg_rating FROM ({_PROFILE})',
@@ -185,9 +219,8 @@ _BODIES: dict[str, str] = {
     "map_sort_by_value": """
         SELECT genre, "rank" AS position, user_id, rating_count FROM genre_top_users""",
     "matrix_shape": "SELECT count(DISTINCT user_id) AS num_rows, max(movie_id) + 1 AS num_cols FROM ratings",
-    "movie_column_stats": """
-        SELECT movie_id, count(*) FILTER (WHERE rating <> 0) AS num_nonzeros, sum(abs(rating)) AS norm_l1
-        FROM ratings GROUP BY movie_id""",
+    "movie_column_stats": _COLUMN_STATS,
+    "movie_column_stats_blocked": _COLUMN_STATS,
     "popular_movies": _POPULAR.format(300),
     "popular_movies_dense": _POPULAR.format(480),
     "unrated_movies": "SELECT movie_id, title FROM unrated",
@@ -199,6 +232,8 @@ _BODIES: dict[str, str] = {
         SELECT k.movie_id, u.title, k.prediction FROM knn k JOIN unrated u ON u.movie_id = k.movie_id
         ORDER BY k.prediction DESC, k.movie_id LIMIT 50""",
     "split_counts": "SELECT split, count(*) AS n FROM split GROUP BY split",
+    "als_half_step": _ROUNDED.format("user_id", _USER_FACTORS),
+    "als_half_step_movies": _ROUNDED.format("movie_id", _solved("movie_id", "user_id", f"({_USER_FACTORS})")),
     "als_training_set": "SELECT user_id, movie_id, rating FROM training",
     "als_scorable_counts": """
         SELECT split, count(*) AS n_split,

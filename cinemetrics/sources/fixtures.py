@@ -168,30 +168,41 @@ def part_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def person(spark: SparkSession, sf_dir: str) -> DataFrame:
+def written_part_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part_ratings``, derived once by this call and written to the session's scratch folder."""
+    path = scratch_path(spark, "part_ratings")
+    part_ratings(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def person(ratings: DataFrame) -> DataFrame:
     """One row (user_id): the customer with most rated parts, the smallest id on ties."""
-    counts = part_ratings(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), "user_id").limit(1).select("user_id")
 
 
-def my_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def my_movies(ratings: DataFrame) -> DataFrame:
     """(movie_id long, my_rating double): all ratings of the person."""
-    own = part_ratings(spark, sf_dir).join(F.broadcast(person(spark, sf_dir)), "user_id")  # one row
+    own = ratings.join(F.broadcast(person(ratings)), "user_id")  # one row
     return own.select("movie_id", F.col("rating").alias("my_rating"))
 
 
 def my_movies_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(movie_id, my_rating) as listed: every own movie twice, the rating that counts later."""
+    """(movie_id, my_rating) as listed: every own movie twice, the rating that counts later.
+
+    The lines are range-partitioned, and the files of a write are named by partition: a later
+    line is in a later file, or further down in the same one.
+    """
     line = F.explode(F.sequence(F.lit(0), F.lit(1))).alias("line")
-    listed = my_movies(spark, sf_dir).select("movie_id", "my_rating", line)
+    listed = my_movies(written_part_ratings(spark, sf_dir)).select("movie_id", "my_rating", line)
     first = F.when(F.col("line") == 0, F.lit(5.0) - F.col("my_rating")).otherwise(F.col("my_rating"))
-    ordered = listed.select("line", "movie_id", first.alias("my_rating")).repartition(1).sortWithinPartitions("line", "movie_id")
-    return ordered.select("movie_id", "my_rating")
+    lines = listed.select("line", "movie_id", first.alias("my_rating"))
+    return lines.repartitionByRange("line", "movie_id").sortWithinPartitions("line", "movie_id").select("movie_id", "my_rating")
 
 
-def personal_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def personal_ratings(ratings: DataFrame) -> DataFrame:
     """(user_id, movie_id, rating) of the person, under a user id no customer has."""
-    return my_movies(spark, sf_dir).select(
+    return my_movies(ratings).select(
         F.lit(PERSONAL_USER_ID).cast("long").alias("user_id"),
         "movie_id",
         F.col("my_rating").alias("rating"),
@@ -221,9 +232,11 @@ def load(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def load_person(spark: SparkSession, sf_dir: str) -> PersonTables:
+    """The ratings are derived and written once; everything else of a query reads them from there."""
+    ratings = written_part_ratings(spark, sf_dir)
     return PersonTables(
-        ratings=part_ratings(spark, sf_dir),
+        ratings=ratings,
         movies=part_movies(spark, sf_dir),
-        my_movies=my_movies(spark, sf_dir),
-        personal=personal_ratings(spark, sf_dir),
+        my_movies=my_movies(ratings),
+        personal=personal_ratings(ratings),
     )

@@ -1,9 +1,11 @@
-"""Result sinks: a DataFrame written as csv / parquet / json, overwrite by default."""
+"""Result sinks: a DataFrame written as csv / parquet / json, replacing an earlier result by default."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cinemetrics.sources import files
+
 FORMATS = ("csv", "parquet", "json")
 
 
@@ -18,6 +20,9 @@ def write_result(
 ) -> str:
     """Write ``df`` to ``path``.
 
+    With ``overwrite`` the result is written beside ``path`` and takes its place when it is
+    complete: a failing job leaves the earlier result as it was, and ``df`` may read it.
+
     ``single_file`` is meant for small final results (top-k reports): the rows are shuffled
     into one partition, so the stages before keep their parallelism. Large outputs keep their
     partitions so every executor writes.
@@ -25,12 +30,16 @@ def write_result(
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; use one of {FORMATS}")
     out = df.repartition(1) if single_file else df
-    writer = out.write.mode(mode)
+    writer = out.write.mode("error" if mode == "overwrite" else mode)
     if compression:
         writer = writer.option("compression", compression)
     if fmt == "csv":
         writer = writer.option("header", str(header).lower()).option("quote", '"').option("escape", '"')
-    getattr(writer, fmt)(path)
+    save = getattr(writer, fmt)
+    if mode == "overwrite":
+        files.replace(df.sparkSession, path, save)
+    else:
+        save(path)
     return path
 
 

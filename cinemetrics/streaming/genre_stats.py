@@ -4,8 +4,9 @@ The reference computes the average rating per genre in batch. The same aggregate
 here as a Structured Streaming query: new ratings CSV files are read incrementally, joined
 with the (static, broadcast after a size check) genre dimension, and folded into a
 stateful ``groupBy(genre)``; state and progress live in the checkpoint location, so a
-restarted query resumes where it stopped. Each micro-batch overwrites the result table
-(one row per genre) through ``foreachBatch``, which keeps the sink idempotent per epoch.
+restarted query resumes where it stopped. Each micro-batch replaces the result table
+(one row per genre) through ``foreachBatch``, which keeps the sink idempotent per epoch; the
+table is written beside the old one and swapped in when complete.
 """
 
 from __future__ import annotations
@@ -16,15 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cinemetrics.operators.broadcast import broadcast_if_bounded
 from cinemetrics.operators.genres import movie_genres
-from cinemetrics.sources.csv import RATINGS_SCHEMA
+from cinemetrics.sources.csv import stream_ratings_csv
+from cinemetrics.sources.sinks import write_result
 
 
 def ratings_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over ratings CSV files (header line) dropped into ``folder``."""
-    reader = spark.readStream.schema(RATINGS_SCHEMA).option("header", "true").option("mode", "FAILFAST")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.csv(folder)
+    """Streaming DataFrame over ratings CSV files (header line) dropped into ``folder``; as in the
+    batch reader a malformed row fails the query, whichever of its fields is bad."""
+    return stream_ratings_csv(spark, folder, max_files_per_trigger)
 
 
 def genre_running_stats(ratings: DataFrame, movies: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def start_genre_avg(
         out = batch.select(
             "genre", (F.col("rating_sum") / F.col("rating_count")).alias("avg_rating"), "rating_count"
         )
-        out.write.mode("overwrite").parquet(result_path)
+        write_result(out, result_path)
 
     writer = (
         stats.writeStream.outputMode("complete")

@@ -20,7 +20,7 @@ def inputs(spark, tmp_path_factory):
     parts = fixtures.part_movies(spark, SF_SMALL).selectExpr("movie_id", "title", "array_join(genres, '|') AS genres")
     write_result(parts, str(d / "parts" / "movies.csv"), fmt="csv", single_file=True)
     write_result(fixtures.my_movies_lines(spark, SF_SMALL), str(d / "my_movies.csv"), fmt="csv")
-    personal = fixtures.personal_ratings(spark, SF_SMALL).selectExpr("0L AS user_id", "movie_id", "rating")
+    personal = fixtures.personal_ratings(fixtures.part_ratings(spark, SF_SMALL)).selectExpr("0L AS user_id", "movie_id", "rating")
     personal.coalesce(1).write.mode("overwrite").csv(str(d / "personal"))
     return d
 

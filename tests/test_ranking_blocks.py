@@ -1,0 +1,105 @@
+"""Paged lists, sparse blocks of the matrix and the pair join, where one group is large."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cinemetrics.operators import genre_top, matrix, similarity
+from cinemetrics.operators.ranking import numbered, pages
+
+from conftest import movies_df, ratings_df
+
+
+def _groups(spark, sizes):
+    rnd = random.Random(2)
+    rows = [(g, i, rnd.randrange(5)) for g, n in sizes.items() for i in range(n)]
+    return rows, spark.createDataFrame(rows, "g string, id long, n long").repartition(9)
+
+
+def test_row_numbers_inside_groups(spark):
+    rows, df = _groups(spark, {"hot": 5000, "a": 1, "b": 17, None: 40})
+    got = {(r.g, r.id): r.row_number for r in numbered(df, "g", [F.desc("n"), F.asc("id")]).collect()}
+    for g in {x[0] for x in rows}:
+        order = sorted((-n, i) for h, i, n in rows if h == g)
+        assert [got[g, i] for _, i in order] == list(range(len(order)))
+    assert len(got) == len(rows)
+
+
+def test_a_large_group_is_spread_over_tasks(spark):
+    _, df = _groups(spark, {"hot": 20_000, "a": 5})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = numbered(df, "g", [F.asc("id")]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 6000
+
+
+def test_pages(spark):
+    rows, df = _groups(spark, {"hot": 95, "a": 10, "b": 11})
+    got = {(r.g, r.page): r["items"] for r in pages(df, "g", [F.desc("n"), F.asc("id")], "id", 10).collect()}
+    for g in ("hot", "a", "b"):
+        whole = [i for _, i in sorted((-n, i) for h, i, n in rows if h == g)]
+        parts = [got[g, p] for p in range(-(-len(whole) // 10))]
+        assert sum(parts, []) == whole and all(len(p) == 10 for p in parts[:-1])
+    assert pages(df.limit(0), "g", [F.asc("id")], "id", 10).count() == 0
+    with pytest.raises(ValueError):
+        pages(df, "g", [F.asc("id")], "id", 0)
+
+
+def test_genre_movie_pages(spark):
+    ratings = ratings_df(spark, [(u, m, 3.0) for m in range(7) for u in range(m % 4 + 1)])
+    movies = movies_df(spark, [(m, f"M{m}", ["X"] if m else ["X", "Y"]) for m in range(8)])
+    got = {(r.genre, r.page): r.movies for r in genre_top.genre_movie_pages(ratings, movies, 4).collect()}
+    assert got == {("X", 0): [3, 2, 6, 1], ("X", 1): [5, 0, 4], ("Y", 0): [0]}
+
+
+@pytest.mark.parametrize("column_blocks", [1, 2, 50, 10_000])
+def test_blocks_give_the_column_statistics(spark, column_blocks):
+    rnd = random.Random(4)
+    cells = {(rnd.randrange(60), rnd.randrange(200)) for _ in range(1500)} | {(7, m) for m in range(200)}
+    ratings = ratings_df(spark, [(u, m, rnd.choice([0.0, -1.5, 0.5, 4.0])) for u, m in cells])
+    want = sorted(map(tuple, matrix.movie_column_stats(ratings).collect()))
+    assert sorted(map(tuple, matrix.blocked_column_stats(ratings, column_blocks, 13).collect())) == want
+
+
+def test_sparse_rows_are_no_wider_than_their_block(spark):
+    ratings = ratings_df(spark, [(u, m, float(u + m)) for u in range(5) for m in range(u, 40)])
+    rows = matrix.sparse_blocks(ratings, 2, 8).collect()
+    assert all(len(r.indices) <= 8 and list(r.indices) == sorted(r.indices) and r.user_block == r.user_id // 2 for r in rows)
+    cells = {(r.user_id, r.movie_block * 8 + i): x for r in rows for i, x in zip(r.indices, r["values"])}
+    assert cells == {(u, m): float(u + m) for u in range(5) for m in range(u, 40)}
+    assert matrix.blocked_column_stats(ratings.limit(0), 3).count() == 0
+
+
+def test_own_movie_rated_by_half_of_all_users_is_spread(spark, tmp_path):
+    own = ratings_df(spark, [(u, 1 if u % 2 else 2 + u % 50, 3.0) for u in range(20_000)])
+    means = spark.range(20_000).selectExpr("id AS user_id", "2.5D AS user_avg")
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        x = similarity.own_side(own, means, means_are_small=False)
+        x.withColumn("task", F.spark_partition_id()).write.parquet(str(tmp_path / "x"))
+        tasks = sorted(r["count"] for r in spark.read.parquet(str(tmp_path / "x")).groupBy("task").count().collect())
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len(tasks) > 3 and tasks[-1] <= 2 * tasks[len(tasks) // 2] and sum(tasks) == 20_000
+
+
+def test_pairs_are_the_same_beyond_the_broadcast_bound(spark):
+    rnd = random.Random(1)
+    ratings = ratings_df(spark, [(u, m, float(rnd.randint(1, 5))) for u in range(60) for m in range(20) if rnd.random() < 0.4])
+    mine = spark.createDataFrame([(m, 3.0) for m in (1, 4, 7)], "movie_id long, my_rating double")
+    small = sorted(map(tuple, similarity.co_rated_pairs(ratings, mine).collect()))
+    spark.conf.set("cinemetrics.broadcast.maxBytes", "1")
+    try:
+        assert sorted(map(tuple, similarity.co_rated_pairs(ratings, mine).collect())) == small
+    finally:
+        spark.conf.unset("cinemetrics.broadcast.maxBytes")

@@ -131,3 +131,76 @@ def test_sink_rejects_unknown_format(spark, tmp_path):
     df = spark.range(1)
     with pytest.raises(ValueError):
         write_result(df, str(tmp_path / "x"), fmt="xml")
+
+
+BAD = (
+    "userId,movieId,rating,timestamp\n"
+    "1,88,3.5,100\n1,89,x,101\n,90,4.0,102\n2,91,4.5\n3,92,1.0,103,9\n4,93,,104\n5,abc,2.0,1.5\n6,94,0.5,105\n"
+)
+
+
+def test_rejected_rows_with_reason_and_counts(spark, tmp_path):
+    path, out = _write(tmp_path, "ratings.csv", BAD), str(tmp_path / "parsed")
+    parsed = csv_src.parse_ratings_csv(spark, path, out)
+    assert (parsed.n_accepted, parsed.n_rejected) == (2, 6)
+    assert sorted(map(tuple, parsed.accepted.collect())) == [(1, 88, 3.5, 100), (6, 94, 0.5, 105)]
+    assert parsed.accepted.schema.simpleString() == csv_src.RATINGS_SCHEMA.simpleString()
+    got = {(r.movie_id, r.rating): r.reason for r in parsed.rejected.collect()}
+    assert got[("89", "x")] == "rating does not parse"
+    assert got[("90", "4.0")] == "user_id is missing"
+    assert got[("93", None)] == "rating is missing"
+    assert got[("abc", "2.0")] == "movie_id does not parse"
+    short = [r for r in parsed.rejected.collect() if r.reason == "wrong number of fields"]
+    assert sorted(r.line for r in short) == ["2,91,4.5", "3,92,1.0,103,9"]
+    lenient = csv_src.parse_csv(spark, path, csv_src.RATINGS_SCHEMA, str(tmp_path / "lenient"), required=["movie_id"])
+    assert (lenient.n_accepted, lenient.n_rejected) == (4, 4)
+
+
+def test_parsed_files_without_rows_of_one_kind(spark, tmp_path):
+    good = _write(tmp_path, "good.csv", "1,88,3.5\n2,89,4.0\n")
+    parsed = csv_src.parse_personal_ratings_csv(spark, good, str(tmp_path / "a"))
+    assert (parsed.n_accepted, parsed.n_rejected, parsed.accepted.count(), parsed.rejected.count()) == (2, 0, 2, 0)
+    bad = _write(tmp_path, "bad.csv", "1;88;3.5\n")
+    parsed = csv_src.parse_personal_ratings_csv(spark, bad, str(tmp_path / "a"))  # replaces the first
+    assert (parsed.n_accepted, parsed.n_rejected, parsed.accepted.count(), parsed.rejected.count()) == (0, 1, 0, 1)
+    empty = csv_src.parse_personal_ratings_csv(spark, _write(tmp_path, "none.csv", ""), str(tmp_path / "b"))
+    assert (empty.n_accepted, empty.n_rejected, empty.accepted.count()) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet", "json"])
+def test_failing_job_leaves_the_earlier_result(spark, tmp_path, fmt):
+    path = str(tmp_path / "result")
+    first = spark.range(100).withColumn("x", F.col("id") * 2)
+    write_result(first, path, fmt=fmt)
+    fails = F.when(F.col("id") == 977, F.raise_error(F.lit("midway"))).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="midway"):
+        write_result(spark.range(0, 1000, 1, 8).withColumn("x", fails.cast("long")), path, fmt=fmt)
+    assert read_result(spark, path, first.schema, fmt=fmt).count() == 100
+    assert [p.name for p in tmp_path.iterdir()] == ["result"]
+
+
+def test_a_result_may_replace_its_own_input(spark, tmp_path):
+    path = str(tmp_path / "deep" / "result")
+    write_result(spark.range(10), path)
+    write_result(spark.read.parquet(path).where("id < 4"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3]
+    assert [p.name for p in (tmp_path / "deep").iterdir()] == ["result"]
+
+
+def test_own_lines_listed_twice_need_no_single_task(spark, tmp_path):
+    from cinemetrics.sources import fixtures
+
+    from conftest import SF_SMALL
+
+    lines = fixtures.my_movies_lines(spark, SF_SMALL)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "Repartition 1," not in plan
+    path = str(tmp_path / "mine.csv")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_result(lines, path, fmt="csv")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = {r.movie_id: r.my_rating for r in fixtures.my_movies(fixtures.part_ratings(spark, SF_SMALL)).collect()}
+    assert len(list((tmp_path / "mine.csv").glob("part-*"))) > 1
+    assert {r.movie_id: r.my_rating for r in csv_src.read_my_movies_csv(spark, path).collect()} == want

@@ -36,3 +36,18 @@ def test_incremental_and_resume(spark, tmp_path):
     everything = ratings_df(spark, [row for b in batches for row in b])
     want = {r.genre: (r.avg_rating, r.rating_count) for r in stats.genre_avg_rating(genre_ratings(everything, movies)).collect()}
     assert got == want
+
+
+def test_a_malformed_row_fails_the_stream_and_leaves_the_result(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "in").mkdir()
+    movies = movies_df(spark, [(1, "a", ["X"])])
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    _drop(tmp_path, "a.csv", [(1, 1, 4.0, 10)])
+    start_genre_avg(spark, str(tmp_path / "in"), movies, out, ckpt).awaitTermination()
+    _drop(tmp_path, "b.csv", [("who", 1, 2.0, "when")])  # neither field is used by the query
+    q = start_genre_avg(spark, str(tmp_path / "in"), movies, out, ckpt)
+    with pytest.raises(Exception, match="malformed CSV row"):
+        q.awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("X", 4.0, 1)]
