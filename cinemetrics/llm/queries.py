@@ -258,19 +258,19 @@ SELECT doc_id, item_id, n_equal, n AS item_words, start AS doc_word FROM ranked
 
 _OP10 = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r
   WHERE q.vec_id % 20 = 0
 )
-SELECT * FROM (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+SELECT * EXCLUDE (r) FROM (
+  SELECT r, query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM scored
 ) WHERE rank <= 20
 """

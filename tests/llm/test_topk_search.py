@@ -3,23 +3,23 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from cinemetrics.llm import topk_search as ts
 
 
 def brute(rows, k=20, modulus=20):
-    best = {}
-    for i, x in rows:
-        if i is None or x is None or any(c is None or not math.isfinite(c) for c in x):
-            continue
-        v = [math.floor(64 * c) for c in x]
-        best[i] = min(best.get(i, v), v)
+    """Python integers; each row a candidate, and a query if its id is divisible."""
+    def whole(c):
+        return math.floor(64 * c) if abs(c) < 1e300 else int(c) * 64
+
+    kept = [(i, [whole(c) for c in x]) for i, x in rows if i is not None and x is not None and not any(c is None or not math.isfinite(c) for c in x)]
     out = []
-    for q in best:
+    for n, (q, a) in enumerate(kept):
         if q % modulus == 0:
-            scores = sorted((-sum(a * b for a, b in zip(best[q], best[i])), i) for i in best if i != q)[:k]
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+            scores = sorted((-sum(s * t for s, t in zip(a, b)), i) for m, (i, b) in enumerate(kept) if m != n)[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores)]
     return sorted(out)
 
 
@@ -41,30 +41,78 @@ def test_against_all_products(spark, monkeypatch, spread):
     assert got(spark, rows, block_rows=200, batch_rows=16) == brute([r[:2] for r in rows])
 
 
-def test_some_queries_stop_on_proof_before_the_last_level():
-    import numpy as np
+def vectors(values, ids=None):
+    values = np.asarray(values, dtype=np.float64)
+    ids = np.arange(len(values)) if ids is None else np.asarray(ids)
+    return ts.Vectors("<f8", values.shape[1], np.arange(len(values)).astype("<i8").tobytes(), ids.astype("<i8").tobytes(), (values / 64).tobytes())
+
 
+def test_queries_stop_on_proof_before_the_last_segment():
     rnd = np.random.default_rng(1)
-    values = (rnd.normal(size=(3000, 16)) * 4).astype("i4")
+    values = np.rint(rnd.normal(size=(3000, 32)) * 6)
     values[:40] = values[0] * 12
-    index = ts.ImpactIndex(np.arange(3000), values)
-    seen = []
+    block, query = vectors(values), vectors(values[:1])
+    index, seen = ts.ImpactIndex(block), []
     index.rest = [r if seen.append(n) is None else r for n, r in enumerate(index.rest)]
-    found = list(index.search(values[:1], np.array([0]), 20))
-    exact = sorted((-int(values[0].astype("i8") @ v.astype("i8")), i) for i, v in enumerate(values) if i)[:20]
-    assert found[0][1].tolist() == [i for _, i in exact] and found[0][2].tolist() == [-s for s, _ in exact]
-    assert all((a[1:] <= b[1:]).all() for a, b in zip(index.rest[1:], index.rest[:-1]))
+    assert all((b <= a).all() for a, b in zip(index.rest, index.rest[1:])) and (index.rest[-1] == 0).all()
+    cut = index.segments[1:]
+    index.segments = [*index.segments[:1], *[(at, dims, v * np.nan) for at, dims, v in cut]]  # must not be needed
+    least = ts.kth_best(query, block, 20)
+    (place, at, scores), = ts.search(index, query, least, 20)
+    exact = sorted((-int(values[0] @ v), i) for i, v in enumerate(values) if i)[:20]
+    assert place == 0 and at.tolist() == [i for _, i in exact] and scores.tolist() == [-s for s, _ in exact]
+
+
+def test_segments_add_up_to_the_vectors():
+    values = np.array([[0, 1, -3, 900], [5, 0, 0, -2], [0, 0, 0, 0]], dtype=np.float64)
+    total = np.zeros_like(values)
+    index = ts.ImpactIndex(vectors(values))
+    for at, dims, v in index.segments:
+        total[np.ix_(at, dims)] += v
+    assert (total == values).all()
+    tops = [np.abs(v).max() for _, _, v in index.segments]
+    assert tops == sorted(tops, reverse=True)
+
+
+def test_many_dimensions_and_large_components(spark):
+    # whole numbers above 2^13 in 4,096 dimensions, the best only one apart from the others
+    rnd = np.random.default_rng(5)
+    base = rnd.integers(8192, 12_000, 4096) * rnd.choice([-1, 1], 4096)
+    rows = []
+    for i in range(1, 41):
+        v = base.copy()
+        v[rnd.integers(0, 4096, 30)] -= rnd.integers(-3, 3, 30)
+        rows.append((i, (v / 64).tolist(), 0))
+    rows.append((100, (base / 64).tolist(), 0))
+    assert got(spark, rows, modulus=100) == brute([r[:2] for r in rows], modulus=100)
+
+
+@pytest.mark.parametrize("scale", [2.0**21, 2.0**24, 2.0**25])
+def test_sums_beyond_doubles_are_exact(spark, scale):
+    rnd = random.Random(9)
+    rows = [(i, [rnd.randint(-(2**20), 2**20) * scale / 2**20 + rnd.randint(0, 63) / 64 for _ in range(3)], 0) for i in range(70)]
+    want = brute([r[:2] for r in rows])
+    assert got(spark, rows, block_rows=30) == want
+    assert max(abs(w[3]) for w in want) > 2**53
+
+
+def test_components_of_any_finite_size(spark):
+    rows = [(20, [0.0, 1.0], 0), (1, [1e30, 2.0], 0), (2, [-1.7e308, 3.0], 0), (3, [5e-324, -1.0], 0), (40, [0.0, -2.0, 7.0], 0)]
+    assert got(spark, rows) == brute([r[:2] for r in rows])
+    with pytest.raises(Exception):  # the product of its first components does not fit a long
+        got(spark, rows + [(60, [1e30, 0.0], 0)])
 
 
 def test_ties_copies_and_unusable_vectors(spark):
     rows = [(i, [1.0, 0.5], 0) for i in range(60)] + [(i, [1.0, 0.5], 0) for i in range(30)]
     rows += [(100, None, 0), (101, [1.0, None], 0), (102, [float("nan"), 1.0], 0), (103, [float("inf"), 0.0], 0), (None, [9.0, 9.0], 0)]
-    rows += [(120, [], 0), (140, [-1.0], 0), (7, [0.5, 0.5], 0), (160, [1e-9, -1e-9, 3.0], 0), (180, [1e30, 0.0], 0)]
-    want = brute([r[:2] for r in rows if r[0] != 180])
+    rows += [(120, [], 0), (140, [-1.0], 0), (7, [0.5, 0.5], 0), (160, [1e-9, -1e-9, 3.0], 0), (1, [5.0], 0), (1, [2.0], 0)]
+    want = brute([r[:2] for r in rows])
     assert got(spark, rows) == want
-    assert [r[2] for r in want if r[0] == 0] == [i for i in range(1, 22) if i != 7]
+    assert sum(w[0] == 0 for w in want) == 40 and [w[2] for w in want if w[0] == 40][:4] == [1, 1, 0, 0]
 
 
 def test_few_rows_and_empty_table(spark):
     assert got(spark, [(0, [1.0], 0), (20, [2.0], 0), (3, [-1.0], 0)]) == brute([(0, [1.0]), (20, [2.0]), (3, [-1.0])])
     assert got(spark, [(0, [1.0], 0)]) == [] and got(spark, [(1, [1.0], 0)]) == [] and got(spark, []) == []
+    assert got(spark, [(0, [], 0), (1, [], 0)]) == [(0, 1, 1, 0)]
