@@ -34,13 +34,14 @@ MAX_REPLACED = 2
 BROADCAST_SEEDS = 2_000_000
 
 _NOT_WORD = r"[^\p{L}\p{N}]+"
-# scripts without blanks between words (South East Asian, Yi, Han, kana); the look ahead is one
-# range, so that text of other scripts is passed over fast
-_NO_BLANKS = (
-    r"(?=[^\x{0000}-\x{0DFF}])[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{19FF}\x{1A20}-\x{1AAF}\x{1B00}-\x{1B7F}"
+# scripts without blanks between words (South East Asian, Yi, Han, kana)
+NO_BLANKS = (
+    r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{19FF}\x{1A20}-\x{1AAF}\x{1B00}-\x{1B7F}"
     r"\x{2E80}-\x{2FDF}\x{3005}-\x{3007}\x{3021}-\x{312F}\x{31A0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{A48F}"
     r"\x{A980}-\x{A9FF}\x{AA60}-\x{AADF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}]"
 )
+# the look ahead is one range, so that text of other scripts is passed over fast
+_NO_BLANKS = r"(?=[^\x{0000}-\x{0DFF}])" + NO_BLANKS
 
 
 def word_hashes(text: Column) -> Column:

@@ -1,26 +1,26 @@
 """Best-fit packing of tokenized documents into sequences, by swap-based local search.
 
-Documents are cut into pieces of at most ``SEQUENCE`` tokens. The pieces of one task are
-packed in groups of at most ``GROUP_PIECES``: best fit by decreasing length to begin with,
-then a local search over the underfull bins. It takes the emptiest bins in turn and, whenever
-that increases the sum of squared fills, moves a piece into another underfull bin, exchanges
-one piece for a smaller one, or two pieces for one; bins that become empty are gone. The few
-bins that stay badly filled (at most ``LOOSE`` full) are packed again together with those of
-the other tasks, in rounds, until one group holds them.
-
-Nothing but these leftovers is shuffled, token ids never are unless they are asked for; a
-task holds one group at a time, and sequences never depend on one task seeing all documents.
+Documents are cut into pieces of at most ``SEQUENCE`` tokens, which are dealt to groups of about
+``GROUP_PIECES`` by a hash, so that the packing does not depend on how the input was split. In a
+group the pieces are first put into bins as they come (first fit among a few open bins). The local
+search then raises the sum of squared fills step by step: the fullest underfull bin takes, from
+any less full one, the piece that fills it best by a move, a one-for-one exchange or an exchange
+of two of its pieces for one, until no step raises the sum; then the next bin does, in sweeps
+until none finds a step. Bins that become empty are gone. The few bins that stay badly filled (at most ``LOOSE`` full) are packed
+again together with those of the other groups, in rounds, until one group holds them.
+
+Only row numbers and lengths go through the search; a task holds one group at a time.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,112 +30,187 @@ from cinemetrics.llm.word_bpe import WordBpe
 SEQUENCE = 2048
 SEPARATOR_ID = 0
 GROUP_PIECES = 8192
-# bins at most this full are packed again with those of other tasks
+# bins at most this full are packed again with those of other groups
 LOOSE = 0.9
-# underfull partner bins that the local search looks at for one bin (breadth of the search)
-NEIGHBOURS = 64
+# bins that the opening keeps open
+OPEN_BINS = 8
+
+
+def opening(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Bins (lists of piece indexes) in order of arrival: each piece into the first open bin that holds it."""
+    bins: list[list[int]] = []
+    room: list[int] = []
+    open_bins: list[int] = []
+    for i, n in enumerate(lengths):
+        b = next((b for b in open_bins if room[b] >= n), None)
+        if b is None:
+            b = len(bins)
+            bins.append([])
+            room.append(capacity)
+            open_bins = [*open_bins[-OPEN_BINS + 1 :], b]
+        bins[b].append(i)
+        room[b] -= n
+    return bins
+
+
+class LocalSearch:
+    """Bins of pieces and the steps between them. ``step`` is one move or exchange; every step
+    raises the sum of squared fills."""
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.bins, self.lengths, self.capacity = [list(b) for b in bins], lengths, capacity
+        self.fill = [sum(lengths[i] for i in b) for b in self.bins]
+        self.where = {i: b for b, members in enumerate(self.bins) for i in members}
+        self.many = len(lengths) + 1
+        # pieces that may be taken, by length: one number each
+        self.pool = sorted(self._key(i) for b, f in enumerate(self.fill) if f < capacity for i in self.bins[b])
+
+    def _key(self, i: int) -> int:
+        return self.lengths[i] * self.many + i
+
+    def _withdraw(self, i: int) -> None:
+        self.pool.pop(bisect_left(self.pool, self._key(i)))
+
+    def step(self, b: int) -> int | None:
+        """Give bin b (its pieces not in the pool) the piece that fills it best, and of several the
+        longest: the bin that gave it, or None if no step raises the sum.
+
+        Shifting s > 0 tokens from fill x to fill y changes the sum by 2s(y - x + s).
+        """
+        mine, lengths = self.bins[b], self.lengths
+        room = self.capacity - self.fill[b]
+        best, chosen = (0, 0), None
+        outs = [(), *((j,) for j in mine), *((j, k) for n, j in enumerate(mine) for k in mine[n + 1 :])]
+        for out in outs:
+            back = sum(lengths[j] for j in out)
+            at = bisect_right(self.pool, (room + back) * self.many + self.many - 1) - 1
+            if at < 0:
+                continue
+            length, i = divmod(self.pool[at], self.many)
+            shift = length - back
+            if shift > 0 and (shift, length) > best and self.fill[b] - self.fill[self.where[i]] + shift > 0:
+                best, chosen = (shift, length), (out, i)
+        if chosen is None:
+            return None
+        out, i = chosen
+        giver = self.where[i]
+        self._withdraw(i)
+        self.bins[giver].remove(i)
+        mine.append(i)
+        self.where[i] = b
+        for j in out:
+            mine.remove(j)
+            self.bins[giver].append(j)
+            self.where[j] = giver
+            insort(self.pool, self._key(j))
+        self.fill[b] += best[0]
+        self.fill[giver] -= best[0]
+        return giver
+
+    def sweep(self) -> bool:
+        """Fill the underfull bins in turn, the fullest first; whether any step was taken."""
+        self.pool = sorted(self._key(i) for b, f in enumerate(self.fill) if f < self.capacity for i in self.bins[b])
+        waiting = [(-f, b) for b, f in enumerate(self.fill) if f < self.capacity]
+        heapq.heapify(waiting)
+        closed: set[int] = set()
+        moved = False
+        while waiting:
+            fill, b = heapq.heappop(waiting)
+            if b in closed or -fill != self.fill[b]:
+                continue
+            closed.add(b)
+            for i in self.bins[b]:
+                self._withdraw(i)
+            while self.bins[b] and self.fill[b] < self.capacity:
+                giver = self.step(b)
+                if giver is None:
+                    break
+                moved = True
+                heapq.heappush(waiting, (-self.fill[giver], giver))
+        return moved
+
+    def run(self) -> list[list[int]]:
+        """Sweep until no step raises the sum; the bins that are left."""
+        while self.sweep():
+            pass
+        return [b for b in self.bins if b]
+
+
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
+    """``bins`` after the search; never more bins than before."""
+    return LocalSearch(bins, lengths, capacity).run()
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Bins (lists of piece indexes): pieces by decreasing length, each into the fullest bin that holds it."""
+    """Bins: pieces by decreasing length, each into the fullest bin that holds it."""
     bins: list[list[int]] = []
     open_bins: list[tuple[int, int]] = []  # (room, bin), sorted
     for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
         at = bisect_left(open_bins, (lengths[i], -1))
-        if at == len(open_bins):
-            bins.append([i])
-            room, b = capacity - lengths[i], len(bins) - 1
-        else:
-            room, b = open_bins.pop(at)
-            bins[b].append(i)
-            room -= lengths[i]
-        if room:
-            insort(open_bins, (room, b))
+        room, b = open_bins.pop(at) if at < len(open_bins) else (capacity, len(bins))
+        if b == len(bins):
+            bins.append([])
+        bins[b].append(i)
+        if room > lengths[i]:
+            insort(open_bins, (room - lengths[i], b))
     return bins
 
 
-def _exchange(a: list[int], b: list[int], lengths: list[int], room_b: int) -> tuple[int, tuple, tuple] | None:
-    """The best shift of tokens from bin a to the fuller bin b: (shifted, out of a, out of b).
+def pack(lengths: list[int], capacity: int = SEQUENCE) -> list[list[int]]:
+    """Search from the pieces in order of arrival. Where that stays above the fewest bins that could
+    hold them (as in small groups), search from best fit too, and take the better."""
+    found = local_search(opening(lengths, capacity), lengths, capacity)
+    if len(found) > -(-sum(lengths) // capacity):
+        found = min(found, local_search(best_fit(lengths, capacity), lengths, capacity), key=len)
+    return found
 
-    Shifting s tokens from fill x to fill y >= x raises the sum of squares by 2s(y-x+s) > 0,
-    so the largest shift that fits is the best one.
-    """
-    best: tuple[int, tuple, tuple] | None = None
-
-    def offer(s: int, out: tuple, back: tuple) -> None:
-        nonlocal best
-        if 0 < s <= room_b and (best is None or s > best[0]):
-            best = (s, out, back)
-
-    for i in a:
-        offer(lengths[i], (i,), ())
-        for j in b:
-            offer(lengths[i] - lengths[j], (i,), (j,))
-    for n, i in enumerate(a):
-        for k in a[n + 1 :]:
-            for j in b:
-                offer(lengths[i] + lengths[k] - lengths[j], (i, k), (j,))
-    for i in a:
-        for n, j in enumerate(b):
-            for k in b[n + 1 :]:
-                offer(lengths[i] - lengths[j] - lengths[k], (i,), (j, k))
-    return best
-
-
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, neighbours: int = NEIGHBOURS) -> list[list[int]]:
-    """Empty the least filled bins into other underfull ones; never more bins than before."""
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    fewest = -(-sum(fill) // capacity)
-    work = [b for b in range(len(bins)) if fill[b] < capacity]
-    alive = len(bins)
-    for b in sorted(work, key=lambda b: fill[b]):
-        if alive <= fewest:
-            break
-        while bins[b]:
-            # partners with most room first; the bin itself gives tokens away
-            partners = sorted((x for x in work if x != b and bins[x] and fill[b] <= fill[x] < capacity), key=lambda x: fill[x])
-            moved = False
-            for x in partners[:neighbours]:
-                step = _exchange(bins[b], bins[x], lengths, capacity - fill[x])
-                if step:
-                    shift, out, back = step
-                    bins[b] = [i for i in bins[b] if i not in out] + list(back)
-                    bins[x] = [i for i in bins[x] if i not in back] + list(out)
-                    fill[b] -= shift
-                    fill[x] += shift
-                    moved = True
-                    if not bins[b]:
-                        break
-            if not moved:
-                break
-        if not bins[b]:
-            alive -= 1
-    return [b for b in bins if b]
 
+_PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+_PLACE = "_row long, sequence_id long, offset long, _loose boolean"
 
-def pack(lengths: list[int], capacity: int = SEQUENCE) -> list[list[int]]:
-    return local_search(best_fit(lengths, capacity), lengths, capacity)
 
+def _place_group(first_id: int, capacity: int, loose_fill: float):
+    def place(table: pa.Table) -> pa.Table:
+        rows, lengths = table.column("_row").to_numpy(), table.column("length").to_pylist()
+        next_id = first_id + (table.column("_group")[0].as_py() << 32)
+        at, sequence, offset, loose = [], [], [], []
+        for n, members in enumerate(pack(lengths, capacity)):
+            end = 0
+            for i in members:
+                at.append(i)
+                sequence.append(next_id + n)
+                offset.append(end)
+                end += lengths[i]
+            loose += [end <= loose_fill * capacity] * len(members)
+        return pa.table(
+            {
+                "_row": pa.array(rows[at], pa.int64()), "sequence_id": pa.array(sequence, pa.int64()),
+                "offset": pa.array(offset, pa.int64()), "_loose": pa.array(loose, pa.bool_()),
+            }
+        )
 
-_FIELDS = [
-    ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
-    ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("_loose", pa.bool_()),
-]
-_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, _loose boolean"
+    return place
 
 
-def _place(rows: list[tuple], capacity: int, next_id: int, loose_fill: float) -> tuple[list[tuple], int]:
-    """rows (doc_id, piece, start, length, crc[, ids]) -> rows with sequence, offset and looseness."""
-    lengths = [r[3] for r in rows]
-    out = []
-    for members in pack(lengths, capacity):
-        loose = sum(lengths[i] for i in members) <= loose_fill * capacity
-        offset = 0
-        for i in members:
-            out.append((*rows[i][:5], next_id, offset, loose, *rows[i][5:]))
-            offset += lengths[i]
-        next_id += 1
-    return out, next_id
+def _placed(pieces: DataFrame, capacity: int, group_pieces: int) -> DataFrame:
+    """(_row, sequence_id, offset) of pieces (_row, length)."""
+    left, done = pieces, None
+    round_no, before = 0, None
+    while True:
+        waiting = left.count()
+        groups = -(-waiting // group_pieces)
+        # one group is the last round; so is a round that closes no more bins
+        last = groups <= 1 or waiting == before
+        dealt = left.withColumn("_group", F.pmod(F.xxhash64("_row", F.lit(round_no)), F.lit(max(groups, 1))))
+        fill = -1.0 if last else LOOSE
+        place = _place_group(-(round_no << 56), capacity, fill)
+        placed = settle(dealt.select("_group", "_row", "length").groupBy("_group").applyInArrow(place, _PLACE))
+        closed = placed.where(~F.col("_loose"))
+        done = closed if done is None else done.unionByName(closed)
+        if last:
+            return done.drop("_loose")
+        left = pieces.join(placed.where("_loose").select("_row"), "_row")
+        round_no, before = round_no + 1, waiting
 
 
 def pack_documents(
@@ -158,21 +233,15 @@ def pack_documents(
     Null text: as empty text, one piece with the separator alone. Null and repeated doc_ids
     are kept as they are, a row each. Empty table: empty result. Other columns are not read.
     """
-    names = _FIELDS + ([("ids", pa.list_(pa.int32()))] if include_ids else [])
-    schema = pa.schema(names)
-    ddl = _SCHEMA + (", ids array<int>" if include_ids else "")
-    inputs = ["doc_id", "piece", "start", "length", "ids_crc32"] + (["ids"] if include_ids else [])
-
-    def emit(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        step = 2048 if include_ids else 65536
-        for at in range(0, len(rows), step):
-            columns = zip(*rows[at : at + step])
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
-
-    def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
+    schema = pa.schema(fields + ([("ids", pa.list_(pa.int32()))] if include_ids else []))
+
+    def emit(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(tokenizer_path)
         end = np.array([separator], dtype="<u4").tobytes()
-        next_id = TaskContext.get().partitionId() << 32
         waiting: list[tuple] = []
         for batch in batches:
             ids_column, texts = batch.column(0), batch.column(1)
@@ -183,34 +252,15 @@ def pack_documents(
                     part = ids[at : at + 4 * capacity]
                     row = (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part))
                     waiting.append((*row, np.frombuffer(part, dtype="<i4")) if include_ids else row)
-                if len(waiting) >= group_pieces:
-                    placed, next_id = _place(waiting, capacity, next_id, LOOSE)
+                if len(waiting) >= 2048:
+                    yield emit(waiting)
                     waiting = []
-                    yield from emit(placed)
         if waiting:
-            yield from emit(_place(waiting, capacity, next_id, LOOSE)[0])
-
-    def next_round(groups: int, first_id: int):
-        def repack(table):
-            rows = list(zip(*(table.column(n).to_pylist() for n in inputs)))
-            first = first_id + (table.column("_group")[0].as_py() << 32)
-            placed, _ = _place(rows, capacity, first, LOOSE if groups > 1 else -1.0)
-            return pa.Table.from_batches(list(emit(placed)), schema=schema)
-
-        return repack
+            yield emit(waiting)
 
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    placed = settle(base.mapInArrow(first_round, ddl))
-    done, left = placed.where(~F.col("_loose")), placed.where("_loose")
-    round_no, before = 0, None
-    while True:
-        waiting_pieces = left.count()
-        groups = -(-waiting_pieces // group_pieces)
-        # one group is the last round; so is a round that closes no more bins
-        if waiting_pieces == 0 or waiting_pieces == before:
-            break
-        round_no, before = round_no + 1, waiting_pieces
-        dealt = left.withColumn("_group", F.pmod(F.xxhash64("sequence_id", F.lit(round_no)), F.lit(groups)))
-        again = settle(dealt.groupBy("_group").applyInArrow(next_round(groups, -(round_no << 56)), ddl))
-        done, left = done.unionByName(again.where(~F.col("_loose"))), again.where("_loose")
-    return done.unionByName(left).drop("_loose")
+    pieces = settle(base.mapInArrow(tokenize, _PIECE + (", ids array<int>" if include_ids else "")))
+    pieces = pieces.withColumn("_row", F.monotonically_increasing_id())
+    places = _placed(pieces.select("_row", "length"), capacity, group_pieces)
+    out = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] + (["ids"] if include_ids else [])
+    return pieces.join(places, "_row").select(*out)

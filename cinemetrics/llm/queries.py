@@ -226,18 +226,17 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0
 FROM d LEFT JOIN gone USING (doc_id)
 """
 
-# every alignment with enough equal words, without any seeds
-_OP6 = """
-WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
-  FROM documents
-),
-b AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS w
-  FROM benchmark
-),
-dw AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d WHERE len(w) >= 13),
-bw AS (SELECT item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM b WHERE len(w) >= 13),
+# every alignment with enough equal words, without any seeds; short items word for word
+_NO_BLANKS = decontaminate.NO_BLANKS
+_WORDS = (
+    f"list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '({_NO_BLANKS})', ' \\1 ', 'g'), "
+    "'[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
+)
+_OP6 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+bw AS (SELECT item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM b),
 equal AS (
   SELECT dw.doc_id, bw.item_id, bw.n, dw.p - bw.p AS start, bw.p
   FROM dw JOIN bw ON bw.word = dw.word
@@ -248,7 +247,8 @@ dense AS (
 ),
 aligned AS (
   SELECT doc_id, item_id, start, any_value(n) AS n, count(*) AS n_equal
-  FROM dense GROUP BY doc_id, item_id, start HAVING max(near) >= 11
+  FROM dense GROUP BY doc_id, item_id, start
+  HAVING CASE WHEN any_value(n) >= 13 THEN max(near) >= 11 ELSE count(*) = any_value(n) END
 ),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, start) AS r FROM aligned

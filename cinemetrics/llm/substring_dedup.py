@@ -33,7 +33,7 @@ CHUNK_BYTES = 5 << 20
 BUCKET_BYTES = 4 << 20
 # super-k-mers a task remembers before it starts anew
 SEEN = 100_000
-MAX_ID = (1 << 63) - 1
+MAX_ID, MIN_LONG = (1 << 63) - 1, -(1 << 63)
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _M64 = (1 << 64) - 1
@@ -295,9 +295,14 @@ def _find_repeats(window: int):
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    """(_id, _name, text): the id (a null id comes last) and what names a text among rows of one id."""
-    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_ID))
-    return docs.select(doc_id.alias("_id"), F.xxhash64(text_or_empty()).alias("_name"), "text")
+    """(_id, _name, text): the id, and what names a text among rows of one id.
+
+    A null id takes the largest id; its names are not negative and all others are, so that it
+    comes after that id and is told apart from it.
+    """
+    doc_id, name = F.col("doc_id").cast("long"), F.xxhash64(text_or_empty())
+    signed = F.when(doc_id.isNull(), name.bitwiseAND(F.lit(MAX_ID))).otherwise(name.bitwiseOR(F.lit(MIN_LONG)))
+    return docs.select(F.coalesce(doc_id, F.lit(MAX_ID)).alias("_id"), signed.alias("_name"), "text")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
@@ -357,7 +362,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
     )
     texts = _named(docs)
     joined = texts.join(found, (texts["_id"] == found["_sid"]) & (texts["_name"] == found["_sname"]), "left")
-    doc_id = F.when(F.col("_id") != MAX_ID, F.col("_id"))
+    doc_id = F.when(F.col("_name") < 0, F.col("_id"))
     return joined.select(doc_id.alias("doc_id"), "text", "_spans").mapInArrow(
         _apply_spans, "doc_id long, text string, n_words long, n_removed long"
     )

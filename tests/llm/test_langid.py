@@ -44,12 +44,14 @@ def test_buckets_are_those_of_the_letter_windows(text):
 
 def test_scores_are_naive_bayes_posteriors(model):
     texts = ["the dog", "die katze", "haus"]
-    names, scores = langid.score_texts(model, texts, LETTERS)
-    for text, name, score in zip(texts, names, scores):
+    names, scores, means, counts = langid.score_texts(model, texts, LETTERS)
+    for text, name, score, mean, n in zip(texts, names, scores, means, counts):
         sums = [model.log_prior[j] + sum(model.log_prob[bucket(g), j] for g in grams(text)) for j in range(2)]
         top = max(sums)
         assert name == model.langs[sums.index(top)]
         assert math.isclose(score, 1 / sum(math.exp(s - top) for s in sums))
+        j = sums.index(top)
+        assert n == len(grams(text)) and math.isclose(mean, (top - model.log_prior[j]) / n)
 
 
 def test_defined_results(spark, model):
@@ -78,3 +80,37 @@ def test_held_out_accuracy(spark):
     right, n = held.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 100 and right > 0.98
     assert found.count() == truth.count()
+
+
+def test_no_language_is_lost(spark):
+    # one French text many times over, few English rows, and a bound far below either
+    rows = [(i, "le chien et le chat dorment", "fr") for i in range(3000)] + [(5000 + i, f"the dog number {i}", "en") for i in range(50)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_per_lang=5)
+    names, *_ = langid.score_texts(model, ["le chat dort", "the dog number"], LETTERS)
+    assert model.langs == ("en", "fr") and names == ["fr", "en"]
+
+
+def test_more_languages_than_one_part_holds(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PART_LANGS", 3)
+    words = {f"l{k:03d}": "".join(chr(0x4E00 + 40 * k + j) for j in range(5)) for k in range(300)}
+    df = spark.createDataFrame([(k, w, lang) for k, (lang, w) in enumerate(words.items())], "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.langs) == 300
+    assert [(r.lang, r.lang_pred) for r in langid.identify(df, model).collect() if r.lang != r.lang_pred] == []
+
+
+def test_texts_unlike_their_language_are_rejected(spark):
+    import random
+
+    rnd = random.Random(1)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0"))
+    junk = [
+        ("noise", " ".join("".join(rnd.choice("qxzjkvwbpf") for _ in range(7)) for _ in range(60))),
+        ("polish", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem. " * 2),
+        ("greek", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. " * 3),
+    ]
+    rows = spark.createDataFrame([(900_000 + i, t) for i, (_, t) in enumerate(junk)], "doc_id long, text string")
+    kept = {r.doc_id for r in langid.reject_unknown(rows, model).collect()}
+    assert not kept, [junk[i - 900_000][0] for i in kept]
+    assert langid.reject_unknown(docs, model).count() == docs.where("text rlike '[a-zA-Z]'").count()

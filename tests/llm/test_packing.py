@@ -8,6 +8,7 @@ from collections import defaultdict
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cinemetrics.llm import packing
@@ -81,22 +82,74 @@ def test_empty_table(spark):
     assert packing.pack_documents(df, tokenizer_path()).collect() == []
 
 
-def test_best_fit_and_local_search():
+def draw(rnd, n):
+    return [min(2048, max(1, int(rnd.expovariate(1 / 700)))) for _ in range(n)]
+
+
+def test_packing_of_random_lengths():
     rnd = random.Random(5)
-    for trial in range(30):
-        lengths = [min(2048, max(1, int(rnd.expovariate(1 / 700)))) for _ in range(rnd.randint(1, 400))]
+    for _ in range(30):
+        lengths = draw(rnd, rnd.randint(1, 400))
         bins = packing.pack(lengths)
         assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
         assert all(sum(lengths[i] for i in b) <= 2048 for b in bins)
-        assert len(bins) <= -(-sum(lengths) // 2048) + 1 or trial < 0
+        assert len(bins) <= -(-sum(lengths) // 2048) + 1
+
+
+def test_the_search_decides_and_not_the_opening():
+    rnd = random.Random(8)
+    lengths = draw(rnd, 4000)
+    fewest = -(-sum(lengths) // 2048)
+    opened = packing.opening(lengths, 2048)
+    assert len(opened) > fewest * 1.02
+    assert len(packing.local_search(opened, lengths, 2048)) <= fewest + 1
+    assert len(packing.pack(sorted(lengths))) <= fewest + 1 and len(packing.pack(sorted(lengths)[::-1])) <= fewest + 1
+
 
+def test_every_step_raises_the_squared_fill():
+    rnd = random.Random(6)
+    lengths = draw(rnd, 300)
+    search = packing.LocalSearch(packing.opening(lengths, 2048), lengths, 2048)
+    take, sums = search.step, []
 
-def test_local_search_empties_bins_by_exchanges():
+    def step(b):
+        before = sum(f * f for f in search.fill)
+        giver = take(b)
+        sums.append((giver, sum(f * f for f in search.fill) - before))
+        assert search.fill == [sum(lengths[i] for i in b) for b in search.bins] and max(search.fill) <= 2048
+        return giver
+
+    search.step = step
+    search.run()
+    assert len(sums) > 50 and all(gain > 0 if giver is not None else gain == 0 for giver, gain in sums)
+
+
+def test_moves_and_exchanges():
     # 6+3 | 5+4 | 2: one place is free in the first two bins only after exchanges
     lengths = [6, 3, 5, 4, 2]
     packed = packing.local_search([[0, 2], [1, 3], [4]], lengths, 11)
     assert len(packed) == 2 and sorted(i for b in packed for i in b) == [0, 1, 2, 3, 4]
-    # a move, a one-for-one and a two-for-one exchange each
-    assert packing._exchange([0], [1], [2, 5], 3) == (2, (0,), ())
-    assert packing._exchange([0], [1], [6, 5], 3) == (1, (0,), (1,))
-    assert packing._exchange([0, 1], [2], [4, 4, 5], 3) == (3, (0, 1), (2,))
+
+    def after(bins, lengths, capacity):
+        search = packing.LocalSearch(bins, lengths, capacity)
+        for i in search.bins[0]:
+            search._withdraw(i)
+        giver = search.step(0)
+        return giver, [sorted(b) for b in search.bins]
+
+    assert after([[0], [1]], [8, 2], 11) == (1, [[0, 1], []])  # a move
+    assert after([[0, 1], [2]], [5, 3, 5], 10) == (1, [[0, 2], [1]])  # one for one
+    assert after([[0, 1, 2], [3]], [3, 3, 2, 8], 10) == (1, [[2, 3], [0, 1]])  # one for two
+    assert after([[0], [1]], [5, 6], 10) == (None, [[0], [1]])  # would empty the fuller bin
+
+
+@pytest.mark.parametrize("order", ["doc_id", "length(text)", "xxhash64(doc_id)"])
+def test_same_number_of_sequences_however_the_input_is_split(spark, order):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").orderBy(F.expr(order))
+    counts = []
+    for partitions in (1, 10, 200):
+        found = packing.pack_documents(docs.repartitionByRange(partitions, F.expr(order)), tokenizer_path()).collect()
+        assert len({(r.doc_id, r.piece) for r in found}) == len(found)
+        counts.append(check(found, 2048))
+    fewest = -(-sum(r.length for r in found) // 2048)
+    assert max(counts) <= fewest + 1

@@ -86,3 +86,10 @@ def test_equal_hashes_of_different_windows_are_told_apart(monkeypatch):
     monkeypatch.setattr(sd, "_mix", lambda h: np.zeros_like(h))
     found = {b"a b c d": (1, 0, 0), b"e f g": (2, 0, 0), b"x b c d": (3, 0, 0)}
     assert sd.repeated_windows(found, 3, sd._Powers()) == [(3, 0, 1, 3)]
+
+
+def test_the_largest_id_is_not_a_null_id(spark):
+    text = " ".join(f"w{i}" for i in range(25))
+    rows = [((1 << 63) - 1, text), (None, text), (5, "short")]
+    got = sd.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {(1 << 63) - 1: 0, None: 25, 5: 0}
