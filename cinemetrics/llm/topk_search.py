@@ -221,12 +221,12 @@ def _unpack(row: dict, prefix: str) -> Vectors:
     return Vectors(*[row[prefix + f] for f in _FIELDS])
 
 
-def _seed_batches(k: int):
+def _seed_batches(shared, k: int):
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = Vectors(*shared.value)
         for batch in batches:
-            least = [kth_best(_unpack(r, "_q"), _unpack(r, "_h"), k).tobytes() for r in batch.to_pylist()]
-            kept = [c for c in batch.schema.names if not c.startswith("_h")]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(least, pa.binary())], names=[*kept, "_least"])
+            least = [kth_best(_unpack(r, "_q"), head, k).tobytes() for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.binary())], names=[*batch.schema.names, "_least"])
 
     return seed
 
@@ -282,20 +282,15 @@ def top_k(
     blocks, batches = max(1, -(-n // block_rows)), max(1, -(-n_queries // batch_rows))
     index = _packed(usable, n, block_rows)
     batch = _packed(usable.where(is_query), n_queries, batch_rows)
-    batch = batch.select(F.col("_block").alias("_batch"), *[F.col(c).alias("_q" + c) for c in _FIELDS], F.lit(0).alias("_one"))
+    batch = batch.select(F.col("_block").alias("_batch"), *[F.col(c).alias("_q" + c) for c in _FIELDS])
 
-    # the head: about one block's worth of vectors, whatever their number
+    # the head: about one block's worth of vectors (16 MB at most), whatever their number
     in_head = F.pmod(F.xxhash64(F.lit(1), "_row"), F.lit(blocks)) == 0
-    head = usable.where(in_head).withColumn("_block", F.lit(0).cast("long")).groupBy("_block").applyInArrow(_pack_rows, _PACKED)
-    head = head.select(*[F.col(c).alias("_h" + c) for c in _FIELDS], F.lit(0).alias("_one"))
-    met = batch.join(F.broadcast(head), "_one", "left").select("_batch", *["_q" + c for c in _FIELDS], *["_h" + c for c in _FIELDS])
+    head = usable.where(in_head).withColumn("_block", F.lit(0).cast("long")).groupBy("_block").applyInArrow(_pack_rows, _PACKED).first()
+    packed = tuple(bytes(head[c]) if c[1:] in ("rows", "ids", "values") else head[c] for c in _FIELDS) if head else ("<i2", 0, b"", b"", b"")
+    shared = vectors.sparkSession.sparkContext.broadcast(packed)
     schema = f"_batch long, {', '.join(f'_q{c} {t}' for c, t in zip(_FIELDS, ('string', 'int', 'binary', 'binary', 'binary')))}, _least binary"
-    none = F.unhex(F.lit(""))
-    met = met.withColumns({
-        "_h_kind": F.coalesce("_h_kind", F.lit("<i2")), "_h_width": F.coalesce("_h_width", F.lit(0)),
-        **{f"_h{c}": F.coalesce(f"_h{c}", none) for c in ("_rows", "_ids", "_values")},
-    })
-    seeded = met.mapInArrow(_seed_batches(k), schema)
+    seeded = batch.mapInArrow(_seed_batches(shared, k), schema)
 
     everywhere = seeded.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     pairs = everywhere.join(index, "_block").repartition(min(blocks * batches, 20_000), "_block", "_batch")
