@@ -271,6 +271,14 @@ def top50_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_predicted(sims, t.movies, t.my_movies, own=own)
 
 
+def top50_predicted_with_own(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variant that keeps own movies among the 50 (without a title, as their title is not looked up)."""
+    t = fixtures.load_person(spark, sf_dir)
+    own = knn.own_list(t.my_movies)
+    sims = similarity.item_similarity(t.ratings, t.my_movies, own.hint)
+    return knn.top_predicted(sims, t.movies, t.my_movies, include_own=True, own=own)
+
+
 # --- 6. ALS ---------------------------------------------------------------------------
 
 
@@ -372,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "adjusted_cosine": adjusted_cosine,
     "knn_predictions": knn_predictions,
     "top50_predicted": top50_predicted,
+    "top50_predicted_with_own": top50_predicted_with_own,
     "split_counts": split_counts,
     "als_scorable_counts": als_scorable_counts,
     "user_mean_error": user_mean_error,

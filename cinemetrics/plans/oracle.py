@@ -231,6 +231,9 @@ _BODIES: dict[str, str] = {
     "top50_predicted": """
         SELECT k.movie_id, u.title, k.prediction FROM knn k JOIN unrated u ON u.movie_id = k.movie_id
         ORDER BY k.prediction DESC, k.movie_id LIMIT 50""",
+    "top50_predicted_with_own": """
+        SELECT k.movie_id, u.title, k.prediction FROM knn k LEFT JOIN unrated u ON u.movie_id = k.movie_id
+        ORDER BY k.prediction DESC, k.movie_id LIMIT 50""",
     "split_counts": "SELECT split, count(*) AS n FROM split GROUP BY split",
     "als_half_step": _ROUNDED.format("user_id", _USER_FACTORS),
     "als_half_step_movies": _ROUNDED.format("movie_id", _solved("movie_id", "user_id", f"({_USER_FACTORS})")),
