@@ -202,7 +202,11 @@ def my_movies_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def personal_ratings(ratings: DataFrame) -> DataFrame:
     """(user_id, movie_id, rating) of the person, under a user id no customer has."""
-    return my_movies(ratings).select(
+    return _as_personal(my_movies(ratings))
+
+
+def _as_personal(mine: DataFrame) -> DataFrame:
+    return mine.select(
         F.lit(PERSONAL_USER_ID).cast("long").alias("user_id"),
         "movie_id",
         F.col("my_rating").alias("rating"),
@@ -232,11 +236,15 @@ def load(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def load_person(spark: SparkSession, sf_dir: str) -> PersonTables:
-    """The ratings are derived and written once; everything else of a query reads them from there."""
+    """The ratings, and the own list found in them, are derived and written once; everything else
+    of a query reads them from there."""
     ratings = written_part_ratings(spark, sf_dir)
+    path = scratch_path(spark, "my_movies")
+    my_movies(ratings).write.parquet(path)
+    mine = spark.read.parquet(path)
     return PersonTables(
         ratings=ratings,
         movies=part_movies(spark, sf_dir),
-        my_movies=my_movies(ratings),
-        personal=personal_ratings(ratings),
+        my_movies=mine,
+        personal=_as_personal(mine),
     )
