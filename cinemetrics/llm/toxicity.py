@@ -1,7 +1,10 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick, normalised by length.
 
-Texts are folded first: lower case, homoglyphs and digit substitutions to the letters they
-stand for, everything else to one blank. The lexicon (whole words, and beginnings of words
+Texts are folded first: compatibility forms and accents to plain letters, marks and invisible
+characters away, lower case, homoglyphs and digit substitutions to the letters they stand for,
+letters that stand alone in a row to one word, everything else to one blank. A sign with two
+readings (``1`` for i or l, ``6`` for g or b) stays open until it is matched: it agrees with
+either letter of a form, at each place by itself. The lexicon (whole words, and beginnings of words
 for families of inflected forms) and its weights are learned from labelled documents: smoothed
 log odds of a form in toxic against clean ones. So are exception phrases, pairs of words
 around a lexicon form that occur in clean documents; a match inside one does not count.
@@ -17,6 +20,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,6 +28,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pandas as pd
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,29 +42,57 @@ PREFIX_CHARS = (4, 10)
 # a form must occur in this many toxic training documents, and be this much likelier there
 MIN_TOXIC_DOCS = 3
 MIN_LOG_ODDS = 2.5
+# a form weighs its log odds less this many standard errors, so that rare forms count little
+ERRORS = 1.0
 # forms this common, against the rarest of the forms that cover the toxic documents, are kept too
 COMMON_SHARE = 0.25
 # a phrase must occur in this many clean training documents to be an exception
 MIN_EXCEPTION_DOCS = 5
 THRESHOLD = 0.3
-LENGTH_POWERS = (0.0, 0.25, 0.5, 1.0)
+LENGTH_POWERS = (0.25, 0.5, 1.0)
 
 # fixed values: Latin letters by their look-alikes in other scripts, and by signs and digits
 LOOKALIKES = {
-    "a": "аαɑ@4", "b": "ʙв8", "c": "сϲ", "d": "ԁ", "e": "еεҽ3", "g": "ɡ", "h": "һн", "i": "іιıɩ1!|", "j": "ј",
+    "a": "аαɑ@4", "b": "ʙв8", "c": "сϲ", "d": "ԁ", "e": "еεҽ3", "g": "ɡ9", "h": "һн", "i": "іιıɩ", "j": "ј",
     "k": "кκ", "l": "ӏ", "m": "м", "n": "ոп", "o": "оοօ0", "p": "рρ", "q": "ԛ", "r": "г", "s": "ѕ5$", "t": "тτ7",
-    "u": "υս", "v": "νѵ", "w": "ԝ", "x": "хχ", "y": "уγ", "z": "ᴢ2",
+    "u": "υս", "v": "νѵ", "w": "ԝ", "x": "хχ", "y": "уγ", "z": "ᴢ2", "1": "!|",
 }
+# signs with two readings; the first is taken where no form decides
+READINGS = {"1": "il", "6": "gb"}
 _FOLD = {ord(c): letter for letter, like in LOOKALIKES.items() for c in like}
-_NOT_LETTER = re.compile(r"[\W\d_]+")
+_FIRST = {ord(sign): letters[0] for sign, letters in READINGS.items()}
+# letters that one sign can stand for are one class
+_CLASS = {ord(c): sign for sign, letters in READINGS.items() for c in letters}
+_NOT_LETTER = regex.compile(r"[[\W\d_]--[16]]+", regex.V1)
 # signs that stand for letters only inside a word
 _EDGE_SIGNS = re.compile(r"[!|$@]+(?!\w)")
+_INVISIBLE = regex.compile(r"[\p{M}\p{Cf}]+")
+_SPELLED = re.compile(r"(?<= )\w(?: \w){2,}(?= )")
+
+
+def _joined(run: re.Match) -> str:
+    """The word spelled by single letters; as its first letter can be a word ("a"), also the rest."""
+    word = run.group().replace(" ", "")
+    return f"{word} {word[1:]}" if len(word) > 3 else word
+
+
+def fold_open(text: str | None) -> str:
+    """Folded words with one blank around each, ' w1 w2 w3 ', signs of two readings left open."""
+    plain = text or ""
+    if not plain.isascii():
+        plain = _INVISIBLE.sub("", unicodedata.normalize("NFKD", plain))
+    plain = _EDGE_SIGNS.sub(" ", plain.lower())
+    return _SPELLED.sub(_joined, f" {_NOT_LETTER.sub(' ', plain.translate(_FOLD)).strip()} ")
 
 
 def fold(text: str | None) -> str:
-    """Folded words with one blank around each: ' w1 w2 w3 '."""
-    plain = _EDGE_SIGNS.sub(" ", (text or "").lower())
-    return f" {_NOT_LETTER.sub(' ', plain.translate(_FOLD)).strip()} "
+    """Folded words with one blank around each, every sign in its first reading."""
+    return fold_open(text).translate(_FIRST)
+
+
+def _agrees(opened: str, form: str) -> bool:
+    """Whether a stretch of open text can be read as ``form``."""
+    return opened == form or all(c == f or f in READINGS.get(c, "") for c, f in zip(opened, form))
 
 
 @dataclass
@@ -73,11 +106,13 @@ class Lexicon:
     intercept: float = math.log(0.01 / 0.99)
 
     def automaton(self):
+        """Finds forms and exceptions by letter classes: class word -> [(form, weight or None)]."""
+        known: dict[str, list[tuple[str, float | None]]] = {}
+        for form, weight in [*self.forms.items(), *((phrase, None) for phrase in self.exceptions)]:
+            known.setdefault(form.translate(_CLASS), []).append((form, weight))
         a = ahocorasick.Automaton()
-        for form, weight in self.forms.items():
-            a.add_word(form, (form, weight))
-        for phrase in self.exceptions:
-            a.add_word(phrase, (phrase, None))
+        for word, forms in known.items():
+            a.add_word(word, forms)
         if len(a):
             a.make_automaton()
         return a
@@ -87,20 +122,24 @@ class Lexicon:
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * x + self.intercept, -30, 30)))
 
 
-def matches(automaton, folded: str) -> list[tuple[int, str, float]]:
-    """(start, form, weight) of the lexicon forms in a folded text, without those inside an
-    exception phrase; of forms at one start the heaviest counts."""
+def matches(automaton, opened: str) -> list[tuple[int, str, float]]:
+    """(start, form, weight) of the lexicon forms in a folded text (``fold`` or ``fold_open``),
+    without those inside an exception phrase; of forms at one start the heaviest counts, of
+    equally heavy ones the longest, then the first by alphabet."""
     if not len(automaton):
         return []
-    best: dict[int, tuple[str, float]] = {}
+    best: dict[int, tuple[float, int, str]] = {}
     excused: list[tuple[int, int]] = []
-    for end, (form, weight) in automaton.iter(folded):
-        start = end - len(form) + 1
-        if weight is None:
-            excused.append((start, end))
-        elif start not in best or weight > best[start][1]:
-            best[start] = (form, weight)
-    found = sorted((s, f, w) for s, (f, w) in best.items())
+    for end, forms in automaton.iter(opened.translate(_CLASS)):
+        for form, weight in forms:
+            start = end - len(form) + 1
+            if not _agrees(opened[start : end + 1], form):
+                continue
+            if weight is None:
+                excused.append((start, end))
+            elif start not in best or (-weight, -len(form), form) < best[start]:
+                best[start] = (-weight, -len(form), form)
+    found = sorted((s, f, -w) for s, (w, _, f) in best.items())
     if excused:
         found = [m for m in found if not any(s <= m[0] and m[0] + len(m[1].rstrip()) - 1 <= e for s, e in excused)]
     return found
@@ -119,6 +158,7 @@ def _choose(counts: pd.DataFrame, toxic: int, clean: int) -> dict[str, float]:
     """Forms to match: a beginning gives way to a longer form that is in nearly as many toxic
     documents, and a longer form to a beginning that stays and weighs nearly as much."""
     odds = np.log((counts["toxic"] + 0.5) / (toxic + 1)) - np.log((counts["clean"] + 0.5) / (clean + 1))
+    odds -= ERRORS * np.sqrt(1 / (counts["toxic"] + 0.5) + 1 / (counts["clean"] + 0.5))
     docs = dict(zip(counts["feature"], counts["toxic"]))
     weight = dict(zip(counts["feature"], odds))
 
@@ -235,7 +275,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_TRAIN_PER_C
     sums = sample.mapInPandas(count_features, "feature string, toxic long, clean long")
     sums = sums.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     ratio = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
-    strong = sums.where((F.col("toxic") >= MIN_TOXIC_DOCS) & (ratio >= math.exp(MIN_LOG_ODDS)))
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    strong = sums.where((F.col("toxic") >= MIN_TOXIC_DOCS) & (F.log(ratio) - ERRORS * error >= MIN_LOG_ODDS))
     candidates = Lexicon(_choose(strong.toPandas(), toxic, clean))
 
     def find_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -295,10 +336,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_TRAIN_PER_C
 def _weigh(automaton, texts) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
     weight, words, terms = [], [], []
     for text in texts:
-        folded = fold(text)
-        found = matches(automaton, folded)
+        opened = fold_open(text)
+        found = matches(automaton, opened)
         weight.append(sum(w for _, _, w in found))
-        words.append(folded.count(" ") - 1)
+        words.append(opened.count(" ") - 1)
         terms.append([f.strip() for _, f, _ in found])
     return np.array(weight, dtype=float), np.array(words, dtype=np.int64), terms
 
