@@ -12,6 +12,11 @@ Hot passages: a task sends a super-k-mer once. A later occurrence in the same ta
 document, or later in the document) is known to repeat and stays home. A bucket is read as a
 stream, and again keeps only the earliest of equal super-k-mers, so its memory follows its
 different texts and not the number of copies. Buckets are many more than tasks.
+
+Hot minimisers: a run of words that is the minimiser of very many different windows would fill
+one bucket. A first pass adds up the bytes that every bucket would get. Windows of an overfull
+bucket travel one by one, to the bucket of a hash of the whole window: equal windows still meet,
+and different ones are spread. Which buckets these are follows from all texts.
 """
 
 from __future__ import annotations
@@ -24,13 +29,19 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinemetrics.llm.common import text_or_empty
+from cinemetrics.llm.common import settle, text_or_empty
 
 WINDOW = 20
 MINIMISER = 3
 # text handled at a time by a task, and expected packed text per bucket
 CHUNK_BYTES = 5 << 20
 BUCKET_BYTES = 4 << 20
+# buckets of more packed text than this are dealt again by whole windows; at most ``MAX_HOT``
+# buckets can be (their numbers go to every task, 8 bytes each)
+HOT_BYTES = 32 << 20
+MAX_HOT = 1_000_000
+# packed text per task, before compression
+TASK_BYTES = 128 << 20
 # super-k-mers a task remembers before it starts anew
 SEEN = 100_000
 MAX_ID, MIN_LONG = (1 << 63) - 1, -(1 << 63)
@@ -133,24 +144,95 @@ def _normal(text: str | None) -> bytes:
     return b" ".join((text or "").encode("utf-8", "surrogatepass").split())
 
 
-def _pack(buckets: int, window: int, minimiser: int):
+def _bucket(low: np.ndarray, buckets: int) -> np.ndarray:
+    return (low % np.uint64(buckets)).astype(np.int64)
+
+
+def _apart(words: Words, first, count, bucket, hot: np.ndarray, window: int, buckets: int):
+    """Super-k-mers of hot buckets as single windows, each in the bucket of its own hash."""
+    is_hot = np.isin(bucket, hot)
+    if not is_hot.any():
+        return first, count, bucket
+    n = count[is_hot]
+    single = np.repeat(first[is_hot] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    own = words.spans(words.start[single], words.end[single + window - 1])
+    # mixed once more: the hash of a window is not to fall in with that of a minimiser
+    dealt = (
+        np.concatenate([first[~is_hot], single]),
+        np.concatenate([count[~is_hot], np.ones(len(single), dtype=count.dtype)]),
+        np.concatenate([bucket[~is_hot], _bucket(_mix(own ^ np.uint64(_BASE)), buckets)]),
+    )
+    order = np.argsort(dealt[0], kind="stable")
+    return tuple(x[order] for x in dealt)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Documents (id, name, words joined by one blank) long enough for a window, some at a time."""
+    waiting: list[tuple[int, int, bytes]] = []
+    size = 0
+    for batch in batches:
+        ids, names, texts = batch.columns
+        for n in range(batch.num_rows):
+            text = _normal(texts[n].as_py())
+            if text.count(b" ") < window - 1:
+                continue
+            if waiting and size + len(text) > CHUNK_BYTES:
+                yield waiting
+                waiting, size = [], 0
+            waiting.append((ids[n].as_py(), names[n].as_py(), text))
+            size += len(text)
+    if waiting:
+        yield waiting
+
+
+def _bucket_bytes(buckets: int, window: int, minimiser: int):
+    """Bytes of text that the super-k-mers of a chunk of documents bring to each bucket; equal
+    super-k-mers of the chunk count once."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = _Powers()
+        for docs in _chunks(batches, window):
+            words = Words(b"".join([text + b"\n" for _, _, text in docs]), powers)
+            first, windows, low = super_kmers(words, window, minimiser)
+            start, end = words.start[first], words.end[first + windows + window - 2]
+            _, once = np.unique(words.spans(start, end), return_index=True)
+            names, at = np.unique(_bucket(low[once], buckets), return_inverse=True)
+            total = np.bincount(at, weights=(end - start)[once], minlength=len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(total, pa.int64())], names=["bucket", "bytes"])
+
+    return count
+
+
+def hot_buckets(named: DataFrame, buckets: int, window: int, minimiser: int) -> list[int]:
+    """Buckets that would get more than ``HOT_BYTES`` of text; at most ``MAX_HOT`` can."""
+    brought = named.mapInArrow(_bucket_bytes(buckets, window, minimiser), "bucket long, bytes long")
+    brought = brought.groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    heavy = settle(brought.where(F.col("bytes") > HOT_BYTES))
+    total = heavy.agg(F.sum("bytes")).first()[0] or 0
+    # fewer than MAX_HOT buckets can each hold more than this share of what the heavy ones hold
+    return [r[0] for r in heavy.where(F.col("bytes") > total // MAX_HOT).select("bucket").collect()]
+
+
+def _pack(buckets: int, window: int, minimiser: int, shared):
     """Documents -> packed super-k-mers per bucket (bucket >= 0), and windows already known to
     repeat (bucket -1, same layout with the number of words in place of the text)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze, powers = zstandard.ZstdCompressor(level=6), _Powers()
         seen: dict[bytes, tuple] = {}
+        hot = np.array(shared.value, dtype=np.int64)
 
         def chunk(docs: list[tuple[int, int, bytes]]) -> pa.RecordBatch | None:
             words = Words(b"".join([text + b"\n" for _, _, text in docs]), powers)
             first, count, low = super_kmers(words, window, minimiser)
             if not len(first):
                 return None
+            first, count, bucket = _apart(words, first, count, _bucket(low, buckets), hot, window, buckets)
             line = words.line[first]
             line_word = np.concatenate([np.zeros(1, dtype=np.int64), np.flatnonzero(words.last) + 1])
             columns = (
                 line, first - line_word[line], words.start[first], words.end[first + count + window - 2],
-                count + window - 1, low % np.uint64(buckets),
+                count + window - 1, bucket,
             )
             sent: dict[int, list] = {}
             home: list[list] = []
@@ -173,22 +255,9 @@ def _pack(buckets: int, window: int, minimiser: int):
                 seen.clear()
             return _packed_batch(sent, squeeze)
 
-        waiting: list[tuple[int, int, bytes]] = []
-        size = 0
-        for batch in batches:
-            ids, names, texts = batch.columns
-            for n in range(batch.num_rows):
-                text = _normal(texts[n].as_py())
-                if text.count(b" ") < window - 1:
-                    continue
-                if waiting and size + len(text) > CHUNK_BYTES:
-                    if (out := chunk(waiting)) is not None:
-                        yield out
-                    waiting, size = [], 0
-                waiting.append((ids[n].as_py(), names[n].as_py(), text))
-                size += len(text)
-        if waiting and (out := chunk(waiting)) is not None:
-            yield out
+        for docs in _chunks(batches, window):
+            if (out := chunk(docs)) is not None:
+                yield out
 
     return pack
 
@@ -311,8 +380,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIM
     # super-k-mers overlap: a window's words travel about three times; each partition gets
     # equally many buckets
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(partitions, -(-3 * size // TASK_BYTES))
     buckets = partitions * max(1, -(-3 * size // (BUCKET_BYTES * partitions)))
-    packed = _named(docs).mapInArrow(_pack(buckets, window, minimiser), _PACKED)
+    named = _named(docs)
+    hot = docs.sparkSession.sparkContext.broadcast(hot_buckets(named, buckets, window, minimiser))
+    packed = named.mapInArrow(_pack(buckets, window, minimiser, hot), _PACKED)
     # repeats known at home are spread, buckets come together
     spread = F.pmod(F.xxhash64("ids", "starts"), F.lit(partitions))
     place = F.when(F.col("bucket") >= 0, F.col("bucket") % partitions).otherwise(spread).cast("int")

@@ -55,6 +55,68 @@ def test_small_windows_and_tiny_buckets(spark, monkeypatch):
     assert got(spark, rows, window=6, minimiser=2) == sorted(brute(rows, 6), key=str)
 
 
+def template_rows(docs=120):
+    """Different texts around one run of three words, everywhere the minimiser of its windows."""
+    rnd = random.Random(3)
+    probe = sd.Words(b"0 0 0\n", sd._Powers()).hashes(3)[0]
+    words = [f"v{k}" for k in range(2_000)]
+    rows = []
+    for i in range(docs):
+        text = []
+        for _ in range(12):
+            text += ["0", "0", "0"] + [rnd.choice(words) for _ in range(9)]
+        if i % 10 == 9:
+            text = text[:60] + rows[i - 4][1].split()[40:110] + text[60:]
+        rows.append((i, " ".join(text)))
+    return rows, int(probe)
+
+
+def test_windows_of_a_hot_minimiser_are_dealt_again(spark, monkeypatch):
+    rows, lowest = template_rows()
+    plain = sd.Words.hashes
+    # the run "0 0 0" gets the smallest hash of all
+    monkeypatch.setattr(sd, "HOT_BYTES", 20_000)
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 20_000)
+
+    def low_run(self, n):
+        h = plain(self, n)
+        return np.where(h == np.uint64(lowest), np.uint64(0), h) if n == 3 else h
+
+    monkeypatch.setattr(sd.Words, "hashes", low_run)
+    docs = [(i, i, t.encode()) for i, t in rows]
+    words = sd.Words(b"".join(t + b"\n" for _, _, t in docs), sd._Powers())
+    first, count, low = sd.super_kmers(words, 20, 3)
+    bucket = sd._bucket(low, 64)
+    before = np.bincount(bucket, weights=count, minlength=64)
+    assert before.max() > 0.5 * before.sum()
+    first2, count2, bucket2 = sd._apart(words, first, count, bucket, np.array([0]), 20, 64)
+    after = np.bincount(bucket2, weights=count2, minlength=64)
+    assert after.sum() == before.sum() and after.max() < 0.1 * after.sum()
+    windows = lambda f, c: sorted(k for a, n in zip(f, c) for k in range(a, a + n))
+    assert windows(first, count) == windows(first2, count2)
+
+
+def test_hot_buckets_keep_the_result(spark, monkeypatch):
+    rows, _ = template_rows()
+    want = sorted(brute(rows), key=str)
+    assert sum(r[3] for r in want) > 500
+    assert got(spark, rows) == want
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 20_000)
+    for hot in (0, 5_000, 10_000):
+        monkeypatch.setattr(sd, "HOT_BYTES", hot)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        assert sd.hot_buckets(sd._named(df), 16, 20, 3)
+        assert got(spark, rows) == want
+
+
+def test_hot_buckets_are_bounded(spark, monkeypatch):
+    rows, _ = template_rows(30)
+    monkeypatch.setattr(sd, "HOT_BYTES", 0)
+    monkeypatch.setattr(sd, "MAX_HOT", 5)
+    df = sd._named(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(sd.hot_buckets(df, 64, 20, 3)) <= 5
+
+
 def test_one_word_repeated_and_copies(spark):
     rows = [(1, "a " * 200), (2, "a " * 19), (3, "a " * 20)] + [(10 + i, " ".join(f"x{k}" for k in range(50))) for i in range(80)]
     assert got(spark, rows) == sorted(brute(rows), key=str)
