@@ -39,10 +39,11 @@ from cinemetrics.llm.common import settle, unused
 MAX_TRAIN_PER_CLASS = 5_000
 # shortest and longest beginning of a word that can become a lexicon form
 PREFIX_CHARS = (4, 10)
-# a form must occur in this many toxic training documents, and be this much likelier there
+# a form must occur in this many toxic training documents, and surely (``ERRORS``) be this much
+# likelier there
 MIN_TOXIC_DOCS = 3
-MIN_LOG_ODDS = 2.5
-# a form weighs its log odds less this many standard errors, so that rare forms count little
+MIN_LOG_ODDS = math.log(10)
+# a form weighs its log odds less this many standard errors: rare forms count little
 ERRORS = 1.0
 # forms this common, against the rarest of the forms that cover the toxic documents, are kept too
 COMMON_SHARE = 0.25
