@@ -229,22 +229,26 @@ def _link_block(percent: int):
 def _meetings(members: DataFrame, percent: int, block_sets: int, block_shingles: int) -> DataFrame:
     """``members`` (_family, _node, _size, ...) once for each task they take part in: _task, _second."""
 
-    def blocks(df: DataFrame, by: list[str], name: str) -> DataFrame:
-        n = F.greatest(F.ceil(F.count(F.lit(1)) / block_sets), F.ceil(F.sum("_size") / block_shingles))
-        return df.groupBy(*by).agg(n.cast("int").alias(name))
+    def blocks(n, size):
+        return F.greatest(F.ceil(n / block_sets), F.ceil(size / block_shingles)).cast("int")
 
     # similar sizes lie in one class or in neighbouring ones
     ratio = F.log(F.lit(100 / percent)) if percent < 100 else F.lit(1.0)
     band = F.floor(F.log(F.greatest("_size", F.lit(1)).cast("double")) / ratio * 0.999999).cast("int")
-    family = blocks(members, ["_family"], "_whole")
-    banded = members.join(family, "_family").withColumn("_band", F.when(F.col("_whole") > 1, band).otherwise(0))
-    cells = blocks(banded, ["_family", "_band"], "_blocks")
-
-    def beside(step: int, name: str) -> DataFrame:
-        return cells.select("_family", (F.col("_band") + step).alias("_band"), F.col("_blocks").alias(name))
-
-    dealt = banded.join(cells, ["_family", "_band"])
-    dealt = dealt.join(beside(-1, "_above"), ["_family", "_band"], "left").join(beside(1, "_below"), ["_family", "_band"], "left")
+    counted = members.groupBy("_family", band.alias("_band")).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_total"))
+    # from here on a family is a row for each of its size classes; only families of several blocks go on
+    family = Window.partitionBy("_family")
+    near = family.orderBy("_band")
+    alone = blocks(F.col("_n"), F.col("_total"))
+    cells = counted.select(
+        F.col("_family").alias("_of"), F.col("_band").alias("_at"), alone.alias("_blocks"),
+        F.max(alone).over(near.rangeBetween(1, 1)).alias("_above"), F.max(alone).over(near.rangeBetween(-1, -1)).alias("_below"),
+        blocks(F.sum("_n").over(family), F.sum("_total").over(family)).alias("_whole"),
+    ).where(F.col("_whole") > 1)
+    # joined on a hash of both: adaptive execution can split the rows of a large family
+    key = (F.xxhash64("_family", band) == F.xxhash64("_of", "_at")) & (F.col("_family").bitwiseXOR(F.col("_of")) == 0) & (band - F.col("_at") == 0)
+    dealt = members.join(broadcast_if_bounded(cells), key, "left")
+    dealt = dealt.withColumn("_band", F.coalesce("_at", F.lit(0))).withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
     own, band_ = F.col("_block"), F.col("_band")
 
@@ -322,6 +326,14 @@ def jaccard_components(
 
 
 def _stars(keyed: DataFrame) -> DataFrame:
-    """(a, b): the nodes (_node) that share a segment hash (_segment), each with the first of them."""
-    first = F.first("_node").over(Window.partitionBy("_segment").orderBy("_node"))
-    return keyed.select(F.col("_node").alias("a"), first.alias("b")).where(F.col("a") != F.col("b"))
+    """(a, b): the nodes (_node) that share a segment hash (_segment), each with the least of them."""
+    # grouped by the hash and a part of it, joined on the hash: both sides are then shuffled for the
+    # join itself, and adaptive execution can split a segment that a third of the sets hold
+    least = (
+        keyed.groupBy("_segment", F.shiftright("_segment", 32).alias("_part"))
+        .agg(F.min("_node").alias("b"), F.max("_node").alias("_last"))
+        .where(F.col("b") != F.col("_last"))
+        .select(F.col("_segment").alias("_shared"), "b")
+    )
+    pairs = keyed.join(least, F.col("_segment") == F.col("_shared"))
+    return pairs.select(F.col("_node").alias("a"), "b").where(F.col("a") != F.col("b"))

@@ -134,3 +134,13 @@ def test_overlaps_over_several_fragments(monkeypatch):
 def test_empty_table(spark):
     assert got(spark, []) == []
     assert got(spark, [(1, None)]) == [(1, 0, 1, 0)]
+
+
+def test_stars_of_a_hot_segment(spark):
+    keyed = spark.range(900).selectExpr("id AS _node", "explode(array(if(id < 300, 7L, id + 1000), id, id)) AS _segment")
+    pairs = jj._stars(keyed)
+    got = {tuple(r) for r in pairs.collect()}
+    assert got == {(n, 0) for n in range(1, 300)}
+    # no window over a segment, and both sides of the join are shuffled for the join itself
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("hashpartitioning(_segment") >= 2
