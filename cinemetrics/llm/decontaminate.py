@@ -13,10 +13,15 @@ Items of fewer than ``WINDOW`` words have no such window: they overlap where all
 stand in the document one after the other (``overlaps`` finds both sorts, ``contaminated``
 the windows alone). In scripts written without blanks every letter or digit is a word.
 
-Documents stream through: one row per word position is made and probed inside one generated
-stage; nothing but hits leaves it while the benchmark's seeds fit the broadcast bound. Beyond
-the bound the same join runs as a shuffle join of (document key, position, seed), and the
-words come to the documents with hits by a join on the document key.
+Documents stream through: one row per word position is made, probed and verified inside one
+stage; nothing but verified overlaps leaves it while the benchmark's seeds fit the broadcast
+bound, one row per document and item after the partial aggregation of the task. Beyond the
+bound the same join runs as a shuffle join of (document key, position, seed), and the words come
+to the documents with hits by a join on the document key.
+
+A hit is verified around its place: a window that counts holds all words of the seed that
+found it, so only windows over the seed are tried, and the whole alignment is read only for a
+hit that passes. Which documents overlap anything (``decontaminate``) is told without pairs.
 """
 
 from __future__ import annotations
@@ -24,14 +29,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinemetrics.llm.common import hash128, text_or_empty
+from cinemetrics.llm.common import hash128, settle, text_or_empty
+from cinemetrics.operators.broadcast import broadcast_if_bounded
 
 # fixed masks: word positions read by each seed
 MASKS = ((0, 1, 2, 3, 5, 6), (0, 1, 2, 5, 8, 9))
 WINDOW = 13
 MAX_REPLACED = 2
-# the seeds of the benchmark are broadcast up to this many rows (24 bytes each)
+# the seeds of the benchmark, or its short items, are broadcast up to the bytes of this many seeds
 BROADCAST_SEEDS = 2_000_000
+SEED_BYTES = 24
 
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 # scripts without blanks between words (South East Asian, Yi, Han, kana)
@@ -96,11 +103,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **opti
     """``contaminated``, and the items of 1 to ``window`` - 1 words that a document holds word
     for word: there n_equal is item_words and doc_word the first place. An item without any
     word is never found. Rows, ties and nulls as in ``contaminated``."""
+    return _best(_places(docs, benchmark, window, **options))
+
+
+def _places(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **options) -> DataFrame:
+    """(_id, _t1, _t2, _item, _item_words, _start, _n): verified places of all items, repeated ones too."""
     read, items = _read_docs(docs), _read_items(benchmark)
     short = items.where((F.size("_words") > 0) & (F.size("_words") < window))
     lengths = sorted(r[0] for r in short.select(F.size("_words")).distinct().collect())
     seen = _windows(read, items, options.get("masks", MASKS), window, options.get("max_replaced", MAX_REPLACED))
-    return _best(seen.unionByName(_whole_items(read, short, lengths)) if lengths else seen)
+    return seen.unionByName(_whole_items(read, short, lengths)) if lengths else seen
 
 
 def _read_docs(docs: DataFrame) -> DataFrame:
@@ -113,10 +125,14 @@ def _read_items(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(F.col("item_id").alias("_item"), word_hashes(F.col("text")).alias("_words")).distinct()
 
 
-def _fits(side: DataFrame) -> bool:
-    """Whether the rows of ``side`` keep to the bound of the benchmark's seeds."""
-    bound = int(side.sparkSession.conf.get("cinemetrics.seeds.maxBroadcastRows", str(BROADCAST_SEEDS)))
-    return side.count() <= bound
+def _fits(side: DataFrame, row_bytes: Column) -> bool:
+    """Whether the bytes of ``side`` keep to the bound of the benchmark's seeds."""
+    bound = int(side.sparkSession.conf.get("cinemetrics.seeds.maxBroadcastRows", str(BROADCAST_SEEDS))) * SEED_BYTES
+    return (side.agg(F.sum(row_bytes.cast("long"))).first()[0] or 0) <= bound
+
+
+def _word_bytes(words: str) -> Column:
+    return SEED_BYTES + 8 * F.size(words)
 
 
 def _whole_items(read: DataFrame, short: DataFrame, lengths: list[int]) -> DataFrame:
@@ -129,7 +145,7 @@ def _whole_items(read: DataFrame, short: DataFrame, lengths: list[int]) -> DataF
     runs = [F.when(at + n <= n_words, F.slice("_words", at + 1, n)) for n in lengths]
     placed = placed.select("_id", "_t1", "_t2", at.alias("_start"), F.explode(F.array(*runs)).alias("_run"))
     probe = short.select("_item", F.col("_words").alias("_item_hashes"))
-    probe = F.broadcast(probe) if _fits(probe) else probe
+    probe = F.broadcast(probe) if _fits(probe, _word_bytes("_item_hashes")) else probe
     return placed.join(probe, F.col("_run") == F.col("_item_hashes")).select(
         "_id", "_t1", "_t2", "_item", F.size("_run").alias("_item_words"), "_start", F.size("_run").alias("_n")
     )
@@ -143,33 +159,42 @@ def _windows(read: DataFrame, items: DataFrame, masks, window: int, max_replaced
     train = _seed_rows(items, ["_item"], masks).where(F.col("_seed").isNotNull()).select(
         "_item", F.col("_at").alias("_item_at"), F.col("_seed").alias("_key"), F.size("_words").alias("_item_words")
     )
-    small = _fits(train)
-    probe = F.broadcast(train) if small else train
+    sides = items.select(F.col("_item").alias("_item2"), F.col("_words").alias("_item_hashes"))
+    small = _fits(train, F.lit(SEED_BYTES))
     test = _seed_rows(read, ["_id", "_t1", "_t2"], masks)
-    start = F.col("_at") - F.col("_item_at")
-    hits = test.join(probe, F.col("_seed") == F.col("_key"))
     place = ["_id", "_t1", "_t2", "_item", "_item_words"]
+    start = (F.col("_at") - F.col("_item_at")).alias("_start")
+    hits = test.join(F.broadcast(train) if small else train, F.col("_seed") == F.col("_key"))
     if not small:
-        placed = hits.select(*place, start.alias("_start")).distinct()
+        placed = hits.select(*place, "_item_at", start).distinct()
         texts = read.select(F.col("_id").alias("_id2"), F.col("_t1").alias("_u1"), F.col("_t2").alias("_u2"), "_words")
         same = (F.col("_t1") == F.col("_u1")) & (F.col("_t2") == F.col("_u2")) & F.col("_id").eqNullSafe(F.col("_id2"))
         hits, start = placed.join(texts, same), F.col("_start")
-    # the document's words under the item, null where the item sticks out
-    span = F.sequence(start, start + F.col("_item_words") - 1)
-    under = F.transform(span, lambda p: F.when(p >= 0, F.get(F.col("_words"), p)))
-    aligned = hits.select(*place, start.alias("_start"), under.alias("_under")).distinct()
-    sides = items.select(F.col("_item").alias("_item2"), F.col("_words").alias("_item_hashes"))
-    both = aligned.join(sides, aligned["_item"].eqNullSafe(sides["_item2"]) & (F.size("_item_hashes") == F.col("_item_words")))
-    equal = F.zip_with("_under", "_item_hashes", lambda x, y: F.coalesce(x == y, F.lit(False)).cast("int"))
-    both = both.withColumn("_equal", equal)
+        small = _fits(sides, _word_bytes("_item_hashes"))
+    # an item has more bytes of seeds than of words: where the seeds are broadcast the words can be
+    hits = hits.select(*place, "_item_at", start, "_words").join(
+        F.broadcast(sides) if small else sides,
+        F.col("_item").eqNullSafe(F.col("_item2")) & (F.size("_item_hashes") == F.col("_item_words")),
+    )
+
+    def equal(p: Column) -> Column:
+        # false where the item sticks out of the document
+        return F.coalesce(F.get("_words", F.col("_start") + p) == F.get("_item_hashes", p), F.lit(False)).cast("int")
+
+    def summed(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0), lambda n, e: n + e)
 
-    def enough(s: Column) -> Column:
-        part = F.slice(F.col("_equal"), s, window)
-        return F.aggregate(part, F.lit(0), lambda n, e: n + e) >= window - max_replaced
+    # first words of the windows over the seed
+    span = min(m[-1] for m in masks) + 1
+    low = F.greatest(F.col("_item_at") - (window - span), F.lit(0))
+    high = F.least(F.col("_item_at"), F.col("_item_words") - window)
+    around = F.array(F.transform(F.sequence(low, high + window - 1), equal))
 
-    seen = both.where(F.exists(F.sequence(F.lit(1), F.col("_item_words") - window + 1), enough))
-    n_equal = F.aggregate("_equal", F.lit(0), lambda n, e: n + e)
-    return seen.select("_id", "_t1", "_t2", "_item", "_item_words", "_start", n_equal.alias("_n"))
+    def enough(e: Column) -> Column:
+        return F.exists(F.sequence(F.lit(1), high - low + 1), lambda s: summed(F.slice(e, s, window)) >= window - max_replaced)
+
+    n_equal = summed(F.transform(F.sequence(F.lit(0), F.col("_item_words") - 1), equal))
+    return hits.where(F.exists(around, enough)).select(*place, "_start", n_equal.alias("_n"))
 
 
 def _best(seen: DataFrame) -> DataFrame:
@@ -185,8 +210,12 @@ def _best(seen: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that overlap a benchmark item (see ``overlaps``)."""
-    found = overlaps(docs, benchmark, **options)
-    bad = found.select(F.col("doc_id").alias("_id"), "_t1", "_t2").distinct()
+    """``docs`` without the rows that overlap a benchmark item (see ``overlaps``).
+
+    The overlapping documents are written once; while their ids keep to the broadcast bound the
+    texts of the others are not shuffled.
+    """
+    found = _places(docs, benchmark, **options)
+    bad = broadcast_if_bounded(settle(found.select("_id", "_t1", "_t2").distinct()))
     t1, t2 = hash128(text_or_empty(docs["text"]))
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (t1 == bad["_t1"]) & (t2 == bad["_t2"]), "left_anti")

@@ -167,3 +167,27 @@ def test_shuffle_join_carries_no_words(spark):
         spark.conf.unset("cinemetrics.seeds.maxBroadcastRows")
     sides = [j.left().output().mkString(" ") for j in joins(plan) if "_seed#" in j.condition().toString()]
     assert len(sides) == 1 and "_at#" in sides[0] and "_words#" not in sides[0]
+
+
+def test_a_template_that_all_documents_and_items_share(spark):
+    template = " ".join(f"t{k}" for k in range(12))
+    docs = [(i, f"d{i} e{i} {template} f{i} g{i}") for i in range(30)] + [(99, "d e " + " ".join(f"t{k}" for k in range(10)) + " f g h")]
+    items = [(j, f"a{j} b{j} {template} c{j}") for j in range(30)]
+    want = brute(docs, items)
+    assert got(spark, docs, items) == want and len(want) == 900
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert [r.doc_id for r in dc.decontaminate(d, b).collect()] == [99]
+    # places are verified before they are aggregated and shuffled, and carry no words from there on
+    plan = dc.contaminated(d, b)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(n for n, line in enumerate(plan) if line.lstrip(" +-").startswith("Aggregate [_id#"))
+    assert not re.search(r"(?<!_item)_words#|_item_hashes#", plan[at]) and "Project" in plan[at + 1]
+
+
+def test_texts_are_not_shuffled_to_drop_few(spark):
+    docs, items = corpus(2)
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    kept = dc.decontaminate(d, b)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    bad = {w[0] for w in brute(docs, items)} | {w[0] for w in brute_short(docs, items)}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in bad) and bad
