@@ -13,6 +13,7 @@ count in the divisor). ``mse`` and ``rmse`` divide by the predicted rows only.
 
 from __future__ import annotations
 
+import gc
 import itertools
 import math
 import threading
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import digit_split
@@ -44,6 +45,8 @@ START_FIRST, START_SECOND = (31, 7), (53, 11)
 BLOCK_ROWS = 250_000
 MIN_BLOCKS = 10
 MAX_BLOCKS = 20_000
+# iterations between two checkpoints of the item factors
+CHECKPOINT_EVERY = 1
 
 
 def block_count(training_rows: int) -> int:
@@ -51,6 +54,16 @@ def block_count(training_rows: int) -> int:
     return min(MAX_BLOCKS, max(MIN_BLOCKS, -(-training_rows // BLOCK_ROWS)))
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files and persisted blocks that nothing refers to any more.
+
+    Spark removes them once the driver's JVM has collected their owners, which a driver with
+    little to do may leave for the half hour of ``spark.cleaner.periodicGC.interval``.
+    """
+    gc.collect()  # the Python side holds its JVM objects
+    spark._jvm.System.gc()
+
+
 def split_ratings(ratings: DataFrame) -> DataFrame:
     """ratings + ``split`` in {training, validation, test} by the timestamp's last digit."""
     return ratings.withColumn("split", digit_split("ts"))
@@ -83,9 +96,12 @@ def _als_input(df: DataFrame) -> DataFrame:
 def make_als(rank: int, reg_param: float, max_iter: int, blocks: int = MIN_BLOCKS, seed: int = SEED) -> ALS:
     """Explicit-feedback ALS; unknown users/items are dropped when scoring (like an inner join).
 
-    ``checkpointInterval=10`` writes the factor RDDs to the checkpoint folder every 10
-    iterations. It is required, not only a guard against lost executors: without it the
-    lineage of a 20-iteration fit grows until task deserialisation overflows the stack.
+    ``checkpointInterval`` writes the item factors to the checkpoint folder. It is required, not
+    only a guard against lost executors: without it the lineage of a 20-iteration fit grows until
+    task deserialisation overflows the stack. Every shuffle since the last one stays on disk, and
+    each half of an iteration shuffles a copy of a factor for every block that needs it, which is
+    more than the ratings take: written in every iteration, two such shuffles are there at once.
+    It does not change a model.
     """
     return ALS(
         rank=rank,
@@ -98,7 +114,7 @@ def make_als(rank: int, reg_param: float, max_iter: int, blocks: int = MIN_BLOCK
         coldStartStrategy="drop",
         numUserBlocks=blocks,
         numItemBlocks=blocks,
-        checkpointInterval=10,
+        checkpointInterval=CHECKPOINT_EVERY,
     )
 
 
@@ -249,7 +265,9 @@ def grid_search(
         error = known(place, "validation")
         if error is None:
             rank, reg, iters = grid[place]
+            release_shuffles(spark)  # of the input, or of the errors of the model before
             models.save_model(name_of(place), make_als(rank, reg, iters, blocks, seed).fit(rows_of("training")))
+            release_shuffles(spark)  # of the fit, before the model is scored
             error = measured(place, "validation", models.model(name_of(place)))
         return error
 

@@ -225,6 +225,49 @@ als.grid_search(test_als._ratings(spark), test_als._personal(spark), **test_als.
     assert len(made) == 5 and (resumed.rows, resumed.test_error) == (whole.rows, whole.test_error)
 
 
+def test_shuffles_of_the_fits_do_not_pile_up_on_disk(spark, monkeypatch):
+    import os
+    import time
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffles():
+        names = [x for top in folders for _, _, files in os.walk(top) for x in files]
+        return {x.split("_")[1] for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+    def settled(before, most):
+        until = time.time() + 5  # Spark removes files in the background
+        while len(shuffles() - before) > most and time.time() < until:
+            time.sleep(0.1)
+        return len(shuffles() - before)
+
+    before, in_fit, after_fit = shuffles(), [], []
+    save_model, save_error = als.ModelStore.save_model, als.ModelStore.save_error
+
+    def saved_model(*args):
+        in_fit.append(settled(before, 12))
+        return save_model(*args)
+
+    def saved_error(*args):
+        after_fit.append(settled(before, 12))
+        return save_error(*args)
+
+    monkeypatch.setattr(als.ModelStore, "save_model", saved_model)
+    monkeypatch.setattr(als.ModelStore, "save_error", saved_error)
+    als.grid_search(_ratings(spark), _personal(spark), ranks=(2, 3), reg_params=(0.1,), max_iters=(10,), store=scratch_path(spark, "models"))
+    assert len(in_fit) == 2 and max(in_fit) <= 12, in_fit  # of 20 half steps and those that set up the fit
+    assert len(after_fit) == 3 and max(after_fit) <= 12, after_fit  # no fit's, but those that score it
+
+
+def test_checkpoints_do_not_change_a_model(spark, monkeypatch):
+    found = []
+    for every in (10, 1):
+        monkeypatch.setattr(als, "CHECKPOINT_EVERY", every)
+        model = als.make_als(3, 0.1, 12).fit(als._als_input(_ratings(spark)).repartition(4, "user_id").sortWithinPartitions("user_id", "movie_id"))
+        found.append([sorted((x.id, tuple(x.features)) for x in f.collect()) for f in (model.userFactors, model.itemFactors)])
+    assert found[0] == found[1]
+
+
 def test_blocks_follow_the_training_rows():
     assert [als.block_count(n) for n in (0, 35_794, 2_500_000, 2_500_001, 3_579_400)] == [10, 10, 10, 11, 15]
     assert als.block_count(10**13) == als.MAX_BLOCKS
