@@ -171,3 +171,42 @@ def test_user_partitioned_derivation_same_rows_fewer_shuffles(spark, capsys):
     assert p.count("Exchange hashpartitioning(o_custkey") == 1
     assert "hashpartitioning(o_custkey#" in p and "l_suppkey" not in p.split("Exchange hashpartitioning(o_custkey")[1].split(")")[0]
     assert "hashpartitioning(user_id" not in p
+
+
+def _star_tables(spark, folder, orders=400, customers=60, suppliers=40):
+    """lineitem, orders, supplier, nation and region, with null customers and suppliers, orders without
+    lines, lines without an order and lines that come twice."""
+    rnd = random.Random(21)
+    lines = [(rnd.randrange(orders + 20), rnd.choice([None, *range(suppliers)]), float(rnd.randint(1, 50)), f"199{rnd.randint(2, 8)}-0{rnd.randint(1, 9)}-11") for _ in range(3000)]
+    held = [(o, rnd.choice([None, 0, 0, *range(customers)])) for o in range(orders)] + [(None, 3)]
+    tables = {
+        "lineitem": spark.createDataFrame(lines + lines[:300] + [(None, 1, 2.0, "1995-01-01")], "l_orderkey long, l_suppkey long, l_quantity double, day string")
+        .selectExpr("l_orderkey", "l_suppkey", "l_quantity", "cast(day AS timestamp_ntz) AS l_shipdate"),
+        "orders": spark.createDataFrame(held, "o_orderkey long, o_custkey long"),
+        "supplier": spark.createDataFrame([(s, f"S{s}", s % 3, 1000.0 * (s % 9)) for s in range(suppliers)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        "nation": spark.createDataFrame([(n, f"N{n}", n % 2) for n in range(3)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": spark.createDataFrame([(r, f"R{r}") for r in range(2)], "r_regionkey int, r_name string"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_tasks_of_large_inputs_have_a_bounded_share(spark, capsys, tmp_path, monkeypatch):
+    from cinemetrics.plans import catalog
+
+    sf = _star_tables(spark, tmp_path)
+    names = ["genre_user_count", "genre_top5_users", "genre_top5_profile", "movie_rating_count", "user_avg_rating"]
+    results = lambda: {x: sorted(map(repr, catalog.QUERIES[x](spark, sf).collect())) for x in names}
+    whole = results()
+    assert all(whole.values()) and any("user_id=None" in x for x in whole["genre_user_count"])
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 100, raising=False)
+    assert results() == whole
+    r = fixtures.ratings(spark, sf)
+    share = [x["count"] for x in r.groupBy(F.spark_partition_id()).count().collect()]
+    # 34 parts by customer; adaptive execution does not merge them, so each holds a few customers only
+    assert len(share) > 20 and sum(share) == r.count()
+    p = plan(catalog.genre_user_count(spark, sf), capsys, "simple")
+    assert p.count("Exchange hashpartitioning(l_orderkey") == 1 and ", 34), REPARTITION_BY_NUM" in p
+    # the cells and the (genre, user) groups are aggregated where the customers lie
+    assert "Exchange hashpartitioning(genre" not in p and "Exchange hashpartitioning(o_custkey" in p
