@@ -1,8 +1,9 @@
 """ALS recommendation with a timestamp-digit split and a grid search.
 
-Training is ``pyspark.ml.recommendation.ALS`` (distributed, blocked). The split is a
-column expression, the sets are persisted once around the grid loop, and each fit
-is distributed; only one error row per model comes back to the driver. Fitted models and
+Training is the iteration of ``pyspark.ml.recommendation.ALS`` over blocks of ratings that are laid
+out once for the grid (``als_blocks``). The split is a column expression, the held-out sets are
+persisted once around the grid loop, and each fit is distributed; only one error row per model
+comes back to the driver. Fitted models and
 their errors are kept on shared storage (``model_store``): a grid over the same rows is fitted
 once, and goes on where a lost driver left it.
 
@@ -17,6 +18,7 @@ import gc
 import itertools
 import math
 import threading
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinemetrics.functions.columns import digit_split
+from cinemetrics.operators.als_blocks import RatingBlocks
 from cinemetrics.operators.broadcast import broadcast_if_bounded
 from cinemetrics.operators.model_store import ModelStore, default_folder, input_summary
 from cinemetrics.session import ensure_checkpoint_dir
@@ -45,8 +48,11 @@ START_FIRST, START_SECOND = (31, 7), (53, 11)
 BLOCK_ROWS = 250_000
 MIN_BLOCKS = 10
 MAX_BLOCKS = 20_000
-# iterations between two checkpoints of the item factors
+# iterations between two checkpoints of the factors, and between two releases of their shuffles
 CHECKPOINT_EVERY = 1
+RELEASE_EVERY = 2
+# seconds after which the JVM knows what Python has dropped (py4j looks every second)
+TOLD_AFTER_S = 1.1
 
 
 def block_count(training_rows: int) -> int:
@@ -54,13 +60,16 @@ def block_count(training_rows: int) -> int:
     return min(MAX_BLOCKS, max(MIN_BLOCKS, -(-training_rows // BLOCK_ROWS)))
 
 
-def release_shuffles(spark: SparkSession) -> None:
+def release_shuffles(spark: SparkSession, all_dropped: bool = False) -> None:
     """Have Spark remove the shuffle files and persisted blocks that nothing refers to any more.
 
     Spark removes them once the driver's JVM has collected their owners, which a driver with
-    little to do may leave for the half hour of ``spark.cleaner.periodicGC.interval``.
+    little to do may leave for the half hour of ``spark.cleaner.periodicGC.interval``. With
+    ``all_dropped`` those too whose owners Python has dropped just now: it tells the JVM within a second.
     """
     gc.collect()  # the Python side holds its JVM objects
+    if all_dropped:
+        time.sleep(TOLD_AFTER_S)
     spark._jvm.System.gc()
 
 
@@ -96,12 +105,11 @@ def _als_input(df: DataFrame) -> DataFrame:
 def make_als(rank: int, reg_param: float, max_iter: int, blocks: int = MIN_BLOCKS, seed: int = SEED) -> ALS:
     """Explicit-feedback ALS; unknown users/items are dropped when scoring (like an inner join).
 
-    ``checkpointInterval`` writes the item factors to the checkpoint folder. It is required, not
+    ``checkpointInterval`` writes the factors of one side to the checkpoint folder. It is required, not
     only a guard against lost executors: without it the lineage of a 20-iteration fit grows until
     task deserialisation overflows the stack. Every shuffle since the last one stays on disk, and
     each half of an iteration shuffles a copy of a factor for every block that needs it, which is
-    more than the ratings take: written in every iteration, two such shuffles are there at once.
-    It does not change a model.
+    more than the ratings take. It does not change a model.
     """
     return ALS(
         rank=rank,
@@ -209,10 +217,12 @@ def grid_search(
 ) -> GridResult:
     """Fit every (rank, reg_param, max_iter); keep the strictly smallest ``mse_ref`` (first wins ties).
 
-    Each fit is a distributed job; ``parallelism`` fits are submitted at once from driver
-    threads (as ``pyspark.ml.tuning`` does). It is a speed setting only: the blocks follow from
-    the training rows (``block_count``), the rows are dealt to as many partitions and sorted,
-    so that neither it nor the number of cores changes a model. The choice is made in grid order.
+    Each fit is a distributed job over the ratings that ``RatingBlocks`` lays out once. The fits of
+    one (rank, reg_param) are a chain: a model of more iterations goes on from the kept one of fewer,
+    whose factors are those that it would have after as many. ``parallelism`` chains are submitted at
+    once from driver threads (as ``pyspark.ml.tuning`` does). It is a speed setting only: the start blocks follow
+    from the training rows (``block_count``), so that neither it nor the number of cores changes a
+    model. The choice is made in grid order.
 
     Every model and error is written to ``store`` (default: ``model_store.default_folder``) as soon
     as it is known, under a digest of the rows and its parameters; what is there already is read
@@ -243,40 +253,66 @@ def grid_search(
         error = models.error(name_of(place), what)
         return ModelError(*error) if error else None
 
-    def fixed(df: DataFrame) -> DataFrame:
-        dealt = _als_input(df).repartition(blocks, "user_id").sortWithinPartitions("user_id", "movie_id", "rating")
-        return dealt.persist(StorageLevel.MEMORY_AND_DISK)
-
     persisted: dict[str, DataFrame] = {}
+    laid_out: list[RatingBlocks] = []
     lock = threading.Lock()
 
     def rows_of(name: str) -> DataFrame:
         with lock:
             if name not in persisted:
-                persisted[name] = fixed(training if name == "training" else held[name])
+                dealt = _als_input(held[name]).repartition(blocks, "user_id")
+                dealt = dealt.sortWithinPartitions("user_id", "movie_id", "rating")
+                persisted[name] = dealt.persist(StorageLevel.MEMORY_AND_DISK)
             return persisted[name]
 
+    def training_blocks() -> RatingBlocks:
+        with lock:
+            if not laid_out:
+                laid_out.append(RatingBlocks(_als_input(training), counts["training"]))
+            return laid_out[0]
+
     def measured(place: int, what: str, model: ALSModel) -> ModelError:
         error = model_error(model, rows_of(what), counts[what])
         models.save_error(name_of(place), what, (error.sse, error.n_predicted, error.n_split))
         return error
 
-    def fit(place: int) -> ModelError:
+    def released(n: int) -> None:
+        if n % RELEASE_EVERY == 0:
+            release_shuffles(spark)
+
+    def fit(place: int, before: int | None) -> ModelError:
+        """``before``: the place of a kept model with fewer iterations."""
         error = known(place, "validation")
         if error is None:
             rank, reg, iters = grid[place]
             release_shuffles(spark)  # of the input, or of the errors of the model before
-            models.save_model(name_of(place), make_als(rank, reg, iters, blocks, seed).fit(rows_of("training")))
+            start = None if before is None else (grid[before][2], models.model(name_of(before)))
+            with training_blocks().fitted(make_als(rank, reg, iters, blocks, seed), start, released) as model:
+                release_shuffles(spark, all_dropped=True)  # of the last iterations, before the model is written
+                models.save_model(name_of(place), model)
             release_shuffles(spark)  # of the fit, before the model is scored
             error = measured(place, "validation", models.model(name_of(place)))
         return error
 
+    def fit_chain(places: list[int]) -> dict[int, ModelError]:
+        found: dict[int, ModelError] = {}
+        before = None
+        for place in sorted(places, key=lambda p: grid[p][2]):
+            found[place] = fit(place, before if before is not None and grid[before][2] > 0 else None)
+            before = place
+        return found
+
+    chains: dict[tuple, list[int]] = {}
+    for place, (rank, reg, _) in enumerate(grid):
+        chains.setdefault((rank, float(reg)), []).append(place)
     try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(grid)))) as pool:
-            errors = list(pool.map(fit, range(len(grid))))
+        errors: dict[int, ModelError] = {}
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(chains)))) as pool:
+            for found in pool.map(fit_chain, chains.values()):
+                errors |= found
         rows = [
             (rank, float(reg), iters, err.mse, err.rmse, err.mse_ref, err.n_predicted)
-            for (rank, reg, iters), err in zip(grid, errors)
+            for (rank, reg, iters), err in ((grid[p], errors[p]) for p in range(len(grid)))
         ]
         place = min(range(len(grid)), key=lambda p: (errors[p].mse_ref, p))
         rank, reg, iters = grid[place]
@@ -286,6 +322,8 @@ def grid_search(
     finally:
         for df in persisted.values():
             df.unpersist()
+        for laid in laid_out:
+            laid.close()
 
 
 def start_factors(ids: DataFrame, column: str) -> DataFrame:
