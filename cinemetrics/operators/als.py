@@ -50,7 +50,7 @@ MIN_BLOCKS = 10
 MAX_BLOCKS = 20_000
 # iterations between two checkpoints of the factors, and between two releases of their shuffles
 CHECKPOINT_EVERY = 1
-RELEASE_EVERY = 2
+RELEASE_EVERY = 1
 # seconds after which the JVM knows what Python has dropped (py4j looks every second)
 TOLD_AFTER_S = 1.1
 

@@ -35,8 +35,10 @@ from cinemetrics.sources import files
 # the workers need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# ratings of one block of a side
-LAYOUT_ROWS = 1_000_000
+# ratings of one block of a side: a factor goes to as many blocks as its id has ratings in, at most all
+# of them, so fewer and larger blocks shuffle less; smaller inputs get some blocks to work on at once
+LAYOUT_ROWS = 3_000_000
+LEAST_ROWS, SOME_BLOCKS = 250_000, 8
 MAX_LAYOUT_BLOCKS = 20_000
 # rows that a task gathers before it hands them to the blocks
 PACK_ROWS = 500_000
@@ -49,7 +51,8 @@ _HASH_BITS = np.uint64(40)
 
 def layout_blocks(training_rows: int) -> int:
     """Blocks of a side for so many training rows."""
-    return min(MAX_LAYOUT_BLOCKS, max(1, -(-training_rows // LAYOUT_ROWS)))
+    some = min(SOME_BLOCKS, -(-training_rows // LEAST_ROWS))
+    return min(MAX_LAYOUT_BLOCKS, max(1, some, -(-training_rows // LAYOUT_ROWS)))
 
 
 def _block_of(ids: np.ndarray, blocks: int) -> np.ndarray:

@@ -99,6 +99,11 @@ def test_a_grid_lays_out_its_ratings_once_and_iterates_once(spark, monkeypatch):
     assert len(solved) == 2 * 2 and sorted(x for x in longer.rows if x[2] < 6) == sorted(both.rows)  # from those kept
 
 
+def test_blocks_of_the_layout_follow_the_training_rows():
+    assert [als_blocks.layout_blocks(n) for n in (1, 250_000, 250_001, 2_000_000, 24_000_000, 24_000_001)] == [1, 1, 2, 8, 8, 9]
+    assert als_blocks.layout_blocks(10**13) == als_blocks.MAX_LAYOUT_BLOCKS
+
+
 def test_what_a_fit_keeps_is_given_back(spark):
     import os
 
